@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexigrain.operators.ranking import prefix_sums, quantile_columns, value_counts, weighted_moments
+from lexigrain.session import materialise
 
 
 def _values(frame: DataFrame, metric: str, group: str) -> DataFrame:
@@ -17,12 +18,11 @@ def _values(frame: DataFrame, metric: str, group: str) -> DataFrame:
 
 def density_histogram(frame: DataFrame, metric: str, bins: int, group: str = "target") -> DataFrame:
     """Equal bins over the common range; the density of each group integrates to one."""
-    values = _values(frame, metric, group)
-    span = values.agg(F.struct(F.min("value").alias("low"), F.max("value").alias("high"))).scalar()
-    width = (span["high"] - span["low"]) / bins
-    place = F.least(F.floor((F.col("value") - span["low"]) / width), F.lit(bins - 1))
-    slot = F.when(width > 0, place).otherwise(F.lit(0))
-    counts = values.groupBy("group", slot.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    distinct = materialise(value_counts(_values(frame, metric, group), ["group"]))
+    span = distinct.agg(F.min("value").alias("low"), F.max("value").alias("high")).first()
+    low, width = span.low or 0.0, ((span.high or 0.0) - (span.low or 0.0)) / bins
+    slot = F.least(F.floor((F.col("value") - low) / width), F.lit(bins - 1)) if width else F.lit(0)
+    counts = distinct.groupBy("group", slot.cast("int").alias("bin")).agg(F.sum("n").alias("n"))
     # A group has at most ``bins`` counts, so gathering them fills the gaps with zero.
     filled = counts.groupBy("group").agg(
         F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_n"), F.sum("n").alias("_all")
@@ -32,14 +32,16 @@ def density_histogram(frame: DataFrame, metric: str, bins: int, group: str = "ta
     ).select(
         group,
         "bin",
-        (span["low"] + F.col("bin") * width).alias("bin_start"),
+        (F.lit(low) + F.col("bin") * width).alias("bin_start"),
         F.coalesce(F.try_element_at("_n", F.col("bin")), F.lit(0)).alias("documents"),
-        (F.coalesce(F.try_element_at("_n", F.col("bin")), F.lit(0)) / (F.col("_all") * width)).alias("density"),
+        (F.coalesce(F.try_element_at("_n", F.col("bin")), F.lit(0)) / (F.col("_all") * (width or 1.0))).alias("density"),
     )
 
 
 def _ranked(frame: DataFrame, metric: str, group: str, small_domain: bool) -> DataFrame:
     counts = value_counts(_values(frame, metric, group), ["group"])
+    if small_domain:
+        counts = materialise(counts)
     return prefix_sums(counts, ["group"], ["n"], small_domain=small_domain)
 
 
@@ -75,7 +77,7 @@ def kernel_density(
     Every distinct value adds to each of a fixed number of grid points; sums are
     combined before the shuffle, so only the grid travels.
     """
-    counts = value_counts(_values(frame, metric, group), ["group"])
+    counts = materialise(value_counts(_values(frame, metric, group), ["group"]))
     moments = weighted_moments()
     shape = counts.groupBy("group").agg(
         moments["count"].alias("_n"),

@@ -24,6 +24,7 @@ from lexigrain.operators.ranking import (
     value_counts,
     weighted_moments,
 )
+from lexigrain.session import materialise
 
 # Python workers get these few helpers by value, so they need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -152,7 +153,9 @@ def compare_groups(
     small_domain: bool = False,
 ) -> DataFrame:
     """Full contrast, one row per metric; without resamples the interval columns are absent."""
-    ranked = ranked_groups(frame, metrics, group, small_domain)
+    # Read by the contrast and by the bootstrap; far smaller than the rows behind it.
+    counts = materialise(_group_counts(frame, metrics, group))
+    ranked = prefix_sums(counts, ["metric"], ["n1", "n0"], small_domain=small_domain)
 
     def of_group(k: int) -> dict[str, Column]:
         moments = weighted_moments(weight=f"n{k}")
@@ -180,7 +183,7 @@ def compare_groups(
     )
     if resamples is None:
         return result
-    intervals = bootstrap_intervals(frame, metrics, group, resamples, seed, confidence)
+    intervals = _intervals(counts, metrics, resamples, seed, confidence)
     # One row per metric on both sides: the metric list bounds the broadcast.
     return result.join(F.broadcast(intervals), "metric")
 
@@ -270,8 +273,15 @@ def bootstrap_intervals(
     replicate costs the number of distinct values however many rows there are. Only
     this bounded table reaches the driver; replicates are spread over the executors.
     """
-    spark = frame.sparkSession
-    table = _support(_group_counts(frame, metrics, group))
+    counts = materialise(_group_counts(frame, metrics, group))
+    return _intervals(counts, metrics, resamples, seed, confidence)
+
+
+def _intervals(
+    counts: DataFrame, metrics: Sequence[str], resamples: int, seed: int, confidence: float
+) -> DataFrame:
+    spark = counts.sparkSession
+    table = _support(counts)
     bounded = table.limit(EXACT_SUPPORT * len(metrics) + 1).toPandas()
     support = {}
     for metric, part in bounded.sort_values(["metric", "value"]).groupby("metric"):
@@ -317,22 +327,29 @@ def average_ranks(counts: DataFrame, value: str, small_domain: bool = False) ->
     return ranked.select(F.col("value").alias(value), rank.alias(f"rank_{value}"))
 
 
-def spearman(frame: DataFrame, left: str, right: str, small_domain: bool = False) -> DataFrame:
+def spearman(
+    frame: DataFrame, left: str, right: str, small_domain: bool = False, weight: Column | None = None
+) -> DataFrame:
     """Rank correlation of two columns as a one-row table.
 
     Rows are compressed to distinct pairs before ranks are joined, so a value held by half
-    of the rows is no hot join key.
+    of the rows is no hot join key. The pairs are stored, as three branches read them.
     """
     pairs = (
-        frame.select(F.col(left).cast("double").alias("x"), F.col(right).cast("double").alias("y"))
+        frame.select(
+            F.col(left).cast("double").alias("x"),
+            F.col(right).cast("double").alias("y"),
+            (F.lit(1).cast("long") if weight is None else weight).alias("w"),
+        )
         .na.drop()
         .groupBy("x", "y")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("w").alias("n"))
     )
 
     def marginal(side: str) -> DataFrame:
         return average_ranks(pairs.groupBy(side).agg(F.sum("n").alias("n")), side, small_domain)
 
+    pairs = materialise(pairs)
     joined = pairs.join(marginal("x"), "x").join(marginal("y"), "y")
     n, a, b = F.col("n").cast("double"), F.col("rank_x"), F.col("rank_y")
     sums = joined.agg(
@@ -355,7 +372,12 @@ def negativity_audit(sentiment: DataFrame, small_domain: bool = True) -> DataFra
 
     The score has four decimals, so its value domain is small by construction.
     """
-    counts = value_counts(long_values(sentiment, [], ["negativity"]), ["metric"])
+    measures = ("negativity", "sentiment_negative", "target")
+    # One pass over the texts; everything below reads the compressed table.
+    joint = materialise(sentiment.groupBy(*measures).agg(F.count(F.lit(1)).alias("rows")))
+    counts = value_counts(
+        long_values(joint, ["rows"], ["negativity"]), ["metric"], counts={"n": F.sum("rows")}
+    )
     ranked = prefix_sums(counts, ["metric"], ["n"], small_domain=small_domain)
     moments = weighted_moments()
     n = F.col("n")
@@ -370,8 +392,10 @@ def negativity_audit(sentiment: DataFrame, small_domain: bool = True) -> DataFra
     }
     row = ranked.agg(*[value.cast("double").alias(name) for name, value in stats.items()])
     correlations = {
-        "spearman_negative": spearman(sentiment, "negativity", "sentiment_negative", small_domain),
-        "spearman_target": spearman(sentiment, "negativity", "target", small_domain),
+        "spearman_negative": spearman(
+            joint, "negativity", "sentiment_negative", small_domain, F.col("rows")
+        ),
+        "spearman_target": spearman(joint, "negativity", "target", small_domain, F.col("rows")),
     }
     row = row.withColumns({name: table.scalar() for name, table in correlations.items()})
     return row.unpivot([], row.columns, "indicator", "value")

@@ -19,6 +19,7 @@ from lexigrain.fixed_values import (
     SAME,
     WORSE,
 )
+from lexigrain.operators.models import predicted_label
 from lexigrain.operators.ranking import prefix_sums, value_counts
 
 MEASURES = ("accuracy", "precision", "recall", "f1", "f1_macro", "roc_auc")
@@ -81,21 +82,35 @@ def roc_auc(predictions: DataFrame) -> DataFrame:
 
 
 def model_metrics(predictions: DataFrame) -> DataFrame:
-    """One row per model: six measures and the four cells."""
+    """One row per model: six measures and the four cells, from one pass over the scores."""
+    ranked = prefix_sums(_score_counts(predictions), ["model"], ["n1", "n0"])
+    n1, n0 = F.col("n1").cast("double"), F.col("n0").cast("double")
+    above = predicted_label(F.col("value")) == 1
+
+    def cell(count: str, positive: bool) -> Column:
+        return F.sum(F.when(above if positive else ~above, F.col(count)).otherwise(0))
+
+    counted = ranked.groupBy("model").agg(
+        cell("n0", False).alias("tn"),
+        cell("n0", True).alias("fp"),
+        cell("n1", False).alias("fn"),
+        cell("n1", True).alias("tp"),
+        F.sum(n1 * (F.col("before_n0") + n0 / 2)).alias("_area"),
+    )
     tn, fp, fn, tp = (F.col(name) for name in CELLS)
+    pairs = (tp + fn).cast("double") * (tn + fp)
     f1_of_0 = _ratio(2 * tn, 2 * tn + fp + fn)
     f1_of_1 = _ratio(2 * tp, 2 * tp + fp + fn)
-    cells = confusion_counts(predictions).select(
+    return counted.select(
         "model",
         _ratio(tn + tp, tn + fp + fn + tp).alias("accuracy"),
         _ratio(tp, tp + fp).alias("precision"),
         _ratio(tp, tp + fn).alias("recall"),
         f1_of_1.alias("f1"),
         ((f1_of_0 + f1_of_1) / 2).alias("f1_macro"),
+        F.when(pairs > 0, F.col("_area") / pairs).alias("roc_auc"),
         *CELLS,
     )
-    # Both sides have one row per model.
-    return cells.join(F.broadcast(roc_auc(predictions)), "model").select("model", *COMPARED)
 
 
 def ranked_metrics(metrics: DataFrame) -> DataFrame:
@@ -210,17 +225,20 @@ def require_rivals(metrics: DataFrame) -> DataFrame:
     return metrics
 
 
-def with_outcome(predictions: DataFrame, context: DataFrame, key: str = "id") -> DataFrame:
-    """Predictions joined to their documents, with the kind of error and the confidence."""
+def with_context(predictions: DataFrame, documents: DataFrame, key: str = "id") -> DataFrame:
+    """Predictions joined to the columns of their documents."""
+    return predictions.join(documents.drop("target"), key, "left")
+
+
+def with_outcome(predictions: DataFrame) -> DataFrame:
+    """Add the kind of error and the confidence of each prediction."""
     wrong_up = (F.col("actual") == 0) & (F.col("predicted") == 1)
     wrong_down = (F.col("actual") == 1) & (F.col("predicted") == 0)
     outcome = (
         F.when(wrong_up, F.lit(FALSE_POSITIVE)).when(wrong_down, F.lit(FALSE_NEGATIVE)).otherwise(F.lit(CORRECT))
     )
-    return (
-        predictions.join(context.drop("target"), key, "left")
-        .withColumn("error_type", outcome)
-        .withColumn("confidence", F.abs(F.col("probability") - 0.5))
+    return predictions.withColumns(
+        {"error_type": outcome, "confidence": F.abs(F.col("probability") - 0.5)}
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexigrain.fixed_values import STOP_WORDS
@@ -38,7 +38,8 @@ def add_clean_text(corpus: DataFrame, stop_words: Sequence[str] = STOP_WORDS) ->
         ("clean", "text", tuple(stop_words)),
         lambda: clean_for_classification(F.col("text"), stop_words),
     )
-    return corpus.withColumn("clean_text", column)
+    # Never null: see add_sentiment.
+    return corpus.withColumn("clean_text", F.coalesce(column, F.lit("")))
 
 
 def add_features(corpus: DataFrame, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
@@ -60,17 +61,22 @@ def add_sentiment(corpus: DataFrame, lexicon: Lexicon) -> DataFrame:
         ("sentiment", "sentiment_text", lexicon),
         lambda: sentiment_of(F.col("sentiment_text"), lexicon),
     )
-    passed = [name for name in corpus.columns if not name.startswith("_sentiment")]
+    passed = corpus.columns
     frame = corpus.withColumn("sentiment_text", light).withColumn("_sentiment", scored)
-    scores, counts = F.col("_sentiment.scores"), F.col("_sentiment.counts")
+    def number(path: str, empty: float | int) -> Column:
+        # Never null, which keeps null filters from being pushed below this projection,
+        # where they would score every text once more.
+        return F.coalesce(F.col(f"_sentiment.{path}"), F.lit(empty))
+
+    compound = number("scores.compound", 0.0)
     return frame.select(
         *passed,
         "sentiment_text",
-        scores["compound"].alias("sentiment_compound"),
-        scores["negative"].alias("sentiment_negative"),
-        scores["positive"].alias("sentiment_positive"),
-        scores["neutral"].alias("sentiment_neutral"),
-        sentiment_label(scores["compound"]).alias("sentiment_label"),
-        negativity_score(scores["compound"]).alias("negativity"),
-        *[counts[name].alias(name) for name in COUNTS],
+        compound.alias("sentiment_compound"),
+        number("scores.negative", 0.0).alias("sentiment_negative"),
+        number("scores.positive", 0.0).alias("sentiment_positive"),
+        number("scores.neutral", 0.0).alias("sentiment_neutral"),
+        sentiment_label(compound).alias("sentiment_label"),
+        negativity_score(compound).alias("negativity"),
+        *[number(f"counts.{name}", 0).alias(name) for name in COUNTS],
     )

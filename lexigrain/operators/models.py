@@ -7,10 +7,10 @@ the weights of a row and runs alike on tables and streams.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.sql import Column, DataFrame
@@ -31,7 +31,7 @@ from lexigrain.fixed_values import (
     SVM_MODEL,
 )
 from lexigrain.functions.expressions import bind, literal_array
-from lexigrain.operators.tfidf import TfidfModel, sparse_vector
+from lexigrain.operators.tfidf import TfidfModel, entries_of, sparse_vector
 
 TOLERANCE = 1e-6
 
@@ -91,25 +91,20 @@ def predicted_label(probability: Column) -> Column:
 
 
 # ------------------------------------------------------------------------ aggregation
-def majority_probability(train: DataFrame) -> Column:
+def majority_probability(train: DataFrame) -> float:
     """1 when class 1 is the larger one; at a tie the smaller label wins."""
-    share = train.agg((F.count_if(F.col("target") == 1) > F.count_if(F.col("target") == 0)).cast("double"))
-    return share.scalar()
+    row = train.agg(*[F.count_if(F.col("target") == v).alias(f"n{v}") for v in LABELS]).first()
+    return float(row.n1 > row.n0)
 
 
 def fit_majority(train: DataFrame, name: str = BASELINE_MODEL) -> FittedModel:
-    constant = train.sparkSession.range(1).select(majority_probability(train).alias("p")).first().p
-    return FittedModel(name, constant=constant)
-
+    return FittedModel(name, constant=majority_probability(train))
 
-def naive_bayes_coefficients(train: DataFrame, size: int, smoothing: float = NAIVE_BAYES_SMOOTHING) -> DataFrame:
-    """``i, coefficient``: log-odds weight of each term under complement naive Bayes.
 
-    Each class is described by the weights of all other classes; with two classes the
-    complement of one is the other. At most one row per vocabulary term.
-    """
-    sums = (
-        train.select("target", F.inline("weights"))
+def class_weight_sums(train: DataFrame) -> DataFrame:
+    """``i, w0, w1``: summed weights per term and class, one row per vocabulary term."""
+    return (
+        train.select("target", F.inline(entries_of("weights")))
         .groupBy("i")
         .agg(
             *[
@@ -118,18 +113,23 @@ def naive_bayes_coefficients(train: DataFrame, size: int, smoothing: float = NAI
             ]
         )
     )
-    totals = sums.agg(F.struct(F.sum("w0").alias("w0"), F.sum("w1").alias("w1"))).scalar()
 
-    def complement(other: str) -> Column:
-        return F.ln((F.col(other) + smoothing) / (totals[other] + smoothing * size))
-
-    return sums.select("i", (complement("w1") - complement("w0")).alias("coefficient"))
 
+def fit_naive_bayes(
+    train: DataFrame, size: int, name: str = NAIVE_BAYES_MODEL, smoothing: float = NAIVE_BAYES_SMOOTHING
+) -> FittedModel:
+    """Complement naive Bayes: each class is described by the weights of the other ones.
 
-def fit_naive_bayes(train: DataFrame, size: int, name: str = NAIVE_BAYES_MODEL, smoothing: float = NAIVE_BAYES_SMOOTHING) -> FittedModel:
-    coefficients = [0.0] * size
-    for row in naive_bayes_coefficients(train, size, smoothing).collect():
-        coefficients[row.i] = row.coefficient
+    With two classes the complement of one is the other, so the model is one weight per
+    term, the difference of the two smoothed log shares. The sums are as many as the
+    vocabulary has terms, which is bounded.
+    """
+    sums = np.zeros((2, size))
+    for row in class_weight_sums(train).collect():
+        sums[:, row.i] = row.w0, row.w1
+    smoothed = sums + smoothing
+    log_share = np.log(smoothed / smoothed.sum(axis=1, keepdims=True))
+    coefficients = (log_share[1] - log_share[0]).tolist()
     return FittedModel(name, [LinearScore(coefficients)], parameters={"alpha": smoothing})
 
 

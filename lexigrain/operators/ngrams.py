@@ -27,6 +27,7 @@ from lexigrain.functions.expressions import (
     text_or_empty,
     word_tokens,
 )
+from lexigrain.session import materialise
 
 
 def ngram_counts(
@@ -59,20 +60,13 @@ def _sized(runs: Column, n: int) -> Column:
     return F.transform(runs, entry)
 
 
-def _totals(counts: DataFrame, labels: Sequence[int], sizes: Sequence[int]) -> Column:
-    """Kept occurrences per (class, size): one row, read back as a scalar subquery."""
-    sums = {
-        (label, n): F.sum(F.when((F.col("target") == label) & (F.col("n") == n), F.col("frequency")))
-        for label in labels
-        for n in sizes
-    }
-    row = counts.agg(
-        F.struct(*[value.alias(f"t_{label}_{n}") for (label, n), value in sums.items()])
-    ).scalar()
+def _totals(counts: DataFrame) -> Column:
+    """Kept occurrences per (class, size) as literals; one row per class and size is read."""
+    sums = counts.groupBy("target", "n").agg(F.sum("frequency").alias("total")).collect()
     total = F.lit(None).cast("long")
-    for label, n in sums:
-        here = (F.col("target") == label) & (F.col("n") == n)
-        total = F.when(here, row[f"t_{label}_{n}"]).otherwise(total)
+    for row in sums:
+        here = (F.col("target") == row.target) & (F.col("n") == row.n)
+        total = F.when(here, F.lit(row.total)).otherwise(total)
     return total
 
 
@@ -87,15 +81,17 @@ def ngram_frequencies(
     """Frequency and probability of the commonest n-grams of each class.
 
     The probability refers to all kept n-grams of the class, not to the reported ones.
-    The per-class limit is pushed below the shuffle by the optimiser.
+    The per-class limit is pushed below the shuffle by the optimiser. The counted
+    vocabulary is stored, because totals and ranking read it and texts are the dear part.
     """
-    counts = ngram_counts(corpus, sizes, min_df, text).where(F.col("target").isin(list(labels)))
+    labelled = corpus.where(F.col("target").isin(list(labels)))
+    counts = materialise(ngram_counts(labelled, sizes, min_df, text))
     table = counts.select(
         "target",
         "n",
         "ngram",
         "frequency",
-        (F.col("frequency") / _totals(counts, labels, sizes)).alias("probability"),
+        (F.col("frequency") / _totals(counts)).alias("probability"),
     )
     if not top_k:
         return table
@@ -138,16 +134,15 @@ def discriminative_terms(
         F.when(F.col("d0") >= min_df, F.col("f0")).otherwise(0).alias("freq_0"),
         F.when(F.col("d1") >= min_df, F.col("f1")).otherwise(0).alias("freq_1"),
     )
+    kept = materialise(kept)
     sums = kept.agg(
-        F.struct(
-            F.sum("freq_0").alias("total_0"),
-            F.sum("freq_1").alias("total_1"),
-            F.count(F.lit(1)).alias("vocabulary"),
-        )
-    ).scalar()
+        F.coalesce(F.sum("freq_0"), F.lit(0)).alias("total_0"),
+        F.coalesce(F.sum("freq_1"), F.lit(0)).alias("total_1"),
+        F.count(F.lit(1)).alias("vocabulary"),
+    ).first()
 
     def share(count: str, total: str) -> Column:
-        return (F.col(count) + smoothing) / (sums[total] + smoothing * sums["vocabulary"])
+        return (F.col(count) + smoothing) / (sums[total] + smoothing * max(1, sums["vocabulary"]))
 
     return (
         kept.select(
@@ -188,17 +183,18 @@ def stop_word_audit(
         F.sum(F.when(F.col("target") == 0, F.col("n")).otherwise(0)).alias("documents_0"),
         F.sum(F.when(F.col("target") == 1, F.col("n")).otherwise(0)).alias("documents_1"),
     )
-    totals = (
-        counts.where(F.col("word").isNull())
-        .agg(F.struct(F.max("documents_0").alias("t0"), F.max("documents_1").alias("t1")))
-        .scalar()
-    )
+    # One row per stop-word and one with the totals: the list bounds this window.
+    whole = Window.partitionBy(F.lit(0))
+
+    def total(count: str) -> Column:
+        return F.max(F.when(F.col("word").isNull(), F.col(count))).over(whole)
 
-    def odds(count: str, total: str) -> Column:
-        return (F.col(count) + 0.5) / F.greatest(F.lit(1), totals[total])
+    def odds(count: str, whole_count: str) -> Column:
+        return (F.col(count) + 0.5) / F.greatest(F.lit(1), F.col(whole_count))
 
     return (
-        counts.where(F.col("word").isNotNull())
+        counts.withColumns({"t0": total("documents_0"), "t1": total("documents_1")})
+        .where(F.col("word").isNotNull())
         .where(F.col("documents_0") + F.col("documents_1") >= min_documents)
         .select(
             "word",

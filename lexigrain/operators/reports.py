@@ -29,6 +29,7 @@ from lexigrain.functions.markers import (
 )
 from lexigrain.operators.features import FEATURES
 from lexigrain.operators.ranking import group_summary, widen
+from lexigrain.session import materialise
 
 SENTIMENT_MEASURES = (
     "sentiment_compound",
@@ -65,23 +66,20 @@ EXTREME_COLUMNS = (
 
 def percent_of(count: str, *keys: str) -> Column:
     """Share of a count in its group; meant for small aggregated tables."""
-    return 100 * F.col(count) / F.sum(count).over(Window.partitionBy(*keys))
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    return 100 * F.col(count) / F.sum(count).over(group)
 
 
 def label_distribution(corpus: DataFrame, names: Mapping[int, str] = CATEGORY_NAMES) -> DataFrame:
     """Rows per label with the share of the whole; unlabelled rows count in the whole only."""
     counts = corpus.groupBy("target").agg(F.count(F.lit(1)).alias("documents"))
-    whole = corpus.agg(F.count(F.lit(1))).scalar()
-    return (
-        counts.where(F.col("target").isNotNull())
-        .select(
-            "target",
-            "documents",
-            category(F.col("target"), names).alias("category"),
-            (100 * F.col("documents") / whole).alias("percent"),
-        )
-        .orderBy("target")
+    shares = counts.select(
+        "target",
+        "documents",
+        category(F.col("target"), names).alias("category"),
+        percent_of("documents").alias("percent"),
     )
+    return shares.where(F.col("target").isNotNull()).orderBy("target")
 
 
 def features_by_class(features: DataFrame, metrics: Sequence[str] = FEATURES) -> DataFrame:
@@ -188,8 +186,7 @@ def sentiment_observed(sentiment: DataFrame) -> DataFrame:
 
 def sentiment_global(sentiment: DataFrame) -> DataFrame:
     counts = sentiment.groupBy("sentiment_label").agg(F.count(F.lit(1)).alias("documents"))
-    whole = counts.agg(F.sum("documents")).scalar()
-    return counts.withColumn("percent", 100 * F.col("documents") / whole).orderBy(
+    return counts.withColumn("percent", percent_of("documents")).orderBy(
         F.desc("documents"), "sentiment_label"
     )
 
@@ -240,9 +237,19 @@ def extreme_documents(
     sentiment: DataFrame, k: int = 10, names: Mapping[int, str] = CATEGORY_NAMES
 ) -> tuple[DataFrame, DataFrame]:
     """The k most positive and the k most negative documents, ties by id."""
-    table = sentiment.withColumn("category", category(F.col("target"), names)).select(*EXTREME_COLUMNS)
-    highest = table.orderBy(F.desc("sentiment_compound"), "id").limit(k)
-    lowest = table.orderBy("sentiment_compound", "id").limit(k)
+    # Both ends read one stored copy of the scores; only 2k texts are fetched afterwards.
+    narrow = [name for name in EXTREME_COLUMNS if name not in ("text", "category")]
+    scores = materialise(sentiment.select(*narrow))
+    texts = sentiment.select("id", "text")
+
+    def end(table: DataFrame) -> DataFrame:
+        # At most k rows.
+        picked = texts.join(F.broadcast(table), "id")
+        return picked.withColumn("category", category(F.col("target"), names)).select(*EXTREME_COLUMNS)
+
+    order = F.col("sentiment_compound")
+    highest = end(scores.orderBy(order.desc(), "id").limit(k)).orderBy(order.desc(), "id")
+    lowest = end(scores.orderBy(order, "id").limit(k)).orderBy(order, "id")
     return highest, lowest
 
 

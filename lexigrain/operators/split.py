@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexigrain.fixed_values import LABELS, SEED, TEST_SHARE
+from lexigrain.session import materialise
 
 TRAIN, TEST = "train", "test"
 #: Leading hex digits of the row hash that form a bucket (1,048,576 buckets).
@@ -18,25 +20,17 @@ def row_hash(key: str = "id", seed: int = SEED) -> Column:
     return F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
 
 
-def test_quotas(sizes: DataFrame, labels: Sequence[int] = LABELS, share: float = TEST_SHARE) -> DataFrame:
+def test_quotas(sizes: Mapping[int, int], share: float = TEST_SHARE) -> dict[int, int]:
     """Test rows per label: the rounded-up total, shared out by largest remainder."""
-    row = sizes.agg(*[F.coalesce(F.sum(F.when(F.col("target") == v, F.col("size"))), F.lit(0)).alias(f"n_{v}") for v in labels])
-    whole = sum((F.col(f"n_{v}") for v in labels[1:]), F.col(f"n_{labels[0]}"))
+    total = sum(sizes.values())
     # Rounding guards against a product such as 0.2 * 35 landing just above an integer.
-    wanted = F.ceil(F.round(F.lit(share) * whole, 9))
-    ideal = {v: wanted * F.col(f"n_{v}") / whole for v in labels}
-    floors = {v: F.floor(ideal[v]) for v in labels}
-    missing = wanted - sum((floors[v] for v in labels[1:]), floors[labels[0]])
-    ranked = F.sort_array(
-        F.array(*[F.struct((floors[v] - ideal[v]).alias("r"), F.lit(v).alias("v")) for v in labels])
-    )
-    order = row.select("*", F.transform(ranked, lambda x: x["v"]).alias("_order"), missing.alias("_missing"))
-    return order.select(
-        *[
-            (floors[v] + (F.array_position("_order", v) <= F.col("_missing")).cast("long")).alias(f"q_{v}")
-            for v in labels
-        ]
-    )
+    wanted = math.ceil(round(share * total, 9))
+    ideal = {label: wanted * n / total for label, n in sizes.items()} if total else dict(sizes)
+    quotas = {label: math.floor(value) for label, value in ideal.items()}
+    by_remainder = sorted(ideal, key=lambda label: (quotas[label] - ideal[label], label))
+    for label in by_remainder[: wanted - sum(quotas.values())]:
+        quotas[label] += 1
+    return quotas
 
 
 def stratified_split(
@@ -50,44 +44,47 @@ def stratified_split(
 
     The rows of a class with the smallest hashes form its test part, so only the hash
     of the last test row is needed per class. It is found from counts per hash bucket
-    (a fixed number of buckets) and a look into the single bucket that holds it; the
-    corpus itself is then split by comparing hashes, without a sort or a shuffle.
+    (a fixed number of buckets) and a look into the single bucket that holds it. What
+    comes back to the driver is one row per label; the corpus itself is then split
+    by comparing hashes, without a sort or a shuffle.
     """
-    keyed = corpus.where(F.col("target").isin(list(labels))).select(
-        "target", row_hash(key, seed).alias("_hash")
-    )
-    bucketed = keyed.withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
-    sizes = bucketed.groupBy("target", "_bucket").agg(F.count(F.lit(1)).alias("size"))
-    quotas = test_quotas(sizes, labels, share).select(F.struct("*")).scalar()
-    quota = F.lit(None).cast("long")
-    for label in labels:
-        quota = F.when(F.col("target") == label, quotas[f"q_{label}"]).otherwise(quota)
-
+    labelled = corpus.where(F.col("target").isin(list(labels)))
+    hashed = labelled.select("target", row_hash(key, seed).alias("_hash"))
+    bucketed = hashed.withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
+    counts = materialise(bucketed.groupBy("target", "_bucket").agg(F.count(F.lit(1)).alias("size")))
+    sizes = {row.target: row.n for row in counts.groupBy("target").agg(F.sum("size").alias("n")).collect()}
+    quotas = test_quotas({label: sizes.get(label, 0) for label in labels}, share)
+
+    quota = F.lit(0)
+    for label, n in quotas.items():
+        quota = F.when(F.col("target") == label, F.lit(n)).otherwise(quota)
     # At most 16^BUCKET_DIGITS rows per label, however large the corpus is.
-    by_hash = Window.partitionBy("target").orderBy("_bucket")
-    before = F.coalesce(
-        F.sum("size").over(by_hash.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
+    by_bucket = Window.partitionBy("target").orderBy("_bucket")
+    reached = F.sum("size").over(by_bucket.rowsBetween(Window.unboundedPreceding, 0))
     cuts = (
-        sizes.withColumn("_before", before)
-        .withColumn("_quota", quota)
-        .where((F.col("_before") < F.col("_quota")) & (F.col("_quota") <= F.col("_before") + F.col("size")))
-        .select("target", "_bucket", (F.col("_quota") - F.col("_before")).alias("_rank"))
+        counts.withColumns({"_reached": reached, "_quota": quota})
+        .where((F.col("_reached") - F.col("size") < F.col("_quota")) & (F.col("_quota") <= F.col("_reached")))
+        .select("target", "_bucket", (F.col("_quota") - F.col("_reached") + F.col("size")).alias("_rank"))
+        .collect()
+    )
+
+    rank = F.lit(None).cast("long")
+    for cut in cuts:
+        here = (F.col("target") == cut.target) & (F.col("_bucket") == cut._bucket)
+        rank = F.when(here, F.lit(cut._rank)).otherwise(rank)
+    place = F.row_number().over(Window.partitionBy("target").orderBy("_hash"))
+    last = (
+        bucketed.withColumn("_rank", rank)
+        .where(F.col("_rank").isNotNull())
+        .withColumn("_place", place)
+        .where(F.col("_place") == F.col("_rank"))
+        .collect()
     )
-    # One row per label.
-    rivals = bucketed.join(F.broadcast(cuts), ["target", "_bucket"])
-    in_bucket = Window.partitionBy("target").orderBy("_hash")
-    last = rivals.withColumn("_place", F.row_number().over(in_bucket)).where(F.col("_place") == F.col("_rank"))
-    limits = last.agg(
-        F.struct(*[F.max(F.when(F.col("target") == v, F.col("_hash"))).alias(f"h_{v}") for v in labels])
-    ).scalar()
-
-    hashed = row_hash(key, seed)
+
     in_test = F.lit(False)
-    for label in labels:
-        in_test = in_test | ((F.col("target") == label) & (hashed <= limits[f"h_{label}"]))
-    split = F.when(F.coalesce(in_test, F.lit(False)), F.lit(TEST)).otherwise(F.lit(TRAIN))
-    return corpus.where(F.col("target").isin(list(labels))).withColumn("split", split)
+    for row in last:
+        in_test = in_test | ((F.col("target") == row.target) & (row_hash(key, seed) <= row._hash))
+    return labelled.withColumn("split", F.when(in_test, F.lit(TEST)).otherwise(F.lit(TRAIN)))
 
 
 def split_summary(split: DataFrame) -> DataFrame:

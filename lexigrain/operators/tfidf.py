@@ -46,7 +46,7 @@ def vocabulary(
         .groupBy("term")
         .agg(F.sum("tf").alias("corpus_count"), F.count(F.lit(1)).alias("documents"))
     )
-    n = train.agg(F.count(F.lit(1))).scalar()
+    n = train.count()
     kept = counts.where((F.col("documents") >= min_df) & (F.col("documents") <= max_df * n))
     top = kept.orderBy(F.desc("corpus_count"), "term").limit(max_terms)
     return top.withColumn("idf", F.ln((1 + n) / (1 + F.col("documents"))) + 1)
@@ -111,10 +111,16 @@ class TfidfModel:
         return frame.withColumn(output, column)
 
 
+def entries_of(column: str) -> Column:
+    """Array column to explode. Exploding a bare column makes the optimiser add a filter on
+    its size, pushed below the projection that computes it, at twice the work."""
+    return F.coalesce(F.col(column), F.array().cast(WEIGHTS_TYPE))
+
+
 def long_weights(frame: DataFrame, model: TfidfModel, key: str = "id") -> DataFrame:
     """``id, term, weight`` of a frame with a weights column."""
     terms = literal_array(model.terms, "string")
-    return frame.select(key, F.explode("weights").alias("_x")).select(
+    return frame.select(key, F.explode(entries_of("weights")).alias("_x")).select(
         key, F.get(terms, F.col("_x.i")).alias("term"), F.col("_x.w").alias("weight")
     )
 

@@ -20,6 +20,7 @@ from lexigrain.operators.evaluation import (
 from lexigrain.operators.models import FittedModel, fit_logistic, fit_models, predictions, weighted
 from lexigrain.operators.split import TEST, TRAIN, stratified_split
 from lexigrain.operators.tfidf import TfidfModel
+from lexigrain.session import materialise
 
 EXPERIMENT_COLUMNS = ("clean_text", "negativity", "target")
 
@@ -36,16 +37,12 @@ class Experiment:
     @property
     def metrics(self) -> DataFrame:
         sizes = self.split.agg(
-            F.struct(
-                F.count_if(F.col("split") == TRAIN).alias("train"),
-                F.count_if(F.col("split") == TEST).alias("test"),
-            )
-        ).scalar()
-        return ranked_metrics(
-            model_metrics(self.predictions)
-            .withColumn("n_train", sizes["train"])
-            .withColumn("n_test", sizes["test"])
-        )
+            F.count_if(F.col("split") == TRAIN).alias("train"),
+            F.count_if(F.col("split") == TEST).alias("test"),
+        ).first()
+        table = model_metrics(self.predictions)
+        counts = {"n_train": F.lit(sizes.train), "n_test": F.lit(sizes.test)}
+        return ranked_metrics(table.withColumns(counts))
 
     @property
     def confusion(self) -> DataFrame:
@@ -60,7 +57,9 @@ class Experiment:
 
 
 def _prepared(frame: DataFrame) -> tuple[DataFrame, TfidfModel, DataFrame]:
-    split = stratified_split(frame)
+    # Vocabulary, training and validation read the cleaned text; it is stored once.
+    kept = [name for name in ("id", *EXPERIMENT_COLUMNS) if name in frame.columns]
+    split = stratified_split(materialise(frame.select(*kept)))
     vectoriser = TfidfModel.fit(split.where(F.col("split") == TRAIN))
     return split, vectoriser, weighted(vectoriser, split)
 

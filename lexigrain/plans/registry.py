@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrain.fixed_values import BASELINE_MODEL, MODEL_A, MODEL_B, NAIVE_BAYES_MODEL, SENTIMENT_NEGATORS
-from lexigrain.functions.cleaning import clean_for_classification, clean_for_sentiment, expand_contractions
+from lexigrain.fixed_values import BASELINE_MODEL, NAIVE_BAYES_MODEL, SENTIMENT_NEGATORS
+from lexigrain.functions.cleaning import clean_for_sentiment, expand_contractions
 from lexigrain.functions.entities import unescape_html
 from lexigrain.functions.expressions import reuse
 from lexigrain.functions.markers import (
@@ -28,7 +28,6 @@ from lexigrain.operators import charts, contrast, evaluation, ngrams, reports, v
 from lexigrain.operators.features import add_clean_text, add_features, add_sentiment
 from lexigrain.operators.models import (
     FittedModel,
-    fit_majority,
     fit_models,
     majority_probability,
     predictions,
@@ -39,6 +38,7 @@ from lexigrain.operators.tfidf import TfidfModel, long_weights
 from lexigrain.plans.experiments import compare_negativity, differences, evaluate_models
 from lexigrain.plans.model_store import TextClassifier
 from lexigrain.sources.corpus import corpus_from_tables, unlabelled_documents
+from lexigrain.session import materialise
 from lexigrain.sources.lexicon import Lexicon, _boosters, _starter_valences
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -208,7 +208,7 @@ def sentiment_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 # ------------------------------------------------------------------------------ models
 def weighted_split(spark: SparkSession, folder: str) -> tuple[TfidfModel, DataFrame]:
-    split = stratified_split(clean_corpus(spark, folder))
+    split = stratified_split(materialise(clean_corpus(spark, folder).select("id", "target", "clean_text")))
     model = TfidfModel.fit(split.where(F.col("split") == TRAIN))
     return model, weighted(model, split)
 
@@ -234,7 +234,7 @@ def tfidf_weights(spark: SparkSession, folder: str) -> DataFrame:
 def majority(spark: SparkSession, folder: str) -> DataFrame:
     split = stratified_split(corpus(spark, folder))
     constant = majority_probability(split.where(F.col("split") == TRAIN))
-    return split.where(F.col("split") == TEST).select("id", F.col("target").alias("actual"), constant.alias("probability"))
+    return split.where(F.col("split") == TEST).select("id", F.col("target").alias("actual"), F.lit(constant).alias("probability"))
 
 
 def naive_bayes(spark: SparkSession, folder: str) -> DataFrame:
@@ -249,14 +249,15 @@ def selected(spark: SparkSession, folder: str) -> DataFrame:
 
 def outcomes(spark: SparkSession, folder: str) -> DataFrame:
     scored = aggregated_predictions(spark, folder).where(F.col("model") == NAIVE_BAYES_MODEL)
-    context = sentiment_and_clean(spark, folder).select(
-        "id", "target", "text", "clean_text", "sentiment_label", "sentiment_compound", "negativity", "keyword"
-    )
-    return evaluation.with_outcome(scored, context)
+    texts = corpus(spark, folder).select("id", "keyword", "text")
+    joined = scored.join(texts, "id", "left")
+    # Texts are cleaned and scored after the join, for the validation rows only.
+    context = add_sentiment(add_clean_text(joined), LEXICON)
+    return evaluation.with_outcome(context)
 
 
 def catalogue(spark: SparkSession, folder: str) -> DataFrame:
-    metrics = evaluation.model_metrics(aggregated_predictions(spark, folder))
+    metrics = materialise(evaluation.model_metrics(aggregated_predictions(spark, folder)))
     second = metrics.where(F.col("model") == NAIVE_BAYES_MODEL)
     return rounded(evaluation.model_catalogue(metrics, second, []))
 
