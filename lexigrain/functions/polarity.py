@@ -7,7 +7,6 @@ valences come from a hashed literal; a row never leaves its partition.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import Column
@@ -35,48 +34,45 @@ SCORES = ("compound", "negative", "neutral", "positive")
 COUNTS = ("pos_word_count", "neg_word_count", "neu_word_count", "token_count")
 
 
+def strip_edges(words: Column) -> Column:
+    """Drop edge punctuation of each word unless at most two characters would stay."""
+    cores = F.transform(words, lambda word: F.btrim(word, F.lit(PUNCTUATION)))
+    return F.zip_with(
+        words, cores, lambda word, core: F.when(F.length(core) <= 2, word).otherwise(core)
+    )
+
+
 def sentiment_tokens(text: Column) -> Column:
-    """White-space tokens; edge punctuation goes unless at most two characters stay."""
+    return bind(split_words(text), strip_edges)
 
-    def kept(words: Column) -> Column:
-        cores = F.transform(words, lambda word: F.btrim(word, F.lit(PUNCTUATION)))
-        return F.zip_with(
-            words, cores, lambda word, core: F.when(F.length(core) <= 2, word).otherwise(core)
-        )
 
-    return bind(split_words(text), kept)
+def _has_emoji(text: Column, lexicon: Lexicon) -> Column:
+    pattern = lexicon.emoji_pattern()
+    return text.rlike(pattern) if pattern else F.lit(False)
 
 
-def describe_emojis(text: Column, lexicon: Lexicon) -> Column:
-    """Write emojis as their description, set off by a space from what stands before."""
-    describe = lexicon.emoji_descriptions()
+def describe_emojis(words: Column, lexicon: Lexicon) -> Column:
+    """Words with each emoji written as its description, set off from what stands before.
 
-    def spelled(raw: Column) -> Column:
-        characters = F.split(raw, "")
-        return bind(
-            characters,
-            lambda chars: F.trim(
-                F.array_join(
-                    F.transform(
-                        chars,
-                        lambda char, at: bind(
-                            describe(char),
-                            lambda words: F.when(words.isNull(), char)
-                            .when((at > 0) & (F.get(chars, at - 1) != " "), F.concat(F.lit(" "), words))
-                            .otherwise(words),
-                        ),
-                    ),
-                    "",
-                )
-            ),
-        )
+    Descriptions consist of plain words, so they never change the punctuation of a text.
+    """
+    describe = lexicon.emoji_descriptions()
 
-    return bind(text, lambda raw: F.when(_has_emoji(raw, lexicon), spelled(raw)).otherwise(raw))
+    def spelled(chars: Column) -> Column:
+        def one(char: Column, at: Column) -> Column:
+            gap = F.when(at > 0, F.lit(" ")).otherwise(F.lit(""))
+            return F.coalesce(F.concat(gap, describe(char)), char)
 
+        return split_words(F.array_join(F.transform(chars, one), ""))
 
-def _has_emoji(text: Column, lexicon: Lexicon) -> Column:
-    pattern = lexicon.emoji_pattern()
-    return text.rlike(pattern) if pattern else F.lit(False)
+    return F.flatten(
+        F.transform(
+            words,
+            lambda word: F.when(
+                _has_emoji(word, lexicon), bind(F.split(word, ""), spelled)
+            ).otherwise(F.array(word)),
+        )
+    )
 
 
 def _is_upper(token: Column, lower: Column) -> Column:
@@ -201,16 +197,17 @@ class _Context:
         return F.when(plain_word, changed).otherwise(value)
 
 
-def _with_arrays(text: Column, lexicon: Lexicon, body: Callable[[Column, Column, Column], Column]) -> Column:
-    """Compute tokens, their lower case and their valences once and hand them to ``body``."""
+def _arrays(words: Column, lexicon: Lexicon) -> Column:
+    """Struct of the tokens of a text, their lower case and their valences."""
     valence_of = lexicon.valence_table()
     return bind(
-        sentiment_tokens(text),
+        strip_edges(words),
         lambda tokens: bind(
             F.transform(tokens, lambda token: F.lower(token)),
-            lambda lower: bind(
-                F.transform(lower, lambda word: valence_of(word)),
-                lambda valence: body(tokens, lower, valence),
+            lambda lower: F.struct(
+                tokens.alias("tokens"),
+                lower.alias("lower"),
+                F.transform(lower, lambda word: valence_of(word)).alias("valence"),
             ),
         ),
     )
@@ -283,7 +280,8 @@ def _combined(scores: Column, token_total: Column, emphasis: Column) -> Column:
     )
 
 
-def _polarity(text: Column, tokens: Column, lower: Column, valence: Column, lexicon: Lexicon) -> Column:
+def _polarity(text: Column, arrays: Column, lexicon: Lexicon) -> Column:
+    tokens, lower, valence = arrays["tokens"], arrays["lower"], arrays["valence"]
     return bind(
         _hit_scores(tokens, lower, valence, lexicon),
         lambda scores: _combined(scores, F.size(tokens), _punctuation_emphasis(text)),
@@ -292,12 +290,7 @@ def _polarity(text: Column, tokens: Column, lower: Column, valence: Column, lexi
 
 def polarity_scores(text: Column, lexicon: Lexicon) -> Column:
     """Struct of ``compound``, ``negative``, ``neutral`` and ``positive``."""
-    return bind(
-        describe_emojis(text, lexicon),
-        lambda plain: _with_arrays(
-            plain, lexicon, lambda *arrays: _polarity(plain, *arrays, lexicon)
-        ),
-    )
+    return bind(text, lambda plain: sentiment_of(plain, lexicon, counted=False)["scores"])
 
 
 def _lexical_valence(token: Column, lower: Column, valence: Column, lexicon: Lexicon) -> Column:
@@ -318,7 +311,9 @@ def token_valence(token: Column, lexicon: Lexicon) -> Column:
     return _lexical_valence(token, lower, lexicon.valence_table()(lower), lexicon)
 
 
-def _word_counts(tokens: Column, lower: Column, valence: Column, lexicon: Lexicon) -> Column:
+def _word_counts(arrays: Column, lexicon: Lexicon) -> Column:
+    tokens, lower, valence = arrays["tokens"], arrays["lower"], arrays["valence"]
+
     def counted(valences: Column) -> Column:
         up = F.size(F.filter(valences, lambda v: v > 0))
         down = F.size(F.filter(valences, lambda v: v < 0))
@@ -340,21 +335,25 @@ def _word_counts(tokens: Column, lower: Column, valence: Column, lexicon: Lexico
 
 def sentiment_word_counts(text: Column, lexicon: Lexicon) -> Column:
     """Struct of positive, negative, neutral and all tokens; the first three add up."""
-    return _with_arrays(text, lexicon, lambda *arrays: _word_counts(*arrays, lexicon))
+    return bind(_arrays(split_words(text), lexicon), lambda arrays: _word_counts(arrays, lexicon))
 
 
-def sentiment_of(text: Column, lexicon: Lexicon) -> Column:
+def sentiment_of(text: Column, lexicon: Lexicon, counted: bool = True) -> Column:
     """Scores and word counts together; texts without emojis are tokenised only once."""
+
+    def both(plain: Column, words: Column, own: Column) -> Column:
+        described = F.when(
+            _has_emoji(plain, lexicon), _arrays(describe_emojis(words, lexicon), lexicon)
+        ).otherwise(own)
+        scores = bind(described, lambda arrays: _polarity(plain, arrays, lexicon)).alias("scores")
+        if not counted:
+            return F.struct(scores)
+        return F.struct(scores, _word_counts(own, lexicon).alias("counts"))
+
     return bind(
         text,
-        lambda plain: _with_arrays(
-            plain,
-            lexicon,
-            lambda *arrays: F.struct(
-                F.when(_has_emoji(plain, lexicon), polarity_scores(plain, lexicon))
-                .otherwise(_polarity(plain, *arrays, lexicon))
-                .alias("scores"),
-                _word_counts(*arrays, lexicon).alias("counts"),
-            ),
+        lambda plain: bind(
+            split_words(plain),
+            lambda words: bind(_arrays(words, lexicon), lambda own: both(plain, words, own)),
         ),
     )

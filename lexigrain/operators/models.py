@@ -33,7 +33,7 @@ from lexigrain.fixed_values import (
 from lexigrain.functions.expressions import bind, literal_array
 from lexigrain.operators.tfidf import TfidfModel, entries_of, sparse_vector
 
-TOLERANCE = 1e-6
+TOLERANCE = 1e-5
 
 
 def sigmoid(margin: Column) -> Column:
@@ -244,8 +244,8 @@ def fit_svm(
             weightCol="balance",
             regParam=_regularisation(c, sizes),
             standardization=False,
-            maxIter=min(max_iterations, 200),
-            tol=1e-5,
+            maxIter=min(max_iterations, 100),
+            tol=1e-3,
         ).fit(frame)
         coefficients = model.coefficients.toArray().tolist()
         table = literal_array(coefficients)
