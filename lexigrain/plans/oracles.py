@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lexigrain import fixed_values as V
-from lexigrain.functions.expressions import NOT_SPACE, SPACE_CHARACTERS
+from lexigrain.functions.expressions import NOT_SPACE
 from lexigrain.plans.registry import LEXICON, MARK_PHRASES, SENTIMENT_PHRASES
 
 L = r"\p{L}\p{N}_"
@@ -473,8 +473,8 @@ def oracles() -> dict[str, str]:
         for m in presence
     )
     out["top_keywords"] = (
-        f"WITH {CORPUS} SELECT target, keyword AS keyword_decoded, n AS frequency FROM (SELECT target, keyword, count(*) AS n, "
-        "row_number() OVER (PARTITION BY target ORDER BY count(*) DESC, keyword) AS r FROM corpus GROUP BY ALL) WHERE r <= 15"
+        f"WITH {CORPUS} SELECT target, keyword AS keyword_decoded, n AS frequency FROM (SELECT *, row_number() OVER (PARTITION BY target "
+        "ORDER BY n DESC, keyword) AS r FROM (SELECT target, keyword, count(*) AS n FROM corpus GROUP BY target, keyword)) WHERE r <= 15"
     )
 
     def ngram_table(n: int) -> str:
@@ -691,9 +691,6 @@ def mann_whitney_sql() -> str:
         "sqrt(n_group_1 * n_group_0 / 12 * (n_group_1 + n_group_0 + 1 - tie_term / ((n_group_1 + n_group_0) * (n_group_1 + n_group_0 - 1.0)))) AS sd FROM u), "
         "zs AS (SELECT *, (u_statistic - mu - 0.5) / sd AS zg, (greatest(u_statistic, n_group_1 * n_group_0 - u_statistic) - mu - 0.5) / sd AS zt FROM spread) "
         f"SELECT metric, n_group_1, n_group_0, {r6('u_statistic')}, {r6('tie_term')}, "
-        f"{r6('p_two_sided', 'least(1, 2 * (' + sf.replace('z', 'zt').replace('sqrt', 'sqrt') + '))')}, "
+        f"{r6('p_two_sided', 'least(1, 2 * (' + sf.replace('z', 'zt') + '))')}, "
         f"{r6('p_greater', sf.replace('z', 'zg'))} FROM zs"
     )
-
-
-__all__ = ["oracles", "SPACE_CHARACTERS"]

@@ -37,7 +37,7 @@ from lexigrain.operators.split import TEST, TRAIN, split_summary, stratified_spl
 from lexigrain.operators.tfidf import TfidfModel, long_weights
 from lexigrain.plans.experiments import compare_negativity, differences, evaluate_models
 from lexigrain.plans.model_store import TextClassifier
-from lexigrain.sources.corpus import corpus_from_tables, unlabelled_documents
+from lexigrain.sources.corpus import corpus_from_tables, spread, unlabelled_documents
 from lexigrain.session import materialise
 from lexigrain.sources.lexicon import Lexicon, _boosters, _starter_valences
 
@@ -81,7 +81,7 @@ def _with_phrase(frame: DataFrame, phrases: dict[str, str], lang: str) -> DataFr
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents")
+    return spread(table(spark, folder, "documents"), "doc_id")
 
 
 def marked_documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -128,7 +128,7 @@ def rounded(frame: DataFrame, digits: int = 6) -> DataFrame:
 # ------------------------------------------------------------------- column functions
 def entities(spark: SparkSession, folder: str) -> DataFrame:
     plain = reuse(("entities", "html"), lambda: unescape_html(F.col("html")))
-    pages = table(spark, folder, "pages").withColumn("plain", plain)
+    pages = spread(table(spark, folder, "pages"), "page_id").withColumn("plain", plain)
     return pages.select("page_id", F.length("plain").alias("plain_chars"), F.md5("plain").alias("plain_md5"))
 
 

@@ -39,6 +39,18 @@ def read_corpus_csv(spark: SparkSession, path: str, schema: T.StructType = CORPU
     return frame.withColumns({name: missing_to_null(F.col(name)) for name in strings})
 
 
+def spread(frame: DataFrame, key: str) -> DataFrame:
+    """Give a scan with fewer splits than cores one partition per core.
+
+    Text work is bound by the processor, and a small file or one big row group would be
+    handled by one task. A large table has splits enough and is left as it is.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    if frame.rdd.getNumPartitions() >= cores:
+        return frame
+    return frame.repartition(cores, key)
+
+
 def corpus_from_tables(
     documents: DataFrame, labels: DataFrame | None = None, label: str = "quality"
 ) -> DataFrame:
