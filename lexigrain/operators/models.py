@@ -11,7 +11,6 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +31,7 @@ from lexigrain.fixed_values import (
 )
 from lexigrain.functions.expressions import bind, literal_array
 from lexigrain.operators.tfidf import TfidfModel, entries_of, sparse_vector
+from lexigrain.session import materialise
 
 TOLERANCE = 1e-5
 
@@ -269,13 +269,14 @@ def model_registry() -> dict[str, Callable[[DataFrame, int], FittedModel]]:
 
 
 def fit_models(train: DataFrame, size: int, names: Sequence[str] | None = None) -> dict[str, FittedModel]:
-    """Fit the named models on one stored copy of the weighted training rows."""
+    """Fit the named models on one stored copy of the weighted training rows.
+
+    Every iteration of a fit ships the lineage of its input, and that of the weights holds
+    the vocabulary; reading a checkpoint keeps the tasks small.
+    """
     registry = model_registry()
-    stored = train.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return {name: registry[name](stored, size) for name in names or registry}
-    finally:
-        stored.unpersist()
+    stored = materialise(train)
+    return {name: registry[name](stored, size) for name in names or registry}
 
 
 def predictions(

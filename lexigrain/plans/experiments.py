@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,15 +80,12 @@ def compare_negativity(frame: DataFrame, fitted_a: FittedModel | None = None) ->
     if lacking:
         raise ValueError(f"missing columns: {lacking}")
     split, vectoriser, rows = _prepared(frame)
-    train = rows.where(F.col("split") == TRAIN).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        plain = fitted_a or fit_logistic(train, vectoriser.size, MODEL_A)
-        models = {
-            MODEL_A: replace(plain, name=MODEL_A),
-            MODEL_B: fit_logistic(train, vectoriser.size, MODEL_B, numeric="negativity"),
-        }
-    finally:
-        train.unpersist()
+    train = materialise(rows.where(F.col("split") == TRAIN))
+    plain = fitted_a or fit_logistic(train, vectoriser.size, MODEL_A)
+    models = {
+        MODEL_A: replace(plain, name=MODEL_A),
+        MODEL_B: fit_logistic(train, vectoriser.size, MODEL_B, numeric="negativity"),
+    }
     scored = predictions(rows.where(F.col("split") == TEST), list(models.values()))
     return Experiment(vectoriser, models, split, scored)
 
