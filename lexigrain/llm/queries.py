@@ -7,7 +7,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexigrain.llm import prefix_bpe
+from lexigrain.llm import mixing, prefix_bpe, token_files
+from lexigrain.llm.common import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,11 +23,23 @@ def prefix_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_bpe.encode_decode_digests(table(spark, folder, "documents"))
 
 
+def token_orc_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.token_file_digests(table(spark, folder, "documents"), new_path(spark, "tokens"))
+
+
+def source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_table(table(spark, folder, "documents"))
+
+
 def registry() -> dict[str, Query]:
     return {
+        "op1_token_orc_files": token_orc_files,
+        "op3_source_mix": source_mix,
         "op9_prefix_trie_bpe": prefix_trie_bpe,
     }
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {
+        "op3_source_mix": mixing.ORACLE,
+    }
