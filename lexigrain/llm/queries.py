@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexigrain.llm import mixing, prefix_bpe, token_files
+from lexigrain.llm import mixing, prefix_bpe, quality_rules, token_files
 from lexigrain.llm.common import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,10 +31,15 @@ def source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_table(table(spark, folder, "documents"))
 
 
+def rule_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judge(table(spark, folder, "documents"))
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_token_orc_files": token_orc_files,
         "op3_source_mix": source_mix,
+        "op4_rule_verdicts": rule_verdicts,
         "op9_prefix_trie_bpe": prefix_trie_bpe,
     }
 
@@ -42,4 +47,5 @@ def registry() -> dict[str, Query]:
 def oracles() -> dict[str, str]:
     return {
         "op3_source_mix": mixing.ORACLE,
+        "op4_rule_verdicts": quality_rules.ORACLE,
     }
