@@ -53,7 +53,7 @@ RULES = (
     Rule("repeated_words_per_word", most=0.2),
     Rule("chars_per_word", least=2.0, most=14.0),
     Rule("symbols_per_word", most=0.1),
-    Rule("duplicate_lines_per_line", most=0.3),
+    Rule("duplicate_lines_per_line", most=0.5),
     Rule("stop_words_per_word", least=0.01, from_words=100),
 )
 
@@ -204,7 +204,7 @@ based AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND n_repeat_words / n_words <= 0.2
        AND word_chars / n_words >= 2.0 AND word_chars / n_words <= 14.0 AND n_symbols / n_words <= 0.1
-       AND n_dup_lines / n_lines <= 0.3 AND (n_words < 100 OR n_stop_words / n_words >= 0.01) AS kept,
+       AND n_dup_lines / n_lines <= 0.5 AND (n_words < 100 OR n_stop_words / n_words >= 0.01) AS kept,
        n_lines, n_stop_words
 FROM based
 """
