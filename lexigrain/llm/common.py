@@ -19,7 +19,6 @@ SPACE_CLASS = r"[ \t-\r]"
 words_of = re.compile(WORD_PATTERN).findall
 #: Characters that ``str.split`` takes for white space although they are not in the class above.
 _OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]").search
-_A_TO_Z = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 Batches = Iterator[pa.RecordBatch]
 
@@ -29,8 +28,9 @@ def split_words(text: str) -> list[str]:
     return words_of(text) if _OTHER_SPACE(text) else text.split()
 
 
-def lower_ascii(text: str) -> str:
-    return text.lower() if text.isascii() else text.translate(_A_TO_Z)
+def lower_words(text: str) -> list[bytes]:
+    """The words of a text with A-Z lower-cased, in UTF-8: bytes know ASCII case and white space only."""
+    return text.encode("utf-8", "surrogatepass").lower().split()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -57,6 +57,14 @@ def store(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """``frame`` written to the checkpoint folder and cut from its lineage."""
+    context = frame.sparkSession.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        context.setCheckpointDir(shared_folder(frame.sparkSession))
+    return frame.checkpoint(eager=True)
+
+
 def small_batches(batches: Batches, characters: int = 2_000_000, column: str = "text") -> Batches:
     """Cut Arrow batches so that each holds about so many bytes of text, however long single texts are."""
     for batch in batches:
@@ -87,13 +95,13 @@ class WordHashes(dict):
 
     LIMIT = 500_000
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
             self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) - (1 << 63)
+        value = self[word] = xxhash.xxh64_intdigest(word) - (1 << 63)
         return value
 
-    def of(self, words: list[str]) -> np.ndarray:
+    def of(self, words: list[bytes]) -> np.ndarray:
         """Hashes as unsigned 64-bit numbers."""
         return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words)).view(np.uint64)
 

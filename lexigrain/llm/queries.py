@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexigrain.llm import mixing, prefix_bpe, quality_model, quality_rules, token_files
+from lexigrain.llm import mixing, ngram_join, prefix_bpe, quality_model, quality_rules, token_files
 from lexigrain.llm.common import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,12 +40,17 @@ def additive_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_model.score(documents, quality_model.learn(documents, table(spark, folder, "labels")))
 
 
+def shingle_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_groups(table(spark, folder, "documents"))
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_token_orc_files": token_orc_files,
         "op3_source_mix": source_mix,
         "op4_rule_verdicts": rule_verdicts,
         "op6_additive_quality": additive_quality,
+        "op8_shingle_groups": shingle_groups,
         "op9_prefix_trie_bpe": prefix_trie_bpe,
     }
 
