@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexigrain.llm import mixing, ngram_join, prefix_bpe, quality_model, quality_rules, token_files
+from lexigrain.llm import mixing, near_vectors, ngram_join, prefix_bpe, quality_model, quality_rules, token_files
 from lexigrain.llm.common import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,9 +44,14 @@ def shingle_groups(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_groups(table(spark, folder, "documents"))
 
 
+def near_vector_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_token_orc_files": token_orc_files,
+        "op2_near_vector_groups": near_vector_groups,
         "op3_source_mix": source_mix,
         "op4_rule_verdicts": rule_verdicts,
         "op6_additive_quality": additive_quality,
