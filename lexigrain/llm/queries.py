@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexigrain.llm import mixing, near_vectors, ngram_join, prefix_bpe, quality_model, quality_rules, token_files
+from lexigrain.llm import language_model, mixing, near_vectors, ngram_join, prefix_bpe, quality_model, quality_rules, token_files
 from lexigrain.llm.common import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,10 @@ def near_vector_groups(spark: SparkSession, folder: str) -> DataFrame:
     return near_vectors.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def trie_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.held_out_scores(table(spark, folder, "documents"))
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_token_orc_files": token_orc_files,
@@ -57,6 +61,7 @@ def registry() -> dict[str, Query]:
         "op6_additive_quality": additive_quality,
         "op8_shingle_groups": shingle_groups,
         "op9_prefix_trie_bpe": prefix_trie_bpe,
+        "op10_trie_language_model": trie_language_model,
     }
 
 
