@@ -7,7 +7,18 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexigrain.llm import language_model, mixing, near_vectors, ngram_join, prefix_bpe, quality_model, quality_rules, token_files
+from lexigrain.llm import (
+    language_model,
+    license_scan,
+    mixing,
+    near_vectors,
+    ngram_join,
+    prefix_bpe,
+    quality_model,
+    quality_rules,
+    token_counts,
+    token_files,
+)
 from lexigrain.llm.common import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,13 +63,23 @@ def trie_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.held_out_scores(table(spark, folder, "documents"))
 
 
+def license_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(table(spark, folder, "documents"))
+
+
+def revised_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.revised_counts(table(spark, folder, "documents"))
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_token_orc_files": token_orc_files,
         "op2_near_vector_groups": near_vector_groups,
         "op3_source_mix": source_mix,
         "op4_rule_verdicts": rule_verdicts,
+        "op5_license_spans": license_spans,
         "op6_additive_quality": additive_quality,
+        "op7_revised_token_counts": revised_token_counts,
         "op8_shingle_groups": shingle_groups,
         "op9_prefix_trie_bpe": prefix_trie_bpe,
         "op10_trie_language_model": trie_language_model,
