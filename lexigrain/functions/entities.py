@@ -34,10 +34,11 @@ def _character(number: Column) -> Column:
 
 
 def _numeric(digits: Column, base: int) -> Column:
-    value = F.when(F.length(digits) > 7, F.lit(LAST_CODE_POINT + 1)).otherwise(
-        F.conv(digits, base, 10).cast("int")
+    # ``conv`` ends at the largest 64-bit number; far shorter numbers are out of range already.
+    value = F.when(F.length(digits) > 12, F.lit(LAST_CODE_POINT + 1).cast("long")).otherwise(
+        F.conv(digits, base, 10).cast("long")
     )
-    return bind(value, _character)
+    return bind(F.least(value, F.lit(LAST_CODE_POINT + 1).cast("long")).cast("int"), _character)
 
 
 def _digits(reference: Column, pattern: str) -> Column:

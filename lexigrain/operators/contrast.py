@@ -18,6 +18,7 @@ from pyspark.sql.pandas.functions import pandas_udf
 from lexigrain.fixed_values import BOOTSTRAP_RESAMPLES, CONFIDENCE, SEED
 from lexigrain.functions.labelling import effect_size_name
 from lexigrain.operators.ranking import (
+    prefix_over_ranges,
     long_values,
     prefix_sums,
     quantile_columns,
@@ -29,9 +30,8 @@ from lexigrain.session import materialise
 # Python workers get these few helpers by value, so they need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: A tie-free contrast whose smaller group has at most so many rows gets its exact distribution.
 SMALL_GROUP = 8
-#: Largest n1·n0 for which a tie-free small group gets its exact distribution.
-EXACT_LIMIT = 200_000
 
 
 def _group_counts(frame: DataFrame, metrics: Sequence[str], group: str) -> DataFrame:
@@ -65,19 +65,27 @@ def u_statistics() -> dict[str, Column]:
 
 
 def _exact_tail(u: float, m: int, n: int) -> float:
-    """P(U >= u) for two tie-free samples: count the arrangements by dynamic programming."""
+    """P(U >= u) for two tie-free samples.
+
+    The arrangements by U are the coefficients of a Gaussian binomial, built factor by factor
+    from the lowest degree on, so even the smallest tail keeps its digits: m * m * n steps.
+    """
     small, large = min(m, n), max(m, n)
-    ways = np.zeros((small + 1, small * large + 1))
-    ways[0, 0] = 1.0
-    for shift in range(large + 1):
-        # Each of the small group's members may stand after ``shift`` members of the other.
-        for taken in range(1, small + 1):
-            if shift:
-                ways[taken, shift:] += ways[taken - 1, : ways.shape[1] - shift]
-            else:
-                ways[taken] += ways[taken - 1]
-    counts = ways[small]
-    return float(counts[math.ceil(u):].sum() / counts.sum())
+    upper = math.ceil(u)
+    turned = 2 * upper > small * large
+    # U is symmetric: count the shorter side.
+    degree = small * large - upper if turned else upper - 1
+    if degree < 0:
+        return 0.0 if turned else 1.0
+    ways = np.zeros(degree + 1)
+    ways[0] = 1.0
+    for factor in range(1, small + 1):
+        if large + factor <= degree:
+            ways[large + factor :] -= ways[: degree + 1 - large - factor].copy()
+        for start in range(min(factor, degree + 1)):
+            ways[start::factor] = np.cumsum(ways[start::factor])
+    side = min(1.0, float(ways.sum()) / math.comb(small + large, small))
+    return side if turned else 1.0 - side
 
 
 def _p_values(u: float, m: float, n: float, ties: float) -> tuple[float, float]:
@@ -85,7 +93,7 @@ def _p_values(u: float, m: float, n: float, ties: float) -> tuple[float, float]:
     if m == 0 or n == 0:
         return math.nan, math.nan
     larger = max(u, m * n - u)
-    if min(m, n) <= SMALL_GROUP and ties == 0 and m * n <= EXACT_LIMIT:
+    if min(m, n) <= SMALL_GROUP and ties == 0:
         two = min(1.0, 2 * _exact_tail(larger, int(m), int(n)))
         return two, _exact_tail(u, int(m), int(n))
     total = m + n
@@ -197,66 +205,10 @@ def require_both_groups(contrast: DataFrame, metrics: Sequence[str]) -> DataFram
 
 
 # --------------------------------------------------------------------------- bootstrap
-#: Distinct values up to which a resample is an exact multinomial draw.
-EXACT_SUPPORT = 50_000
-
-
-def _support(counts: DataFrame) -> DataFrame:
-    """At most ``EXACT_SUPPORT`` support points per metric, each with both group counts.
-
-    Few distinct values are kept as they are. A wider metric is cut into equal cells, and
-    a cell stands for its rows by their mean: means stay exact, medians are exact to a cell.
-    """
-    span = counts.groupBy("metric").agg(
-        F.count(F.lit(1)).alias("_points"), F.min("value").alias("_low"), F.max("value").alias("_high")
-    )
-    # One row per metric.
-    joined = counts.join(F.broadcast(span), "metric")
-    cell = F.floor((F.col("value") - F.col("_low")) / (F.col("_high") - F.col("_low")) * (EXACT_SUPPORT - 1))
-    key = F.when(F.col("_points") > EXACT_SUPPORT, cell.cast("double")).otherwise(F.col("value"))
-    n = F.col("n1") + F.col("n0")
-    return (
-        joined.groupBy("metric", key.alias("_cell"))
-        .agg(
-            (F.sum(F.col("value") * n) / F.sum(n)).alias("mean"),
-            F.max("value").alias("only"),
-            F.count(F.lit(1)).alias("merged"),
-            F.sum("n1").alias("n1"),
-            F.sum("n0").alias("n0"),
-        )
-        .select(
-            "metric",
-            F.when(F.col("merged") == 1, F.col("only")).otherwise(F.col("mean")).alias("value"),
-            "n1",
-            "n0",
-        )
-    )
-
-
-def _weighted_median(values: np.ndarray, draws: np.ndarray) -> np.ndarray:
-    """Medians of resamples given as counts over sorted values."""
-    total = int(draws[0].sum())
-    reached = np.cumsum(draws, axis=1)
-    low = (reached <= (total - 1) // 2).sum(axis=1)
-    high = (reached <= total // 2).sum(axis=1)
-    return (values[low] + values[high]) / 2
-
-
-def _replicate(
-    batches: Iterator[pd.DataFrame], support: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]], seed: int
-) -> Iterator[pd.DataFrame]:
-    """One multinomial draw per replicate and group; the seed belongs to the replicate."""
-    for batch in batches:
-        for place, (metric, (values, n1, n0)) in enumerate(sorted(support.items())):
-            rows = []
-            for replicate in batch["id"]:
-                generator = np.random.default_rng([seed, place, int(replicate)])
-                one = generator.multinomial(n1.sum(), n1 / n1.sum())[None, :]
-                two = generator.multinomial(n0.sum(), n0 / n0.sum())[None, :]
-                means = one @ values / n1.sum() - two @ values / n0.sum()
-                medians = _weighted_median(values, one) - _weighted_median(values, two)
-                rows.append((metric, means[0], medians[0]))
-            yield pd.DataFrame(rows, columns=["metric", "mean_difference", "median_difference"])
+#: Cells into which ranks are cut to look values up by an equality join.
+RANK_CELLS = 1024
+#: Draws held at once while a range of values is resampled.
+DRAWS_HELD = 2_000_000
 
 
 def bootstrap_intervals(
@@ -269,33 +221,136 @@ def bootstrap_intervals(
 ) -> DataFrame:
     """Percentile intervals of the difference of means and of medians.
 
-    Resampling rows with replacement is a multinomial draw over the distinct values, so a
-    replicate costs the number of distinct values however many rows there are. Only
-    this bounded table reaches the driver; replicates are spread over the executors.
+    Both are exact in distribution for any number of distinct values. A mean's n draws are split
+    over ranges of values by a multinomial, and over the values of a range where that range
+    is. A median's order statistics have Beta-distributed ranks, which are looked up in the
+    prefix sums. NaN and infinite values raise.
     """
     counts = materialise(_group_counts(frame, metrics, group))
     return _intervals(counts, metrics, resamples, seed, confidence)
 
 
+def _range_sums(
+    part: pd.DataFrame,
+    sizes: dict[tuple[str, int], np.ndarray],
+    places: dict[str, int],
+    resamples: int,
+    seed: int,
+) -> pd.DataFrame:
+    """What one range of values adds to each replicate's two sums."""
+    metric, at = part["metric"].iloc[0], int(part["_range"].iloc[0])
+    part = part.sort_values("value")
+    values = part["value"].to_numpy("float64")
+    sums = []
+    for group in (1, 0):
+        of_range = sizes[metric, group]
+        total = int(of_range.sum())
+        # Every range draws the same split of the replicates over all ranges.
+        split = np.random.default_rng([seed, places[metric], group])
+        own = split.multinomial(total, of_range / total, size=resamples)[:, at]
+        counts = part[f"n{group}"].to_numpy("int64")
+        result = np.zeros(resamples)
+        if counts.sum():
+            inside = np.random.default_rng([seed, places[metric], group, at])
+            step = max(1, DRAWS_HELD // len(values))
+            for start in range(0, resamples, step):
+                draws = inside.multinomial(own[start : start + step], counts / counts.sum())
+                result[start : start + step] = draws @ values
+        sums.append(result)
+    return pd.DataFrame({"metric": metric, "replicate": np.arange(resamples), "sum1": sums[0], "sum0": sums[1]})
+
+
+def _median_ranks(
+    batches: Iterator[pd.DataFrame], totals: dict[tuple[str, int], int], places: dict[str, int], seed: int
+) -> Iterator[pd.DataFrame]:
+    """Per replicate the ranks (from 0) of the one or two middle values of each resample."""
+    for batch in batches:
+        rows = []
+        for (metric, group), n in sorted(totals.items()):
+            low = (n - 1) // 2 + 1
+            for replicate in batch["id"]:
+                generator = np.random.default_rng([seed, places[metric], group, 2, int(replicate)])
+                place = generator.beta(low, n - low + 1)
+                rows.append((metric, group, replicate, min(n - 1, int(n * place))))
+                if n % 2 == 0:
+                    place = 1 - (1 - place) * generator.random() ** (1 / (n - low))
+                rows.append((metric, group, replicate, min(n - 1, int(n * place))))
+        yield pd.DataFrame(rows, columns=["metric", "grp", "replicate", "rank"])
+
+
+def _medians(ranked: DataFrame, ranks: DataFrame) -> DataFrame:
+    """``metric, replicate, median_difference`` by looking ranks up in the prefix sums."""
+    sides = F.explode(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(k).alias("grp"),
+                    F.col(f"n{k}").alias("n"),
+                    F.col(f"before_n{k}").alias("before"),
+                    F.col(f"total_n{k}").alias("total"),
+                )
+                for k in (1, 0)
+            ]
+        )
+    )
+
+    def cell(rank: Column) -> Column:
+        return F.floor(rank.cast("double") * RANK_CELLS / F.col("total")).cast("int")
+
+    held = ranked.select("metric", "value", sides.alias("s")).select("metric", "value", "s.*").where("n > 0")
+    spanned = held.withColumn("last", F.col("before") + F.col("n") - 1).withColumn(
+        "cell", F.explode(F.sequence(cell(F.col("before")), cell(F.col("last"))))
+    )
+    sizes = held.select("metric", "grp", "total").distinct()
+    # One row per metric and group.
+    placed = ranks.join(F.broadcast(sizes), ["metric", "grp"]).withColumn("cell", cell(F.col("rank"))).drop("total")
+    found = placed.join(spanned, ["metric", "grp", "cell"]).where(F.col("rank").between(F.col("before"), F.col("last")))
+    sign = F.when(F.col("grp") == 1, 0.5).otherwise(-0.5)
+    return found.groupBy("metric", "replicate").agg(F.sum(sign * F.col("value")).alias("median_difference"))
+
+
 def _intervals(
     counts: DataFrame, metrics: Sequence[str], resamples: int, seed: int, confidence: float
 ) -> DataFrame:
     spark = counts.sparkSession
-    table = _support(counts)
-    bounded = table.limit(EXACT_SUPPORT * len(metrics) + 1).toPandas()
-    support = {}
-    for metric, part in bounded.sort_values(["metric", "value"]).groupby("metric"):
-        n1, n0 = part["n1"].to_numpy("int64"), part["n0"].to_numpy("int64")
-        if n1.sum() == 0 or n0.sum() == 0:
-            raise ValueError("both groups need at least one observation")
-        support[metric] = (part["value"].to_numpy("float64"), n1, n0)
-    if set(support) != set(metrics):
+    ranged = materialise(
+        counts.repartitionByRange("metric", "value").withColumn("_range", F.spark_partition_id())
+    )
+    # One row per metric and range partition, however many rows or values there are.
+    odd = F.isnan("value") | (F.abs("value") == float("inf"))
+    ranges = ranged.groupBy("metric", "_range").agg(
+        F.sum("n1").alias("n1"), F.sum("n0").alias("n0"), F.bool_or(odd).alias("odd")
+    ).collect()
+    if any(row.odd for row in ranges):
+        raise ValueError("bootstrap values must be finite")
+    width = 1 + max((row._range for row in ranges), default=0)
+    sizes = {(metric, k): np.zeros(width, dtype=np.int64) for metric in metrics for k in (1, 0)}
+    for row in ranges:
+        sizes[row.metric, 1][row._range] = row.n1
+        sizes[row.metric, 0][row._range] = row.n0
+    totals = {key: int(of_range.sum()) for key, of_range in sizes.items()}
+    if any(total == 0 for total in totals.values()):
         raise ValueError("both groups need at least one observation")
+    places = {metric: place for place, metric in enumerate(sorted(metrics))}
+    parts = ranged.groupBy("metric", "_range").applyInPandas(
+        partial(_range_sums, sizes=sizes, places=places, resamples=resamples, seed=seed),
+        "metric string, replicate long, sum1 double, sum0 double",
+    )
+    means = parts.groupBy("metric", "replicate").agg(F.sum("sum1").alias("sum1"), F.sum("sum0").alias("sum0"))
+    per_group = F.lit(None).cast("struct<n1:long,n0:long>")
+    for metric in metrics:
+        pair = F.struct(F.lit(totals[metric, 1]).alias("n1"), F.lit(totals[metric, 0]).alias("n0"))
+        per_group = F.when(F.col("metric") == metric, pair).otherwise(per_group)
+    means = means.select(
+        "metric", "replicate", (F.col("sum1") / per_group["n1"] - F.col("sum0") / per_group["n0"]).alias("mean_difference")
+    )
     tasks = max(1, min(resamples, spark.sparkContext.defaultParallelism))
-    draws = spark.range(0, resamples, 1, tasks).mapInPandas(
-        partial(_replicate, support=support, seed=seed),
-        "metric string, mean_difference double, median_difference double",
+    ranks = spark.range(0, resamples, 1, tasks).mapInPandas(
+        partial(_median_ranks, totals=totals, places=places, seed=seed),
+        "metric string, grp int, replicate long, rank long",
     )
+    ranked = prefix_over_ranges(ranged, ["metric"], ["n1", "n0"], "value", False)
+    draws = means.join(_medians(ranked, ranks), ["metric", "replicate"])
     tail = (1 - confidence) / 2
     ends = F.array(F.lit(tail), F.lit(1 - tail))
     return (

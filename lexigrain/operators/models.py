@@ -34,6 +34,8 @@ from lexigrain.operators.tfidf import TfidfModel, entries_of, sparse_vector
 from lexigrain.session import materialise
 
 TOLERANCE = 1e-5
+#: Where the SVM's optimiser stops: the relative change of its objective.
+SVM_TOLERANCE = 1e-3
 
 
 def sigmoid(margin: Column) -> Column:
@@ -227,6 +229,7 @@ def fit_svm(
     folds: int = CALIBRATION_FOLDS,
     seed: int = SEED,
     max_iterations: int = MAX_ITERATIONS,
+    tolerance: float = SVM_TOLERANCE,
 ) -> FittedModel:
     """Linear SVM per fold, calibrated on the rows left out; probabilities are averaged.
 
@@ -244,8 +247,8 @@ def fit_svm(
             weightCol="balance",
             regParam=_regularisation(c, sizes),
             standardization=False,
-            maxIter=min(max_iterations, 100),
-            tol=1e-3,
+            maxIter=max_iterations,
+            tol=tolerance,
         ).fit(frame)
         coefficients = model.coefficients.toArray().tolist()
         table = literal_array(coefficients)
@@ -255,7 +258,8 @@ def fit_svm(
         held_out = marked.where(F.col("fold") == k).select("target", margin.alias("margin"))
         slope, offset = _calibrate(held_out)
         scores.append(LinearScore(coefficients, model.intercept, slope=slope, offset=offset))
-    return FittedModel(name, scores, parameters={"C": c, "class_weight": "balanced", "cv": folds})
+    parameters = {"C": c, "class_weight": "balanced", "cv": folds, "max_iter": max_iterations, "tol": tolerance}
+    return FittedModel(name, scores, parameters=parameters)
 
 
 def model_registry() -> dict[str, Callable[[DataFrame, int], FittedModel]]:

@@ -65,10 +65,10 @@ def prefix_sums(
     ranged = materialise(
         counts.repartitionByRange(*keys, value).withColumn("_range", F.spark_partition_id())
     )
-    return _prefix_over_ranges(ranged, keys, weights, value, neighbours)
+    return prefix_over_ranges(ranged, keys, weights, value, neighbours)
 
 
-def _prefix_over_ranges(
+def prefix_over_ranges(
     ranged: DataFrame, keys: Sequence[str], weights: Sequence[str], value: str, neighbours: bool
 ) -> DataFrame:
     # At most one row per key and range partition, whatever the data size.

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job relies on. Partition counts are left to the cluster; AQE
@@ -14,6 +12,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoints nothing refers to any more are removed.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Recording the Python call site of every column costs more than planning.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     # A dictionary literal may be long; its text form is of no use in a plan.
@@ -31,15 +31,13 @@ def build_session(app: str = "lexigrain", master: str | None = None, **settings:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; make a scratch one only in local mode."""
+    """Use the shared folder that ``spark.checkpoint.dir`` or the application names."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="lexigrain-checkpoint-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     context.setCheckpointDir(folder)
 
 

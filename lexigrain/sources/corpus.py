@@ -39,16 +39,18 @@ def read_corpus_csv(spark: SparkSession, path: str, schema: T.StructType = CORPU
     return frame.withColumns({name: missing_to_null(F.col(name)) for name in strings})
 
 
+#: Session setting: partitions into which a benchmark deals out tables of one or two splits.
+INPUT_PARTITIONS = "lexigrain.input.partitions"
+
+
 def spread(frame: DataFrame, key: str) -> DataFrame:
-    """Give a scan with fewer splits than cores one partition per core.
+    """Deal a table out by ``key`` if the session asks for it, as it is else.
 
-    Text work is bound by the processor, and a small file or one big row group would be
-    handled by one task. A large table has splits enough and is left as it is.
+    Text work is bound by the processor, and the small files of tests and benchmarks are one
+    task. A large table has splits enough, so nothing is set there and nothing is shuffled.
     """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    if frame.rdd.getNumPartitions() >= cores:
-        return frame
-    return frame.repartition(cores, key)
+    parts = frame.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return frame.repartition(int(parts), key) if parts else frame
 
 
 def corpus_from_tables(

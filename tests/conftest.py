@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
+        "lexigrain.input.partitions": "8",
         "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),
     }
     session = build_session("tests", "local[8]", **settings)

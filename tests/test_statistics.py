@@ -1,6 +1,7 @@
 """Contrasts, ranks and bootstrap against brute force."""
 
 import itertools
+import math
 import random
 
 import numpy as np
@@ -88,3 +89,42 @@ def test_spearman_with_ties(spark):
     expected = np.corrcoef(ranks([a for a, _ in pairs]), ranks([b for _, b in pairs]))[0, 1]
     frame = spark.createDataFrame(pairs, "a double, b double")
     assert contrast.spearman(frame, "a", "b").first().correlation == pytest.approx(expected)
+
+
+def test_exact_tail_counts_arrangements():
+    for m, n in ((1, 1), (2, 3), (3, 5), (4, 4), (5, 2)):
+        ranks = range(m + n)
+        counts = {}
+        for chosen in itertools.combinations(ranks, m):
+            u = sum(a > b for a in chosen for b in set(ranks) - set(chosen))
+            counts[u] = counts.get(u, 0) + 1
+        for u in range(m * n + 2):
+            want = sum(c for value, c in counts.items() if value >= u) / sum(counts.values())
+            assert contrast._exact_tail(u, m, n) == pytest.approx(want)
+
+
+def test_exact_p_goes_by_the_smaller_group_alone():
+    """A tie-free group of eight is exact however large the other group is."""
+    two, greater = contrast._p_values(8 * 40_000, 8, 40_000, 0)
+    assert greater == pytest.approx(1 / math.comb(40_008, 8)) and two == pytest.approx(2 * greater)
+
+
+def test_bootstrap_of_many_values_equals_resampling(spark):
+    """More distinct values than any table on the driver, against plain resampling."""
+    generator = np.random.default_rng(11)
+    one, zero = generator.exponential(2.0, 40_000), generator.exponential(1.5, 30_001)
+    row = contrast.bootstrap_intervals(groups(spark, one, zero), ["value"], resamples=400).first()
+    means, medians = [], []
+    for _ in range(400):
+        a, b = generator.choice(one, len(one)), generator.choice(zero, len(zero))
+        means.append(a.mean() - b.mean())
+        medians.append(np.median(a) - np.median(b))
+    for found, draws in ((row.mean_ci_low, means), (row.median_ci_low, medians)):
+        assert found == pytest.approx(np.quantile(draws, 0.025), abs=0.5 * np.std(draws))
+    for found, draws in ((row.mean_ci_high, means), (row.median_ci_high, medians)):
+        assert found == pytest.approx(np.quantile(draws, 0.975), abs=0.5 * np.std(draws))
+
+
+def test_bootstrap_rejects_values_that_are_not_finite(spark):
+    with pytest.raises(ValueError):
+        contrast.bootstrap_intervals(groups(spark, [1.0, math.inf], [2.0]), ["value"], resamples=10)
