@@ -332,9 +332,12 @@ def _intervals(
     if any(total == 0 for total in totals.values()):
         raise ValueError("both groups need at least one observation")
     places = {metric: place for place, metric in enumerate(sorted(metrics))}
+
+    def sums(part: pd.DataFrame) -> pd.DataFrame:
+        return _range_sums(part, sizes, places, resamples, seed)
+
     parts = ranged.groupBy("metric", "_range").applyInPandas(
-        partial(_range_sums, sizes=sizes, places=places, resamples=resamples, seed=seed),
-        "metric string, replicate long, sum1 double, sum0 double",
+        sums, "metric string, replicate long, sum1 double, sum0 double"
     )
     means = parts.groupBy("metric", "replicate").agg(F.sum("sum1").alias("sum1"), F.sum("sum0").alias("sum0"))
     per_group = F.lit(None).cast("struct<n1:long,n0:long>")

@@ -19,19 +19,20 @@ from lexigrain.operators.evaluation import (
 from lexigrain.operators.models import FittedModel, fit_logistic, fit_models, predictions, weighted
 from lexigrain.operators.split import TEST, TRAIN, stratified_split
 from lexigrain.operators.tfidf import TfidfModel
-from lexigrain.session import materialise
+from lexigrain.session import materialise, stored
 
 EXPERIMENT_COLUMNS = ("clean_text", "negativity", "target")
 
 
 @dataclass(frozen=True)
 class Experiment:
-    """Fitted models and lazy result tables over one split."""
+    """Fitted models and result tables over one split; the predictions are stored."""
 
     vectoriser: TfidfModel
     models: dict[str, FittedModel]
     split: DataFrame
     predictions: DataFrame
+    rows: DataFrame
 
     @property
     def metrics(self) -> DataFrame:
@@ -56,11 +57,11 @@ class Experiment:
 
 
 def _prepared(frame: DataFrame) -> tuple[DataFrame, TfidfModel, DataFrame]:
-    # Vocabulary, training and validation read the cleaned text; it is stored once.
+    # Vocabulary and weights read the cleaned text, training and validation the weights; each is stored once.
     kept = [name for name in ("id", *EXPERIMENT_COLUMNS) if name in frame.columns]
-    split = stratified_split(materialise(frame.select(*kept)))
+    split = stratified_split(stored(frame.select(*kept), "experiment"))
     vectoriser = TfidfModel.fit(split.where(F.col("split") == TRAIN))
-    return split, vectoriser, weighted(vectoriser, split)
+    return split, vectoriser, stored(weighted(vectoriser, split), "weights")
 
 
 def evaluate_models(frame: DataFrame, names: Sequence[str] | None = None) -> Experiment:
@@ -68,26 +69,29 @@ def evaluate_models(frame: DataFrame, names: Sequence[str] | None = None) -> Exp
     split, vectoriser, rows = _prepared(frame)
     models = fit_models(rows.where(F.col("split") == TRAIN), vectoriser.size, names)
     scored = predictions(rows.where(F.col("split") == TEST), list(models.values()))
-    return Experiment(vectoriser, models, split, scored)
+    return Experiment(vectoriser, models, split, materialise(scored), rows)
 
 
-def compare_negativity(frame: DataFrame, fitted_a: FittedModel | None = None) -> Experiment:
+def compare_negativity(
+    frame: DataFrame, fitted_a: FittedModel | None = None, first: Experiment | None = None
+) -> Experiment:
     """The same logistic regression without (A) and with (B) the negativity score.
 
-    A is the plain text model; a fit made on the same split can be handed in.
+    A is the plain text model; a fit made on the same split can be handed in, and an experiment
+    over the same frame, whose split, vocabulary and weights are then used.
     """
     lacking = [name for name in EXPERIMENT_COLUMNS if name not in frame.columns]
     if lacking:
         raise ValueError(f"missing columns: {lacking}")
-    split, vectoriser, rows = _prepared(frame)
-    train = materialise(rows.where(F.col("split") == TRAIN))
+    split, vectoriser, rows = (first.split, first.vectoriser, first.rows) if first else _prepared(frame)
+    train = rows.where(F.col("split") == TRAIN)
     plain = fitted_a or fit_logistic(train, vectoriser.size, MODEL_A)
     models = {
         MODEL_A: replace(plain, name=MODEL_A),
         MODEL_B: fit_logistic(train, vectoriser.size, MODEL_B, numeric="negativity"),
     }
     scored = predictions(rows.where(F.col("split") == TEST), list(models.values()))
-    return Experiment(vectoriser, models, split, scored)
+    return Experiment(vectoriser, models, split, materialise(scored), rows)
 
 
 def differences(experiment: Experiment) -> DataFrame:

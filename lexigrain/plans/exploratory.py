@@ -12,7 +12,7 @@ from lexigrain.operators.features import add_features, add_sentiment
 from lexigrain.operators.split import split_summary
 from lexigrain.plans.experiments import evaluate_models
 from lexigrain.plans.model_store import TextClassifier
-from lexigrain.session import materialise
+from lexigrain.session import stored
 from lexigrain.sources.lexicon import Lexicon
 from lexigrain.sources.sinks import write_frame, write_table
 
@@ -34,7 +34,7 @@ def run_exploratory(
     """
     spark = corpus.sparkSession
     validation.validate_corpus(corpus)
-    frame = materialise(add_sentiment(add_features(corpus), lexicon))
+    frame = stored(add_sentiment(add_features(corpus), lexicon), "features")
     frequencies = {
         name: ngrams.ngram_frequencies(frame, (n,), top_k=50)
         for n, name in ((1, "unigrams"), (2, "bigrams"), (3, "trigrams"))

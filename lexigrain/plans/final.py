@@ -12,6 +12,9 @@ from lexigrain.fixed_values import (
     CORRECT,
     DEMO_TEXTS_FINAL,
     LOGISTIC_MODEL,
+    MAX_DOCUMENT_SHARE,
+    MAX_TERMS,
+    MIN_DOCUMENTS,
     MODEL_A,
     MODEL_B,
     SEED,
@@ -22,7 +25,7 @@ from lexigrain.operators.split import same_split, split_summary
 from lexigrain.plans.experiments import compare_negativity, differences, evaluate_models
 from lexigrain.plans.exploratory import score_texts
 from lexigrain.plans.model_store import TextClassifier
-from lexigrain.session import materialise
+from lexigrain.session import materialise, stored
 from lexigrain.sources.lexicon import Lexicon
 from lexigrain.sources.sinks import write_frame, write_json_row, write_table
 
@@ -44,7 +47,7 @@ def run_final(
     """Write every final table, the chosen model and the run summary under ``output``."""
     spark = corpus.sparkSession
     validation.validate_corpus(corpus)
-    frame = materialise(add_sentiment(add_features(corpus), lexicon))
+    frame = stored(add_sentiment(add_features(corpus), lexicon), "sentiment")
     audit = materialise(contrast.negativity_audit(frame))
     compared = materialise(
         contrast.compare_groups(frame, CONTRAST_METRICS, resamples=resamples, small_domain=True)
@@ -71,10 +74,10 @@ def run_final(
         write_table(table, f"{output}/tables/{name}")
 
     first = evaluate_models(frame, model_names)
-    second = compare_negativity(frame, first.models.get(LOGISTIC_MODEL))
+    second = compare_negativity(frame, first.models.get(LOGISTIC_MODEL), first)
     if not same_split(first.split, second.split):
         raise RuntimeError("the experiments used different validation rows")
-    scored = materialise(second.predictions)
+    scored = second.predictions
     first_metrics, second_metrics = materialise(first.metrics), materialise(second.metrics)
     changes = materialise(differences(second))
     catalogue = materialise(evaluation.model_catalogue(first_metrics, second_metrics, [MODEL_B]))
@@ -89,6 +92,8 @@ def run_final(
     choice = evaluation.select_model(evaluation.require_rivals(second_metrics)).first()
     family = evaluation.best_first_family(catalogue).first()
     winner = second.models[choice.model]
+    # One row per part of the split.
+    parts_of_split = {row["split"]: row for row in split_summary(second.split).collect()}
     metadata = {
         "model": choice.model,
         "uses_negativity": winner.uses_numeric,
@@ -97,6 +102,15 @@ def run_final(
         "base_family": family.model if family else None,
         "parameters": winner.parameters,
         "seed": SEED,
+        "vocabulary": {
+            "ngram_sizes": list(second.vectoriser.sizes),
+            "min_documents": MIN_DOCUMENTS,
+            "max_document_share": MAX_DOCUMENT_SHARE,
+            "max_terms": MAX_TERMS,
+            "terms": second.vectoriser.size,
+        },
+        "documents": {part: row.documents for part, row in parts_of_split.items()},
+        "positive_pct": {part: row.positive_pct for part, row in parts_of_split.items()},
         "validation": second_metrics.where(F.col("model") == choice.model).first().asDict(),
     }
     classifier = TextClassifier(second.vectoriser, winner, metadata)
@@ -121,11 +135,21 @@ def run_final(
         "negativity": _as_map(audit, "indicator", "value"),
         "contrast": compared.where("metric = 'negativity'").select(F.struct("*").alias("m")),
         "final_model": second_metrics.where(F.col("model") == choice.model).select(F.struct("*").alias("m")),
-        "negativity_effect": _as_map(changes, "metric", "difference"),
+        "negativity_effect": changes.agg(
+            F.map_from_entries(
+                F.collect_list(
+                    F.struct("metric", F.struct("model_a", "model_b", "difference", "direction").alias("effect"))
+                )
+            ).alias("m")
+        ),
         "errors": _as_map(errors, "error_type", "n"),
     }
     summary = spark.range(1).select(
-        F.lit(frame.count()).alias("documents"), *[part.scalar().alias(name) for name, part in parts.items()]
+        F.lit(frame.count()).alias("documents"),
+        F.lit(SEED).alias("seed"),
+        F.lit(winner.uses_numeric).alias("uses_negativity"),
+        F.lit(choice.reason).alias("reason"),
+        *[part.scalar().alias(name) for name, part in parts.items()],
     )
     write_json_row(summary.select(F.to_json(F.struct("*")).alias("value")), f"{output}/summary")
     write_frame(frame, f"{output}/processed/sentiment")

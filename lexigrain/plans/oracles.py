@@ -28,11 +28,11 @@ def phrase(column: str, lang: str, phrases: dict[str, str]) -> str:
 
 # ------------------------------------------------------------------------ text functions
 def contracted(x: str) -> str:
-    rules = [
-        (r"\bwon['’]t\b", "will not"), (r"\bcan['’]t\b", "can not"), (r"n['’]t\b", " not"),
-        (r"['’]re\b", " are"), (r"['’]ve\b", " have"), (r"['’]ll\b", " will"),
-        (r"['’]d\b", " would"), (r"['’]m\b", " am"),
-    ]
+    rules = []
+    for short, long in V.CONTRACTIONS:
+        # A rule with letters before "n't" stands for a word of its own.
+        start, end = (r"\b" if short[0].isalpha() and short != "n't" else ""), r"\b"
+        rules.append((start + short.replace("'", "['’]") + end, long))
     for pattern, long in rules:
         x = f"regexp_replace({x}, {text('(?i)' + pattern)}, {text(long)}, 'g')"
     return x
@@ -44,6 +44,10 @@ def unescaped(x: str) -> str:
     return f"regexp_replace({x}, '&amp;?', '&', 'g')"
 
 
+#: What the references appended to every page stand for, by the HTML standard.
+RESOLVED = " 😂😂 😂 \U000f4240 \U0010fffd||\ufffd ©x &bogus; \ufffd –"
+
+
 def no_links(x: str) -> str:
     x = f"regexp_replace({x}, {text(f'(?i)(https?://|www[.])[{NOT_SPACE}]+')}, ' ', 'g')"
     return f"regexp_replace({x}, {text(f'@[{L}]+')}, ' ', 'g')"
@@ -105,6 +109,10 @@ PARTLY = (
     "corpus AS (SELECT doc_id AS id, source AS keyword, lang AS location, text, quality AS target "
     "FROM documents LEFT JOIN labels USING (doc_id))"
 )
+EITHER = (
+    "corpus AS (SELECT doc_id AS id, source AS keyword, lang AS location, text, quality AS target "
+    "FROM documents FULL JOIN labels USING (doc_id))"
+)
 CLEAN = f"{CORPUS}, clean AS MATERIALIZED (SELECT id, keyword, target, text, {classified('text')} AS clean_text FROM corpus)"
 LOWER_TOKENS = tokens("lower(text)")
 FEATURES = (
@@ -117,6 +125,8 @@ FEATURES = (
     "CAST(location IS NOT NULL AS INTEGER) AS location_present FROM base)"
 )
 
+ALL_FEATURES = FEATURES.replace("FROM marked JOIN labels", "FROM marked LEFT JOIN labels")
+
 
 # ---------------------------------------------------------------------------- sentiment
 def values(table: dict[str, float]) -> str:
@@ -248,12 +258,13 @@ SENTIMENT_LABEL = (
 )
 
 
-def sentiment_frame(phrases: bool) -> str:
-    """CTEs ending in ``sentiment``, the labelled sentiment frame."""
+def sentiment_frame(phrases: bool, everything: bool = False) -> str:
+    """CTEs ending in ``sentiment``, of the labelled or of all documents."""
+    join = "LEFT JOIN" if everything else "JOIN"
     body = phrase("text", "lang", SENTIMENT_PHRASES) if phrases else "text"
     return (
         f"spoken AS MATERIALIZED (SELECT doc_id AS id, {body} AS text, quality AS target, source AS keyword "
-        f"FROM documents JOIN labels USING (doc_id)), {sentiment_ctes('spoken')}, "
+        f"FROM documents {join} labels USING (doc_id)), {sentiment_ctes('spoken')}, "
         "sentiment AS MATERIALIZED (SELECT spoken.*, compound AS sentiment_compound, negative AS sentiment_negative, "
         f"positive AS sentiment_positive, neutral AS sentiment_neutral, {SENTIMENT_LABEL} AS sentiment_label, "
         "CASE WHEN compound < 0 THEN -compound ELSE 0.0 END AS negativity, pos_word_count, neg_word_count, "
@@ -401,15 +412,15 @@ def oracles() -> dict[str, str]:
     )
     presence = ("url_count", "mention_count", "hashtag_count", "exclamation_count", "question_count", "contains_911", "emoji_like_count")
     columns = (("id", "bigint"), ("keyword", "string"), ("location", "string"), ("text", "string"), ("target", "int"))
-    spoken = sentiment_frame(True)
+    spoken, all_spoken = sentiment_frame(True), sentiment_frame(True, True)
     extreme = (
-        f"{spoken}, extremes AS (SELECT * FROM (SELECT *, {text(V.TOP_POSITIVE)} AS extreme FROM sentiment ORDER BY sentiment_compound DESC, id LIMIT 10) "
+        f"{all_spoken}, extremes AS (SELECT * FROM (SELECT *, {text(V.TOP_POSITIVE)} AS extreme FROM sentiment ORDER BY sentiment_compound DESC, id LIMIT 10) "
         f"UNION ALL SELECT * FROM (SELECT *, {text(V.TOP_NEGATIVE)} AS extreme FROM sentiment ORDER BY sentiment_compound, id LIMIT 10))"
     )
     out: dict[str, str] = {}
 
     out["validate_corpus"] = (
-        f"WITH {CORPUS} SELECT 'duplicate_ids' AS \"check\", count(*) - count(DISTINCT id) AS violations FROM corpus "
+        f"WITH {EITHER} SELECT 'duplicate_ids' AS \"check\", count(*) - count(DISTINCT id) AS violations FROM corpus "
         "UNION ALL SELECT 'unknown_labels', count(*) FILTER (target NOT IN (0, 1)) FROM corpus "
         "UNION ALL SELECT 'missing_labels', CAST(2 - count(DISTINCT target) FILTER (target IN (0, 1)) AS BIGINT) FROM corpus "
         "UNION ALL SELECT 'null_texts', count(*) FILTER (text IS NULL) FROM corpus"
@@ -427,7 +438,7 @@ def oracles() -> dict[str, str]:
         f"SELECT '{c}' AS column_name, {r6('null_pct', f'100 * (count(*) - count({c})) / count(*)')} FROM corpus" for c, _ in columns
     )
     plain = unescaped("html")
-    out["html_entities"] = f"SELECT page_id, CAST(length(p) AS INTEGER) AS plain_chars, md5(p) AS plain_md5 FROM (SELECT page_id, {plain} AS p FROM pages)"
+    out["html_entities"] = f"SELECT page_id, CAST(length(p) AS INTEGER) AS plain_chars, md5(p) AS plain_md5 FROM (SELECT page_id, {plain} || {text(RESOLVED)} AS p FROM pages)"
     out["contractions"] = f"WITH {MARKED} SELECT id, {contracted('text')} AS expanded FROM marked"
     out["clean_classification"] = f"WITH {MARKED} SELECT id, {classified('text')} AS clean_text FROM marked"
     out["clean_sentiment"] = f"WITH {MARKED} SELECT id, {light('text')} AS sentiment_text FROM marked"
@@ -460,12 +471,12 @@ def oracles() -> dict[str, str]:
         "with_mention": "count(*) FILTER (mention_count > 0)", "with_hashtag": "count(*) FILTER (hashtag_count > 0)",
         "with_911": "sum(contains_911)", "clean_with_911": "count(*) FILTER (regexp_matches(clean_text, '\\b911\\b'))",
     }
-    out["cleaning_audit"] = f"WITH {FEATURES} " + " UNION ALL ".join(
+    out["cleaning_audit"] = f"WITH {ALL_FEATURES} " + " UNION ALL ".join(
         f"SELECT '{k}' AS indicator, round(CAST({v} AS DOUBLE), 6) AS value FROM features" for k, v in audit.items()
     )
     marked_row = "(url_count > 0 OR mention_count > 0 OR hashtag_count > 0 OR contains_911 = 1)"
     out["before_after_examples"] = (
-        f"WITH {FEATURES} SELECT * FROM (SELECT id, target, text, clean_text FROM features WHERE {marked_row} ORDER BY id LIMIT 8) "
+        f"WITH {ALL_FEATURES} SELECT * FROM (SELECT id, target, text, clean_text FROM features WHERE {marked_row} ORDER BY id LIMIT 8) "
         f"UNION ALL SELECT * FROM (SELECT id, target, text, clean_text FROM features WHERE NOT {marked_row} ORDER BY id LIMIT 4)"
     )
     out["marker_rates"] = f"WITH {FEATURES} " + " UNION ALL ".join(
@@ -511,7 +522,7 @@ def oracles() -> dict[str, str]:
     out["sentiment_word_counts"] = f"WITH {all_scored()} SELECT * FROM counts"
     out["polarity_scores"] = f"WITH {all_scored()} SELECT * FROM scores"
     out["sentiment_labels"] = (
-        f"WITH {spoken} SELECT id, sentiment_compound, sentiment_label, negativity, token_count FROM sentiment"
+        f"WITH {all_spoken} SELECT id, sentiment_compound, sentiment_label, negativity, token_count FROM sentiment"
     )
     out["sentiment_by_class"] = (
         f"WITH {spoken} SELECT target, l AS sentiment_label, count(*) FILTER (sentiment_label = l) AS documents, "
@@ -523,7 +534,7 @@ def oracles() -> dict[str, str]:
         f"{r6('percent', '100 * count(*) / sum(count(*)) OVER (PARTITION BY target)')} FROM sentiment GROUP BY target, sentiment_label"
     )
     out["sentiment_global"] = (
-        f"WITH {spoken} SELECT sentiment_label, count(*) AS documents, {r6('percent', '100 * count(*) / sum(count(*)) OVER ()')} "
+        f"WITH {all_spoken} SELECT sentiment_label, count(*) AS documents, {r6('percent', '100 * count(*) / sum(count(*)) OVER ()')} "
         "FROM sentiment GROUP BY sentiment_label"
     )
     out["sentiment_stats"] = (
@@ -554,10 +565,10 @@ def oracles() -> dict[str, str]:
         "zero_pct": "100 * count(*) FILTER (negativity = 0) / count(*)",
     }
     out["negativity_audit"] = (
-        f"WITH {spoken} "
-        + " UNION ALL ".join(f"SELECT '{k}' AS indicator, round(CAST({v} AS DOUBLE), 6) + 0.0 AS value FROM sentiment" for k, v in audit_values.items())
+        f"WITH {all_spoken} "
+        + " UNION ALL ".join(f"SELECT '{k}' AS indicator, round(CAST({v} AS DOUBLE), 9) + 0.0 AS value FROM sentiment" for k, v in audit_values.items())
         + "".join(
-            f" UNION ALL SELECT '{k}', round({spearman}, 6) + 0.0 FROM (SELECT {ranks('rx', 'negativity')}, {ranks('ry', c)} FROM sentiment)"
+            f" UNION ALL SELECT '{k}', round({spearman}, 9) + 0.0 FROM (SELECT {ranks('rx', 'negativity')}, {ranks('ry', c)} FROM sentiment WHERE {c} IS NOT NULL)"
             for k, c in (("spearman_negative", "sentiment_negative"), ("spearman_target", "target"))
         )
     )

@@ -39,7 +39,7 @@ from lexigrain.plans.experiments import compare_negativity, differences, evaluat
 from lexigrain.plans.model_store import TextClassifier
 from lexigrain.sources.corpus import corpus_from_tables, spread, unlabelled_documents
 from lexigrain.session import materialise
-from lexigrain.sources.lexicon import Lexicon, _boosters, _starter_valences
+from lexigrain.sources.lexicon import Lexicon, boosters, starter_valences
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +54,8 @@ SENTIMENT_PHRASES = {
     "de": " never so good at least bad, no awful or nice thing kind of happy without doubt lovely?? kind kiss of death",
     "fr": " sort of terrible day that was no great fun, least ugly; yeah right :) ???? EXTREMELY HORRIBLE 😢",
 }
+# References appended to every page: numeric, bare, unknown and out of range (fixed value).
+REFERENCES = " &#128514;&#x1F602; &#0128514 &#1000000; &#1114109;|&#1114111;|&#1114112; &copyx &bogus; &#xD800; &#150;"
 # Valences and modifiers given to frequent corpus words (fixed values).
 CORPUS_VALENCES = {
     "erst": 1.9, "thing": 2.3, "ther": -1.4, "than": 0.8, "thin": -2.1, "eres": -0.9, "erin": 1.1,
@@ -63,8 +65,8 @@ CORPUS_BOOSTERS = {"with": 0.293, "from": -0.293, "sur": 0.293}
 CORPUS_NEGATORS = ("by", "mit", "dans")
 
 LEXICON = Lexicon(
-    valences=_starter_valences() | CORPUS_VALENCES,
-    boosters=_boosters() | CORPUS_BOOSTERS,
+    valences=starter_valences() | CORPUS_VALENCES,
+    boosters=boosters() | CORPUS_BOOSTERS,
     negators=SENTIMENT_NEGATORS + CORPUS_NEGATORS,
 )
 
@@ -96,6 +98,21 @@ def marked_features(spark: SparkSession, folder: str) -> DataFrame:
     return add_features(_with_phrase(corpus(spark, folder), MARK_PHRASES, "location"))
 
 
+def all_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Features of every document; the label is null where there is none."""
+    return add_features(_with_phrase(partly_labelled(spark, folder), MARK_PHRASES, "location"))
+
+
+def all_sentiment(spark: SparkSession, folder: str) -> DataFrame:
+    return add_sentiment(_with_phrase(partly_labelled(spark, folder), SENTIMENT_PHRASES, "location"), LEXICON)
+
+
+def labels_and_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document and every label, also where one lacks the other."""
+    labels = table(spark, folder, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("target"))
+    return corpus_from_tables(documents(spark, folder)).join(labels, "id", "full")
+
+
 def clean_corpus(spark: SparkSession, folder: str) -> DataFrame:
     return add_clean_text(corpus(spark, folder))
 
@@ -128,7 +145,8 @@ def rounded(frame: DataFrame, digits: int = 6) -> DataFrame:
 # ------------------------------------------------------------------- column functions
 def entities(spark: SparkSession, folder: str) -> DataFrame:
     plain = reuse(("entities", "html"), lambda: unescape_html(F.col("html")))
-    pages = spread(table(spark, folder, "pages"), "page_id").withColumn("plain", plain)
+    pages = spread(table(spark, folder, "pages"), "page_id")
+    pages = pages.withColumn("html", F.concat("html", F.lit(REFERENCES))).withColumn("plain", plain)
     return pages.select("page_id", F.length("plain").alias("plain_chars"), F.md5("plain").alias("plain_md5"))
 
 
@@ -202,7 +220,7 @@ def polarity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sentiment_labels(spark: SparkSession, folder: str) -> DataFrame:
-    frame = sentiment_corpus(spark, folder)
+    frame = all_sentiment(spark, folder)
     return frame.select("id", "sentiment_compound", "sentiment_label", "negativity", "token_count")
 
 
@@ -286,11 +304,12 @@ def registry() -> dict[str, Query]:
     def click_or_purchase(spark: SparkSession, folder: str) -> DataFrame:
         kind = F.col("event_type")
         flag = F.when(kind == "click", 1).when(kind == "purchase", 0)
-        return table(spark, folder, "events").select(flag.alias("target"), "value")
+        chosen = table(spark, folder, "events").where(kind.isin("click", "purchase"))
+        return chosen.select(flag.alias("target"), "value")
 
     def returned(spark: SparkSession, folder: str) -> DataFrame:
         flag = F.col("l_returnflag")
-        return table(spark, folder, "lineitem").select(
+        return table(spark, folder, "lineitem").where(flag.isin("R", "N")).select(
             F.when(flag == "R", 1).when(flag == "N", 0).alias("target"), "l_extendedprice", "l_quantity"
         )
 
@@ -298,7 +317,7 @@ def registry() -> dict[str, Query]:
         return lambda s, d: rounded(ngrams.ngram_frequencies(clean_corpus(s, d), (n,), top_k=50))
 
     return {
-        "validate_corpus": lambda s, d: validation.corpus_checks(corpus(s, d)),
+        "validate_corpus": lambda s, d: validation.corpus_checks(labels_and_texts(s, d)),
         "duplicate_rows": lambda s, d: validation.duplicate_rows(documents(s, d).select("text", "lang", "source")),
         "schema_profile": lambda s, d: rounded(validation.schema_profile(partly_labelled(s, d))),
         "null_rates": lambda s, d: rounded(validation.null_rates(partly_labelled(s, d))),
@@ -313,8 +332,8 @@ def registry() -> dict[str, Query]:
         "decoded_keywords": decoded_keywords,
         "label_distribution": lambda s, d: rounded(reports.label_distribution(partly_labelled(s, d))),
         "features_by_class": lambda s, d: rounded(reports.features_by_class(marked_features(s, d))),
-        "cleaning_audit": lambda s, d: rounded(reports.cleaning_audit(marked_features(s, d))),
-        "before_after_examples": lambda s, d: reports.before_after_examples(marked_features(s, d)),
+        "cleaning_audit": lambda s, d: rounded(reports.cleaning_audit(all_features(s, d))),
+        "before_after_examples": lambda s, d: reports.before_after_examples(all_features(s, d)),
         "marker_rates": lambda s, d: rounded(reports.marker_rates(marked_features(s, d))),
         "top_keywords": lambda s, d: reports.top_keywords(corpus(s, d)),
         "unigrams": grams(1),
@@ -328,13 +347,13 @@ def registry() -> dict[str, Query]:
         "sentiment_labels": sentiment_labels,
         "sentiment_by_class": lambda s, d: rounded(reports.sentiment_by_class(sentiment_corpus(s, d))),
         "sentiment_observed": lambda s, d: rounded(reports.sentiment_observed(sentiment_corpus(s, d))),
-        "sentiment_global": lambda s, d: rounded(reports.sentiment_global(sentiment_corpus(s, d))),
+        "sentiment_global": lambda s, d: rounded(reports.sentiment_global(all_sentiment(s, d))),
         "sentiment_stats": lambda s, d: rounded(reports.sentiment_statistics(sentiment_corpus(s, d))),
         "sentiment_mean_words": lambda s, d: rounded(reports.mean_sentiment_words(sentiment_corpus(s, d))),
-        "extreme_docs": lambda s, d: reports.tagged_extremes(sentiment_corpus(s, d)),
-        "extremes_composition": lambda s, d: reports.extremes_composition(sentiment_corpus(s, d)),
-        "extremes_patterns": lambda s, d: rounded(reports.extremes_patterns(sentiment_corpus(s, d))),
-        "negativity_audit": lambda s, d: rounded(contrast.negativity_audit(sentiment_corpus(s, d))),
+        "extreme_docs": lambda s, d: reports.tagged_extremes(all_sentiment(s, d)),
+        "extremes_composition": lambda s, d: reports.extremes_composition(all_sentiment(s, d)),
+        "extremes_patterns": lambda s, d: rounded(reports.extremes_patterns(all_sentiment(s, d))),
+        "negativity_audit": lambda s, d: rounded(contrast.negativity_audit(all_sentiment(s, d)), 9),
         "negativity_ranges": lambda s, d: rounded(reports.negativity_ranges(sentiment_corpus(s, d))),
         "mann_whitney": lambda s, d: rounded(contrast.mann_whitney(click_or_purchase(s, d), ["value"])),
         "cliffs_delta": lambda s, d: rounded(
@@ -351,6 +370,9 @@ def registry() -> dict[str, Query]:
         "bootstrap_ci": lambda s, d: rounded(
             contrast.bootstrap_intervals(click_or_purchase(s, d), ["value"], resamples=1_000)
         ),
+        "bootstrap_ci_wide": lambda s, d: rounded(
+            contrast.bootstrap_intervals(returned(s, d), ["l_extendedprice"], resamples=200)
+        ),
         "spearman": lambda s, d: rounded(
             contrast.spearman(table(s, d, "lineitem"), "l_quantity", "l_extendedprice")
         ),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job relies on. Partition counts are left to the cluster; AQE
@@ -49,3 +51,16 @@ def materialise(frame: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(frame.sparkSession)
     return frame.checkpoint(eager=True)
+
+
+def stored(frame: DataFrame, name: str) -> DataFrame:
+    """``frame`` as Parquet in the shared folder.
+
+    For wide frames that many branches read: each then reads only its columns, with statistics,
+    where a checkpoint would give back whole rows.
+    """
+    ensure_checkpoint_dir(frame.sparkSession)
+    folder = frame.sparkSession.sparkContext._jsc.sc().getCheckpointDir().get()
+    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

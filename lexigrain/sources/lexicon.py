@@ -67,12 +67,12 @@ STARTER_EMOJIS = {
 }
 
 
-def _starter_valences() -> dict[str, float]:
+def starter_valences() -> dict[str, float]:
     entries = (entry.split() for entry in STARTER_VALENCES.split(";"))
     return {word: float(value) for word, value in entries}
 
 
-def _boosters() -> dict[str, float]:
+def boosters() -> dict[str, float]:
     up = {word: BOOST for word in INTENSIFIERS}
     down = {word: -BOOST for word in DAMPENERS + DAMPENER_PHRASES}
     return up | down
@@ -82,9 +82,9 @@ def _boosters() -> dict[str, float]:
 class Lexicon:
     """Dictionaries the sentiment rules look words up in; keys are lower case."""
 
-    valences: Mapping[str, float] = field(default_factory=_starter_valences)
+    valences: Mapping[str, float] = field(default_factory=starter_valences)
     emojis: Mapping[str, str] = field(default_factory=lambda: dict(STARTER_EMOJIS))
-    boosters: Mapping[str, float] = field(default_factory=_boosters)
+    boosters: Mapping[str, float] = field(default_factory=boosters)
     negators: Sequence[str] = SENTIMENT_NEGATORS
     idioms: Mapping[str, float] = field(default_factory=lambda: dict(IDIOMS))
 

@@ -4,7 +4,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from lexigrain.fixed_values import BASELINE_MODEL, LOGISTIC_MODEL, NAIVE_BAYES_MODEL
+from lexigrain.fixed_values import BASELINE_MODEL, LOGISTIC_MODEL, NAIVE_BAYES_MODEL, SVM_MODEL
 from lexigrain.plans.exploratory import run_exploratory
 from lexigrain.plans.final import run_final
 from lexigrain.sources.lexicon import Lexicon
@@ -20,10 +20,12 @@ def corpus(spark):
 
 
 def test_exploratory_run(spark, tmp_path):
-    frame = run_exploratory(corpus(spark), str(tmp_path), Lexicon(), NAMES)
+    frame = run_exploratory(corpus(spark), str(tmp_path), Lexicon(), [*NAMES, SVM_MODEL])
     assert frame.count() == 80
     metrics = spark.read.option("header", True).csv(str(tmp_path / "tables/model_metrics"))
-    assert metrics.count() == 3
+    assert metrics.count() == 4
+    fitted = metrics.where(F.col("model").isin(LOGISTIC_MODEL, SVM_MODEL)).collect()
+    assert [float(row.f1) for row in fitted] == [1.0, 1.0]
     examples = spark.read.option("header", True).csv(str(tmp_path / "tables/scored_examples"))
     assert [r.compound for r in examples.orderBy("id").collect()] == ["-0.4003", "0.1494", "-0.3818"]
 
@@ -33,5 +35,10 @@ def test_final_run(spark, tmp_path):
     summary = json.loads(spark.read.text(str(tmp_path / "summary")).first().value)
     assert summary["documents"] == 80 and sum(summary["sentiment"].values()) == 80
     assert summary["final_model"]["model"] == classifier.metadata["model"]
+    effect = summary["negativity_effect"]["f1"]
+    assert effect["difference"] == effect["model_b"] - effect["model_a"] and effect["direction"]
+    assert summary["seed"] == 42 and summary["uses_negativity"] == classifier.model.uses_numeric
+    assert classifier.metadata["documents"] == {"train": 64, "test": 16}
+    assert classifier.metadata["vocabulary"]["terms"] == classifier.vectoriser.size
     predictions = spark.read.option("header", True).csv(str(tmp_path / "processed/predictions"))
     assert predictions.where(F.col("model") == classifier.model.name).count() == 16

@@ -32,6 +32,7 @@ def test_entities_follow_the_standard_library(spark):
     texts = [
         "&amp;lt; &lt; &notit; &#128514; &#x1F602; &#0; &#150; &#xD800; &#99999999999; &copy &foo; &&&",
         "&#xfdd0;&ampfoo &AMP; &rarr; &Acy;&#1;x &hellip;&#8364 5 &#xFFFE;",
+        "&#1000000;&#1048573;&#0001000000; &#1114109;|&#1114111;|&#1114112;|&#xF4240;|&#x10FFFF;|&#x110000;|&#18446744073709551617;",
         "nothing here",
     ]
     assert column(spark, texts, unescape_html(raw())) == [html.unescape(t) for t in texts]
