@@ -7,16 +7,18 @@ The join is exact for a threshold given in percent:
    band may differ in tokens, plus one; so two similar sets agree in at least one whole segment.
    A node's tokens in a segment, hashed together, are its signature there. Frequent shingles
    need no statistics: a passage shared by very many texts does not make a segment equal.
-3. *Groups.* All nodes of a signature are compared with one of them, its leader. Verified links
-   partition similar nodes into groups.
-4. *Token-group matrix.* Where a signature holds several groups, each group's token union is stored
-   as rows (group, token). A node can only link with a member of another group if the union
-   holds ``percent`` of the node's tokens; only groups that pass this bound are opened, and
-   their members in the same signature are verified too.
+3. *Families.* All nodes of a signature are compared with one of them, its leader. Verified links
+   make groups; a leader and all nodes compared with it are a family, and every link lies in one.
+4. *Token-group matrix.* Where a family holds more than one linked group, its members are
+   partitioned into groups of neighbours by least token, and each group's token union is a row of
+   bits. A member opens a group only if the union lacks no more of its tokens than the
+   threshold lets differ; opened members pass the same bound one by one, then the exact test.
 
 Signatures are dealt to tasks by hash and read as a stream; a task remembers one leader for each
 signature, so a signature held by a third of all documents costs time in proportion but no
-memory. Verification is a join whose hot keys Spark can split. Nothing is collected.
+memory. Verification is a join whose hot keys Spark can split; large families are cut into blocks
+and their block pairs dealt out, and tasks return only links that join groups up. Nothing is
+collected.
 
 Defined results: null and empty texts, and texts without words, have no shingles and are linked with
 nothing; texts of fewer words than a shingle have one, the whole sequence; equal texts under
@@ -51,6 +53,8 @@ PERCENT = 90
 NODE_SEED, PART_SEED, BAND_SEED = np.uint64(0x51F1), np.uint64(0x7A3D), np.uint64(0x2545F491)
 #: Signatures a task gathers before it looks up their leaders.
 BLOCK = 400_000
+#: Members of a family compared in one task; bits of a row of the matrix; members of a group.
+MEMBERS, BITS, GROUP = 512, 4096, 16
 
 
 def shingle_sets(texts: list[str], size: int = SHINGLE) -> list[np.ndarray]:
@@ -255,57 +259,115 @@ def nodes_repeat(nodes: DataFrame) -> bool:
     return not nodes.groupBy("doc_id").count().where("count > 1").limit(1).isEmpty()
 
 
-def tokens_of(texts: DataFrame) -> DataFrame:
-    """``node, tokens`` of ``node, text``."""
-
-    def run(batches: Batches) -> Batches:
-        for batch in small_batches(batches):
-            sets = shingle_sets(texts_of(batch))
-            flat = np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64)
-            tokens = list_array(flat, np.array([len(each) for each in sets]), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), tokens], ["node", "tokens"])
-
-    return texts.select("node", "text").mapInArrow(run, "node long, tokens array<long>")
-
-
-def opened_pairs(nodes: DataFrame, pairs: DataFrame, groups: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs of nodes of different groups that share a signature and pass the bound of the matrix.
+def families(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The families that may hold links between groups: ``family, node, grp, loose``.
 
+    A family is a leader with all nodes that were compared with it. Nodes that share a signature
+    are in the family of its leader, so every link lies in some family. Members whose group is
+    not the leader's are loose; a family without loose members is one group and done.
     ``groups`` has ``node, component``; nodes without an entry are groups of their own.
     """
     of = lambda side: groups.select(F.col("node").alias(side), F.col("component").alias(f"group_{side}"))
     grouped = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
         "a", "b", F.coalesce("group_a", "a").alias("group_a"), F.coalesce("group_b", "b").alias("group_b")
     )
-    # Only signatures whose leader met another group can hold two groups.
-    leaders = grouped.where("group_a != group_b").select("b").distinct()
-    near = grouped.join(leaders, "b", "left_semi")
-    members = store(
-        near.select(F.col("a").alias("node"), F.col("group_a").alias("grp"))
-        .union(near.select("b", "group_b")).distinct(), "jaccard-members",
-    )
-    marks = nodes.where("node is not null").select("node", F.explode("signatures").alias("mark"))
-    placed = marks.join(members, "node").distinct()
-    mixed = placed.groupBy("mark").agg(F.min("grp").alias("low"), F.max("grp").alias("high")).where("low != high")
-    shared = store(placed.join(mixed.select("mark"), "mark"), "jaccard-shared")
-    groups_at = shared.select("mark", F.col("grp").alias("other")).distinct()
-    queries = shared.join(groups_at, "mark").where("grp > other").select("node", "other").distinct()
-    # The matrix: each group's token union as rows; the overlap of a query is a count of equal rows.
-    tokens = store(tokens_of(texts).join(members, "node"), "jaccard-tokens")
-    matrix = tokens.select(F.col("grp").alias("other"), F.explode("tokens").alias("token")).distinct()
-    asked = queries.join(tokens.select("node", "tokens"), "node").select(
-        "node", "other", F.size("tokens").alias("n"), F.explode("tokens").alias("token")
+    grouped = store(grouped.withColumn("loose", F.col("group_a") != F.col("group_b")), "jaccard-grouped")
+    leaders = grouped.where("loose").select("b").distinct()
+    members = grouped.join(leaders, "b", "left_semi")
+    heads = members.select(F.col("b").alias("family"), F.col("b").alias("node"), F.col("group_b").alias("grp"), F.lit(False).alias("loose"))
+    rest = members.select(F.col("b").alias("family"), F.col("a").alias("node"), F.col("group_a").alias("grp"), "loose")
+    return rest.union(heads.distinct())
+
+
+def dealt_families(members: DataFrame) -> DataFrame:
+    """Members with the pairs of blocks in which they are compared: ``family, low, high, block, …``.
+
+    A family of more than ``MEMBERS`` is cut in blocks, loose members apart from the others; only
+    block pairs with a loose side are needed.
+    """
+    sizes = members.groupBy("family").agg(F.count_if("loose").alias("n_loose"), F.count_if(~F.col("loose")).alias("n_fast"))
+    small = F.col("n_loose") + F.col("n_fast") <= MEMBERS
+    cut = lambda n: F.ceil(F.col(n) / MEMBERS).cast("int")
+    spot = F.pmod(F.xxhash64("node"), F.when(F.col("loose"), F.col("loose_blocks")).otherwise(F.col("fast_blocks"))).cast("int")
+    placed = (
+        members.join(sizes, "family")
+        .withColumn("loose_blocks", F.when(small, 1).otherwise(cut("n_loose")))
+        .withColumn("fast_blocks", F.when(small, 0).otherwise(cut("n_fast")))
+        .withColumn("block", F.when(small, 0).when(F.col("loose"), spot).otherwise(F.col("loose_blocks") + spot))
     )
-    overlap = asked.join(matrix, ["other", "token"]).groupBy("node", "other").agg(F.count("*").alias("c"), F.first("n").alias("n"))
-    qualified = overlap.where(100 * F.col("c") >= percent * F.col("n")).select(F.col("node").alias("a"), "other")
-    opened = shared.select(F.col("node").alias("a"), "mark").join(qualified, "a").join(
-        shared.select(F.col("node").alias("b"), F.col("grp").alias("other"), "mark"), ["mark", "other"]
+    last = F.when(F.col("block") < F.col("loose_blocks"), F.col("loose_blocks") + F.col("fast_blocks") - 1).otherwise(
+        F.col("loose_blocks") - 1
     )
-    return opened.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti").join(
-        pairs.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"
+    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    return spread.select(
+        "family", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "grp", "loose"
     )
 
 
+def bit_rows(sets: list[np.ndarray]) -> np.ndarray:
+    """Each set as a row of ``BITS`` bits. A bit that one row has and another lacks is a token that
+    the other lacks, so differences are never overstated."""
+    rows = np.zeros((len(sets), BITS), dtype=np.uint8)
+    for at, tokens in enumerate(sets):
+        rows[at, (tokens % np.uint64(BITS)).astype(np.int64)] = 1
+    return np.packbits(rows, axis=1).view(np.uint64)
+
+
+def group_links(nodes: list[int], groups: list[int], loose: list[bool], blocks: list[int], sets: list[np.ndarray], percent: int) -> list:
+    """Links between members of different groups, no more than join them up.
+
+    Members in the order of their least token make groups of ``GROUP``; a group's token union is the
+    bitwise or of its rows. A group is opened for a member only if the union lacks no more of the
+    member's tokens than the threshold lets differ.
+    """
+    order = sorted(range(len(nodes)), key=lambda at: (int(sets[at][0]), len(sets[at])))
+    bits = bit_rows(sets)
+    ranked = np.array(order)
+    unions = np.bitwise_or.reduceat(bits[ranked], np.arange(0, len(ranked), GROUP), axis=0)
+    sizes = np.array([len(tokens) for tokens in sets])
+    block = np.array(blocks)
+    two_blocks = len(set(blocks)) > 1
+    parent = {group: group for group in groups}
+
+    def root(group: int) -> int:
+        while parent[group] != group:
+            parent[group] = group = parent[parent[group]]
+        return group
+
+    links = []
+    for i in np.flatnonzero(loose).tolist():
+        may_lack = sizes[i] * (100 - percent) // 100
+        lacks = np.bitwise_count(bits[i] & ~unions).sum(axis=1)
+        for g in np.flatnonzero(lacks <= may_lack).tolist():
+            opened = ranked[g * GROUP : (g + 1) * GROUP]
+            fits = 100 * np.minimum(sizes[opened], sizes[i]) >= percent * np.maximum(sizes[opened], sizes[i])
+            fits &= np.bitwise_count(bits[i] & ~bits[opened]).sum(axis=1) <= may_lack
+            if two_blocks:
+                fits &= block[opened] != block[i]
+            for j in opened[fits].tolist():
+                if root(groups[i]) == root(groups[j]):
+                    continue
+                shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * shared >= percent * (sizes[i] + sizes[j] - shared):
+                    links.append((nodes[i], nodes[j]))
+                    parent[root(groups[i])] = root(groups[j])
+    return links
+
+
+def links_between_groups(pairs: DataFrame, groups: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``a, b``: links that join different groups up."""
+
+    def search(table: pa.Table) -> pa.Table:
+        column = {name: table.column(name).to_pylist() for name in ("node", "grp", "loose", "block", "text")}
+        sets = shingle_sets(column["text"])
+        links = group_links(column["node"], column["grp"], column["loose"], column["block"], sets, percent)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    members = store(families(pairs, groups), "jaccard-families")
+    dealt = dealt_families(members).join(texts, "node")
+    return dealt.groupBy("family", "low", "high").applyInArrow(search, "a long, b long")
+
+
 def similar_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id`` (the smallest id reachable by links) of every document."""
     nodes = store(shingled(documents, percent), "jaccard-nodes")
@@ -314,7 +376,7 @@ def similar_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     texts = store(node_texts(nodes, wanted, documents), "jaccard-texts")
     links = store(verified(pairs, texts, percent), "jaccard-links")
     groups = components(links)
-    more = store(verified(opened_pairs(nodes, pairs, groups, texts, percent), texts, percent), "jaccard-more")
+    more = store(links_between_groups(pairs, groups, texts, percent), "jaccard-more")
     if not more.isEmpty():
         groups = components(links.union(more))
     ids = nodes.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
