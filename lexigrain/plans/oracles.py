@@ -686,9 +686,24 @@ def oracles() -> dict[str, str]:
         f"{r6('density', 'sum(exp(-0.5 * pow((x - sentiment_compound) / h, 2))) / (n * h * sqrt(2 * pi()))')} FROM grid JOIN sentiment ON grid.target = sentiment.target GROUP BY ALL"
     ).replace("GROUP BY ALL", "GROUP BY grid.target, point, x, n, h")
     out["mann_whitney"] = mann_whitney_sql()
+    out["score_unlabelled"] = score_unlabelled_sql()
     return out
 
 
+def score_unlabelled_sql() -> str:
+    """Naive Bayes of all labelled documents applied to all others, with their sentiment."""
+    halves = (
+        "split AS MATERIALIZED (SELECT id, target, CASE WHEN target IS NULL THEN 'test' ELSE 'train' END AS split FROM corpus)"
+    )
+    bayes = NAIVE_BAYES.replace(CORPUS, PARTLY).replace(SPLIT, halves)
+    return (
+        f"WITH {bayes}, {sentiment_frame(False, True)} SELECT nb.id, clean_text, "
+        f"CASE WHEN probability >= {V.DECISION_THRESHOLD} THEN {text(V.CATEGORY_NAMES[1])} ELSE {text(V.CATEGORY_NAMES[0])} END AS predicted_class, "
+        f"{r6('probability')}, sentiment_label AS sentiment, {r6('compound', 'sentiment_compound')}, {r6('negativity')} "
+        "FROM nb JOIN clean USING (id) JOIN sentiment USING (id)"
+    )
+
+
 def mann_whitney_sql() -> str:
     """Normal tail by a rational approximation (error below 1.2e-7), enough for six digits."""
     source = "flagged AS (SELECT CASE event_type WHEN 'click' THEN 1 WHEN 'purchase' THEN 0 END AS target, value FROM events)"

@@ -295,7 +295,7 @@ def score_unlabelled(spark: SparkSession, folder: str) -> DataFrame:
     fitted = fit_models(weighted(vectoriser, train), vectoriser.size, [NAIVE_BAYES_MODEL])
     classifier = TextClassifier(vectoriser, fitted[NAIVE_BAYES_MODEL])
     texts = unlabelled_documents(documents(spark, folder), table(spark, folder, "labels"))
-    return rounded(classifier.score(texts.select("id", "text"), LEXICON).drop("text"))
+    return rounded(rounded(classifier.score(texts.select("id", "text"), LEXICON).drop("text"), 9))
 
 
 def registry() -> dict[str, Query]:
