@@ -10,9 +10,10 @@ included, lives in the word's shard, and a text's score is a sum over shards.
 * Learning deals out counted bigrams by context (counts, discounts, l(v)), then the kept ones by
   word, and builds one trie per shard.
 * Scoring deals out each large batch of texts by word as packed arrays, searches the shard's trie,
-  and adds up per batch. Nothing but a few totals and the frequent words (at most one for each
-  1/(2 * shards) of all tokens) reaches the driver; words that frequent are spread over
-  several shards by context.
+  and adds up per batch.
+* Frequent words (at most 4 for each shard) are found first. As contexts they are spread over
+  shards by the word that follows, as words by their context, so no shard grows with a hot word.
+  Nothing but totals and these words reaches the driver.
 
 Defined results: null and empty texts have one token, the end; documents whose id is null count as
 training text; repeated rows are counted and scored each; with an empty training set every
@@ -43,6 +44,8 @@ FOLDS, HELD_OUT = 7, 2
 #: Tokens a task gathers before it counts and deals them.
 BATCH_TOKENS = 2_500_000
 START, END = np.uint64(1), np.uint64(2)
+#: The back-off mass is at least so much, whatever rounding leaves.
+LEAST_LEFT = 1e-9
 _UPPER = np.uint64(32)
 U32 = np.uint64(0xFFFFFFFF)
 
@@ -122,15 +125,28 @@ def runs(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
 
 
-def ranked(batch: TokenBatch, shard_of: np.ndarray) -> np.ndarray:
-    """A numbering of a batch's words that follows their shards."""
-    rank = np.empty(len(shard_of), np.int64)
-    rank[np.argsort(shard_of, kind="stable")] = np.arange(len(shard_of))
-    return rank
+@dataclass(frozen=True)
+class Hot:
+    """The very frequent words (and the start), sorted, and over how many shards each is spread."""
+
+    words: np.ndarray
+    spread: np.ndarray
+
+    @staticmethod
+    def looked_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndarray:
+        """The value of each asked key, 1 for others; ``keys`` are sorted."""
+        found = np.ones(len(asked), np.int64)
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+            same = keys[at] == asked
+            found[same] = values[at[same]]
+        return found
 
+    def spread_of(self, words: np.ndarray) -> np.ndarray:
+        return self.looked_up(self.words, self.spread, words)
 
-def shard_number(hashes: np.ndarray, shards: int) -> np.ndarray:
-    return ((hashes >> _UPPER) % np.uint64(shards)).astype(np.int64)
+    def holds(self, words: np.ndarray) -> np.ndarray:
+        return np.isin(words, self.words)
 
 
 @dataclass(frozen=True)
@@ -141,19 +157,13 @@ class Totals:
     distinct: int
     start_backoff: float
     shards: int
-    hot: np.ndarray  # upper halves of very frequent words, sorted
-    spread: np.ndarray  # over how many shards each is spread
+    hot: Hot
 
     def unigram_logs(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 1.0) / (self.tokens + 1.0 * (self.distinct + 1)))
 
     def spread_of(self, uppers: np.ndarray) -> np.ndarray:
-        found = np.ones(len(uppers), np.int64)
-        if len(self.hot):
-            at = np.minimum(np.searchsorted(self.hot, uppers), len(self.hot) - 1)
-            same = self.hot[at] == uppers
-            found[same] = self.spread[at[same]]
-        return found
+        return self.hot.looked_up(self.hot.words >> _UPPER, self.hot.spread, uppers)
 
     def shards_of(self, uppers: np.ndarray, contexts: np.ndarray) -> np.ndarray:
         """The shard of a word (upper half) in a context (upper half)."""
@@ -167,38 +177,82 @@ class LanguageModel:
     shards: DataFrame  # shard int, trie binary
 
 
-def counted(training: DataFrame, shards: int) -> DataFrame:
-    """Per batch and shard of contexts the counted bigrams: ``shard, data``."""
+def frequent_words(training: DataFrame, shards: int) -> Hot:
+    """Words of at least about 1 / (2 * shards) of all tokens.
+
+    Every batch reports the words that reach half of that share in it, so none is missed; at most
+    4 * shards words come back.
+    """
 
     def run(batches: Batches) -> Batches:
         for batch in token_batches(batches):
-            shard = shard_number(batch.hashes, shards)
-            rank = ranked(batch, shard)
-            place = np.argsort(rank)
-            keys = np.sort(rank[batch.contexts] << 32 | batch.words)
+            counts = np.bincount(batch.contexts, minlength=len(batch.hashes))
+            often = np.flatnonzero(counts * 4 * shards >= len(batch.contexts))
+            words = pa.concat_arrays([pa.array(batch.hashes[often].view(np.int64)), pa.nulls(1, pa.int64())])
+            yield pa.RecordBatch.from_arrays([words, pa.array([*counts[often].tolist(), len(batch.contexts)])], ["word", "n"])
+
+    seen = training.select("doc_id", "text").mapInArrow(run, "word long, n long")
+    sums = store(seen.groupBy("word").agg(F.sum("n").alias("n")), "ngram-frequent")
+    total = sums.where("word is null").agg(F.sum("n")).first()[0] or 0
+    rows = sums.where(F.col("word").isNotNull() & (F.col("n") * 4 * shards >= total)).collect()
+    spread = {row.word & 0xFFFFFFFFFFFFFFFF: max(1, min(shards, -(-2 * shards * row.n // total))) for row in rows}
+    # The start is a context in every document, so it always goes with the frequent ones.
+    found = sorted((spread | {int(START): spread.get(int(START), 1)}).items())
+    return Hot(np.array([word for word, _ in found], dtype=np.uint64), np.array([spread for _, spread in found], dtype=np.int64))
+
+
+def counted(training: DataFrame, shards: int, hot: Hot) -> DataFrame:
+    """Per batch and shard of contexts the counted bigrams: ``shard, data``.
+
+    A very frequent context is spread over shards by the word that follows.
+    """
+
+    def run(batches: Batches) -> Batches:
+        for batch in token_batches(batches):
+            keys = np.sort(batch.contexts << 32 | batch.words)
             first = runs(keys)
             count = np.diff([*first, len(keys)]).astype(np.uint32)
-            context, word = place[keys[first] >> 32], keys[first] & 0xFFFFFFFF
-            upper = (batch.hashes[word] >> _UPPER).astype(np.uint32)
-            cuts = runs(shard[context])
+            context, word = keys[first] >> 32, keys[first] & 0xFFFFFFFF
+            uppers = batch.hashes >> _UPPER
+            shard = (uppers[context] % np.uint64(shards)).astype(np.int64)
+            spread = hot.spread_of(batch.hashes)
+            wide = np.flatnonzero(spread[context] > 1)
+            step = uppers[word[wide]] % spread[context[wide]].astype(np.uint64)
+            shard[wide] = ((uppers[context[wide]] + step) % np.uint64(shards)).astype(np.int64)
+            order = np.argsort(shard << 32 | context, kind="stable")
+            shard, context, count = shard[order], context[order], count[order]
+            upper = uppers[word[order]].astype(np.uint32)
+            cuts = runs(shard)
             for start, end in zip(cuts, [*cuts[1:], len(context)]):
                 heads = runs(context[start:end])
                 sizes = np.diff([*heads, end - start]).astype(np.uint32)
                 data = pack(batch.hashes[context[start:end][heads]], sizes, upper[start:end], count[start:end])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([shard[context[start]]], pa.int32()), pa.array([data])], ["shard", "data"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array([shard[start]], pa.int32()), pa.array([data])], ["shard", "data"])
 
     return training.select("doc_id", "text").mapInArrow(run, "shard int, data binary")
 
 
-def context_statistics(counts: DataFrame, parts: int) -> DataFrame:
+STATISTICS = "tokens long, distinct long, words binary, hot binary, raw boolean, bigrams binary"
+
+
+def context_statistics(counts: DataFrame, parts: int, hot: Hot) -> DataFrame:
     """Kept bigrams and words of the contexts of each task.
 
     ``words`` packs the words' hashes, counts and log l; ``bigrams`` packs words, contexts (upper
-    halves) and log10 of the discounted probability over l. ``tokens, distinct`` are sums.
+    halves) and log10 of the discounted probability over l. Of frequent contexts a task sees a
+    part only: ``hot`` packs the context, its count and its kept mass there, and the bigrams are
+    ``raw``, log10 of the discounted counts. ``tokens, distinct`` are sums.
     """
 
+    def row(tokens=0, distinct=0, words=None, partial=None, raw=None, bigrams=None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([tokens], pa.int64()), pa.array([distinct], pa.int64()), pa.array([words], pa.binary()),
+                pa.array([partial], pa.binary()), pa.array([raw], pa.bool_()), pa.array([bigrams], pa.binary()),
+            ],
+            ["tokens", "distinct", "words", "hot", "raw", "bigrams"],
+        )
+
     def run(batches: Batches) -> Batches:
         hashes, sizes, uppers, counts = [], [], [], []
         for batch in batches:
@@ -214,57 +268,38 @@ def context_statistics(counts: DataFrame, parts: int) -> DataFrame:
         first = runs(keys)
         each, keys = np.add.reduceat(each, first), keys[first]
         place = (keys >> _UPPER).astype(np.int64)
-        total = np.bincount(place, weights=each, minlength=len(contexts))
+        total = np.bincount(place, weights=each, minlength=len(contexts)).astype(np.int64)
         kept = each >= MIN_COUNT
-        share = (each[kept] - DISCOUNT) / total[place[kept]]
-        left = np.maximum(1.0 - np.bincount(place[kept], weights=share, minlength=len(contexts)), 1e-9)
-        gain = np.log10(share / left[place[kept]]).astype(np.float32)
+        place, each, upper = place[kept], each[kept] - DISCOUNT, (keys[kept] & U32).astype(np.uint32)
+        mass = np.bincount(place, weights=each, minlength=len(contexts))
+        frequent = hot.holds(contexts)
+        left = np.maximum(1.0 - mass / total, LEAST_LEFT)
+        gain = np.log10(np.where(frequent[place], each, each / (total[place] * left[place]))).astype(np.float32)
         backoff = np.log10(left).astype(np.float32)
-        total = total.astype(np.int64)
-        # The start is a context but no word; the end is a word as often, and no context.
-        starts = contexts == START
-        start_log = float(backoff[starts][0]) if starts.any() else None
-        words = contexts.copy()
-        words[starts] = END
-        backoff[starts] = 0.0
-        bigrams = ((keys[kept] & U32).astype(np.uint32), (contexts[place[kept]] >> _UPPER).astype(np.uint32), gain)
-        for at in range(0, max(1, len(gain)), 500_000):
-            whole = at == 0
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([int(total.sum()) if whole else 0]),
-                    pa.array([len(words) if whole else 0]),
-                    pa.array([start_log if whole else None], pa.float64()),
-                    pa.array([pack(words, total, backoff) if whole else None], pa.binary()),
-                    pa.array([pack(*(array[at : at + 500_000] for array in bigrams))]),
-                ],
-                ["tokens", "distinct", "start_log", "words", "bigrams"],
-            )
-
-    schema = "tokens long, distinct long, start_log double, words binary, bigrams binary"
-    return counts.repartition(parts, "shard").mapInArrow(run, schema)
-
-
-def frequent_words(statistics: DataFrame, least: int) -> list:
-    """Upper halves and counts of words that occur at least so often: few, as ``least`` is a share of all."""
+        own = ~frequent
+        yield row(int(total.sum()), int(own.sum()), pack(contexts[own], total[own], backoff[own]),
+                  pack(contexts[frequent], total[frequent], mass[frequent]))
+        context = (contexts[place] >> _UPPER).astype(np.uint32)
+        for raw in (False, True):
+            chosen = np.flatnonzero(frequent[place] == raw)
+            for at in range(0, len(chosen), 500_000):
+                part = chosen[at : at + 500_000]
+                yield row(raw=raw, bigrams=pack(upper[part], context[part], gain[part]))
 
-    def run(batches: Batches) -> Batches:
-        for batch in batches:
-            for data in batch.column(0).to_pylist():
-                words, counts, _ = unpack(data, "u8", "i8", "f4")
-                often = counts >= least
-                upper = (words[often] >> _UPPER).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(upper), pa.array(counts[often])], ["upper", "n"])
+    return counts.repartition(parts, "shard").mapInArrow(run, STATISTICS)
 
-    return statistics.where("words is not null").select("words").mapInArrow(run, "upper long, n long").collect()
 
+def built_shards(statistics: DataFrame, totals: Totals, scale: np.ndarray) -> DataFrame:
+    """``shard, trie``: the trie of each shard of words.
 
-def built_shards(statistics: DataFrame, totals: Totals, parts: int) -> DataFrame:
-    """``shard, trie``: the trie of each shard of words."""
+    ``statistics`` has ``words, raw, bigrams``; ``scale`` is log10 of count times l of the frequent words.
+    """
 
     def deal(batches: Batches) -> Batches:
         for batch in batches:
-            for data, is_word in [(x, True) for x in batch.column(0).to_pylist()] + [(x, False) for x in batch.column(1).to_pylist()]:
+            words_in, raw_in, bigrams_in = (batch.column(at).to_pylist() for at in range(3))
+            packed_in = [(data, True, False) for data in words_in] + [(data, False, raw) for data, raw in zip(bigrams_in, raw_in)]
+            for data, is_word, raw in packed_in:
                 if data is None:
                     continue
                 if is_word:
@@ -276,6 +311,8 @@ def built_shards(statistics: DataFrame, totals: Totals, parts: int) -> DataFrame
                     columns = [words[row], counts[row], backoff[row]]
                 else:
                     upper, contexts, gain = unpack(data, "u4", "u4", "f4")
+                    if raw:
+                        gain = gain - scale[np.searchsorted(totals.hot.words >> _UPPER, contexts)].astype(np.float32)
                     shard = totals.shards_of(upper.astype(np.uint64), contexts.astype(np.uint64))
                     columns = [upper, contexts, gain]
                 order = np.argsort(shard, kind="stable")
@@ -303,7 +340,7 @@ def built_shards(statistics: DataFrame, totals: Totals, parts: int) -> DataFrame
         trie = NgramTrie.build(ids, counts, backoff.astype(np.float64), upper.astype(np.uint64), contexts, gains)
         return pa.table({"shard": table.column("shard").slice(0, 1), "trie": pa.array([trie.buffer()], pa.binary())})
 
-    dealt = statistics.select("words", "bigrams").mapInArrow(deal, "shard int, is_word boolean, data binary")
+    dealt = statistics.mapInArrow(deal, "shard int, is_word boolean, data binary")
     return dealt.groupBy("shard").applyInArrow(build, "shard int, trie binary")
 
 
@@ -311,17 +348,29 @@ def learn(training: DataFrame) -> LanguageModel:
     """Learn from ``doc_id, text`` and store the shards in the shared folder."""
     spark = training.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shards = parts
-    statistics = store(context_statistics(counted(training, 4 * parts), parts), "ngram-statistics")
-    sums = statistics.agg(F.sum("tokens"), F.sum("distinct"), F.max("start_log")).first()
-    tokens, distinct = sums[0] or 0, sums[1] or 0
-    found = sorted((row.upper, row.n) for row in frequent_words(statistics, max(1, tokens // (2 * shards)))) if tokens else []
-    totals = Totals(
-        tokens, distinct, sums[2] or 0.0, shards,
-        np.array([upper for upper, _ in found], dtype=np.uint64),
-        np.array([max(1, min(shards, 2 * shards * n // tokens)) for _, n in found], dtype=np.int64),
+    hot = frequent_words(training, parts)
+    statistics = store(context_statistics(counted(training, 4 * parts, hot), parts, hot), "ngram-statistics")
+    sums = statistics.agg(F.sum("tokens"), F.sum("distinct")).first()
+    # Of each frequent word a line per shard it is spread over: a few for each shard in all.
+    counts, mass = np.zeros(len(hot.words), np.int64), np.zeros(len(hot.words))
+    for row in statistics.where("hot is not null").select("hot").collect():
+        words, count, kept = unpack(bytes(row.hot), "u8", "i8", "f8")
+        at = np.searchsorted(hot.words, words)
+        np.add.at(counts, at, count)
+        np.add.at(mass, at, kept)
+    found = counts > 0
+    left = np.maximum(1.0 - mass / np.maximum(counts, 1), LEAST_LEFT)
+    logs = np.where(found, np.log10(left), 0.0)
+    starts = hot.words == START
+    totals = Totals(sums[0] or 0, (sums[1] or 0) + int(found.sum()), float(logs[starts].sum()), parts, hot)
+    # The start is a context but no word; the end is a word as often, and no context.
+    words, backoff = np.where(starts, END, hot.words), np.where(starts, 0.0, logs).astype(np.float32)
+    frequent = spark.createDataFrame(
+        [(pack(words[found], counts[found], backoff[found]), None, None)], "words binary, raw boolean, bigrams binary"
     )
-    return LanguageModel(totals, store(built_shards(statistics, totals, parts), "ngram-tries"))
+    rows = statistics.select("words", "raw", "bigrams").union(frequent)
+    scale = np.log10(np.maximum(counts, 1)) + logs
+    return LanguageModel(totals, store(built_shards(rows, totals, scale), "ngram-tries"))
 
 
 def dealt_tokens(documents: DataFrame, totals: Totals) -> DataFrame:
