@@ -45,8 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, source, n_tokens, ids`` of every row of the mix, and whether decoding gives the text's symbols back."""
-    encoded = prefix_bpe.encode(docs.select("doc_id", "source", "text")).drop("text")
-    return prefix_bpe.decode(encoded).select(
+    return prefix_bpe.round_trip(docs.select("doc_id", "source", "text")).select(
         "doc_id",
         "source",
         F.size("ids").cast("long").alias("n_tokens"),

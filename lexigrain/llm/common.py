@@ -93,7 +93,7 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
 class WordHashes(dict):
     """word -> 64-bit hash (as a signed integer), remembered for recent words."""
 
-    LIMIT = 500_000
+    LIMIT = 300_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

@@ -72,7 +72,7 @@ _drop = re.compile(rb"[^0-9a-z\x80-\xff]").sub
 class TokenHashes(dict):
     """word -> hash of its letters and digits, 0 if it has none."""
 
-    LIMIT = 500_000
+    LIMIT = 300_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

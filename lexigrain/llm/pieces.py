@@ -77,7 +77,7 @@ def cut_chunk(chunk: str, tokenizer) -> list[str] | None:
 class Remembered(dict):
     """A dictionary that computes missing values and starts anew when it is full."""
 
-    def __init__(self, compute: Callable[[str], bytes], limit: int = 400_000) -> None:
+    def __init__(self, compute: Callable[[str], bytes], limit: int = 200_000) -> None:
         super().__init__()
         self.compute, self.limit = compute, limit
 

@@ -4,8 +4,8 @@ Byte-pair encodings can be read off prefixes: if ``last[d]`` is the last token o
 encoding of the first ``d`` symbols, then the encoding of a longer prefix ends in the one
 token ``t`` that is a suffix of it and may follow ``last[d - len(t)]``, where "may follow"
 means that merging the two tokens' symbols gives the two tokens back. So distinct words go
-into a trie, a depth-first walk computes the last token of each node once for all words that
-share the prefix, and a word's ids are found by stepping back from its end.
+into a trie whose nodes are prefixes; the last token of a node is found depth first from those of
+shorter prefixes, once for all words that share it, and a word's ids by stepping back from its end.
 
 Spark partitions the documents; each task keeps a trie of the words it has met lately. No
 shuffle, nothing on the driver, memory bounded by ``Remembered`` and the batch size.
@@ -40,11 +40,14 @@ from lexigrain.llm.pieces import (
 
 WORD_END = "</w>"
 NO_RANK = 1 << 40
+#: The state of a symbol for which there is no token; as the library, leave it out.
+NO_TOKEN = -1
+#: Words of more symbols are no nodes of a trie.
+LONG_WORD = 64
 #: Bytes of text whose new words share a trie.
-TRIE_TEXT = 8_000_000
-#: What a worker remembers at most; a full memory is emptied, results do not depend on it.
-CHUNKS_KEPT = 600_000
-PIECES_KEPT = 600_000
+TRIE_TEXT = 5_000_000
+#: What a worker remembers at most (words: in each of two generations); results do not depend on it.
+CHUNKS_KEPT, PIECES_KEPT, PAIRS_KEPT = 200_000, 250_000, 400_000
 
 
 class PrefixTrie:
@@ -87,63 +90,99 @@ class PrefixTrie:
 
     def may_follow(self, left: int, right: int) -> bool:
         a, b = self.names[left], self.names[right]
+        if len(self.follows) > PAIRS_KEPT:
+            self.follows.clear()
         known = self.follows[left << 32 | right] = self.merged(self.symbols(a) + self.symbols(b)) == [a, b]
         return known
 
-    def last_token(self, prefix: str, end: str, last: list[int]) -> tuple[int, int]:
-        """The last token of a prefix, and its size, when those of all shorter prefixes are known."""
-        depth = len(prefix)
-        found = []
+    def candidates(self, word: str, depth: int, end: str) -> list[tuple[int, int]]:
+        """Tokens that are a suffix of the first ``depth`` symbols, with their sizes, shortest first."""
+        suffixes, found = self.suffixes, []
         for size in range(1, depth + 1):
-            suffix = prefix[depth - size :] + end
-            token = self.suffixes.get(suffix)
+            token = suffixes.get(word[depth - size : depth] + end)
             if token is None:
                 break
             if token >= 0:
                 found.append((token, size))
-        for token, size in reversed(found):
-            if size == depth:
-                return token, size
-            before = last[depth - size]
-            if before >= 0:
-                fits = self.follows.get(before << 32 | token)
-                if fits or fits is None and self.may_follow(before, token):
-                    return token, size
-        return -1, 1  # no token for a symbol: as the library, leave it out
+        return found
+
+    def fits(self, left: int, right: int) -> bool:
+        known = self.follows.get(left << 32 | right)
+        return self.may_follow(left, right) if known is None else known
+
+    def state(self, prefix: str, end: str, nodes: dict[str, tuple[int, int]]) -> tuple[int, int]:
+        """Last token and its size at a node of the trie, found depth first and kept for all words
+        that share the prefix."""
+        known = nodes.get(prefix + end)
+        if known is None:
+            depth = len(prefix)
+            known = (NO_TOKEN, 1)
+            for token, size in reversed(self.candidates(prefix, depth, end)):
+                if size == depth or self.fits(self.state(prefix[: depth - size], "", nodes)[0], token):
+                    known = (token, size)
+                    break
+            nodes[prefix + end] = known
+        return known
 
     def encode_words(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
-        """Every distinct word with its ids; the work for a shared prefix is done once."""
-        root: dict = {}
+        """Every distinct word with its ids; the work for a shared prefix is done once.
+
+        The trie's nodes are named by their prefixes. Words too long for that are walked alone.
+        """
+        nodes: dict[str, tuple[int, int]] = {}
         for word in words:
-            node = root
-            for symbol in word[:-1]:
-                node = node.setdefault(symbol, {})
-            node[word[-1] + WORD_END] = None
-        last, sizes = [-1], [0]
-        stack = [("", iter(root.items()))]
-        while stack:
-            prefix, children = stack[-1]
-            entry = next(children, None)
-            if entry is None:
-                stack.pop()
-                last.pop()
-                sizes.pop()
+            if len(word) > LONG_WORD:
+                yield word, self.encode_alone(word)
                 continue
-            symbol, below = entry
-            if below is None:
-                word = prefix + symbol[0]
-                token, size = self.last_token(word, WORD_END, last)
-                ids, depth = [token], len(word) - size
-                while depth > 0:
-                    ids.append(last[depth])
-                    depth -= sizes[depth]
-                yield word, [at for at in reversed(ids) if at >= 0]
-            else:
-                longer = prefix + symbol
-                token, size = self.last_token(longer, "", last)
-                last.append(token)
-                sizes.append(size)
-                stack.append((longer, iter(below.items())))
+            token, size = self.state(word, WORD_END, nodes)
+            ids, depth = [token], len(word) - size
+            while depth > 0:
+                token, size = self.state(word[:depth], "", nodes)
+                ids.append(token)
+                depth -= size
+            yield word, [at for at in reversed(ids) if at != NO_TOKEN]
+
+    def encode_alone(self, word: str) -> list[int]:
+        """The same walk along one word, in memory and time linear in its length."""
+        states = [(NO_TOKEN, 1)]
+        for depth in range(1, len(word) + 1):
+            end = WORD_END if depth == len(word) else ""
+            state = (NO_TOKEN, 1)
+            for token, size in reversed(self.candidates(word, depth, end)):
+                if size == depth or self.fits(states[depth - size][0], token):
+                    state = (token, size)
+                    break
+            states.append(state)
+        ids, depth = [], len(word)
+        while depth > 0:
+            token, size = states[depth]
+            ids.append(token)
+            depth -= size
+        return [at for at in reversed(ids) if at != NO_TOKEN]
+
+
+class Recent:
+    """What has been asked for lately: a full generation becomes the old one, the one before is forgotten.
+
+    Frequent keys move on from generation to generation, so they are not computed again.
+    """
+
+    def __init__(self, limit: int) -> None:
+        self.limit = limit
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, wanted: set[str]) -> set[str]:
+        """The wanted keys that are not known; all others are in ``young`` afterwards."""
+        if len(self.young) > self.limit:
+            self.young, self.old = {}, self.young
+        unknown = wanted - self.young.keys()
+        known = unknown & self.old.keys()
+        self.young.update((key, self.old[key]) for key in known)
+        return unknown - known
+
+    def add(self, values: dict[str, bytes]) -> None:
+        self.young.update(values)
 
 
 class TrieEncoder:
@@ -156,8 +195,7 @@ class TrieEncoder:
         self.tokenizer = library_tokenizer(path)
         self.special = special_tokens(self.tokenizer)
         self.trie = PrefixTrie(model["vocab"], merges)
-        self.pieces: dict[str, bytes] = {}
-        self.chunks: dict[str, bytes] = {}
+        self.pieces, self.chunks = Recent(PIECES_KEPT), Recent(CHUNKS_KEPT)
 
     def split_special(self, chunk: str) -> list[str]:
         """A chunk cut at the special tokens in it, leftmost first; texts and marks alternate."""
@@ -169,39 +207,30 @@ class TrieEncoder:
 
     def learn(self, chunks: set[str]) -> None:
         """Encode new chunks: all their new pieces go through one trie."""
-        if len(self.chunks) + len(chunks) > CHUNKS_KEPT:
-            self.chunks.clear()
-        if len(self.pieces) > PIECES_KEPT:
-            self.pieces.clear()
         cut = {chunk: cut_chunk(chunk, self.tokenizer) for chunk in chunks}
         marked = {chunk: self.split_special(chunk) for chunk, parts in cut.items() if parts is None}
         for chunk, parts in marked.items():
             cut[chunk] = [piece for part in parts[::2] for piece in cut_chunk(part, self.tokenizer) or ()]
-        known = self.pieces
-        new = {piece for parts in cut.values() for piece in parts if piece not in known}
-        known.update((word, packed(ids)) for word, ids in self.trie.encode_words(new))
-        self.chunks.update((chunk, b"".join([known[piece] for piece in parts])) for chunk, parts in cut.items())
+        new = self.pieces.missing({piece for parts in cut.values() for piece in parts})
+        self.pieces.add({word: packed(ids) for word, ids in self.trie.encode_words(new)})
+        known = self.pieces.young
+        found = {chunk: b"".join([known[piece] for piece in parts]) for chunk, parts in cut.items()}
         for chunk, parts in marked.items():
             plain = [b"".join([known[piece] for piece in cut_chunk(part, self.tokenizer) or ()]) for part in parts[::2]]
             marks = [packed([self.special[mark]]) for mark in parts[1::2]]
-            self.chunks[chunk] = b"".join(part for pair in zip(plain, [*marks, b""]) for part in pair)
+            found[chunk] = b"".join(part for pair in zip(plain, [*marks, b""]) for part in pair)
+        self.chunks.add(found)
 
     def encode_texts(self, texts: list[str]) -> list[bytes]:
-        known = self.chunks
-        new = {chunk for text in texts for chunk in split_words(text) if chunk not in known}
+        wanted = {chunk for text in texts for chunk in split_words(text)}
+        new = self.chunks.missing(wanted)
         if new:
-            if len(known) + len(new) > CHUNKS_KEPT:
-                new = {chunk for text in texts for chunk in split_words(text)}
-            gc.disable()  # a trie is thousands of small dictionaries, none of them in a cycle
+            gc.disable()  # thousands of small values, none of them in a cycle
             self.learn(new)
             gc.enable()
+        known = self.chunks.young
         return [b"".join([known[chunk] for chunk in split_words(text)]) for text in texts]
 
-    def token_texts(self) -> list[str]:
-        """What each id stands for in a decoded text, by id."""
-        names = self.trie.names | {at: mark for mark, at in self.special.items()}
-        return [names.get(at, "") for at in range(max(names) + 1)]
-
 
 @cache
 def trie_encoder(path: str) -> TrieEncoder:
@@ -210,7 +239,10 @@ def trie_encoder(path: str) -> TrieEncoder:
 
 @cache
 def token_table(path: str) -> list[str]:
-    return trie_encoder(path).token_texts()
+    """What each id stands for in a decoded text, by id."""
+    tokenizer = library_tokenizer(path)
+    names = {at: name for name, at in tokenizer.get_vocab(with_added_tokens=True).items()}
+    return [names.get(at, "") for at in range(max(names) + 1)]
 
 
 def with_column(frame: DataFrame, name: str, kind: T.DataType) -> T.StructType:
@@ -220,6 +252,26 @@ def with_column(frame: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*frame.schema.fields, T.StructField(name, kind)])
 
 
+def _ids(encoder: TrieEncoder, texts: list[str]) -> pa.Array:
+    encoded = encoder.encode_texts(texts)
+    flat = np.frombuffer(b"".join(encoded), dtype="<i4")
+    return list_array(flat, np.array([len(part) // 4 for part in encoded], dtype=np.int64), pa.int32())
+
+
+def _decoded(table: list[str], ids: pa.Array) -> pa.Array:
+    flat, offsets = flat_list(ids.fill_null([]) if ids.null_count else ids)
+    parts = list(map(table.__getitem__, flat.tolist()))
+    bounds = zip(offsets[:-1].tolist(), offsets[1:].tolist())
+    return pa.array([" ".join(parts[start:end]) for start, end in bounds], pa.string())
+
+
+def _decodable(tokenizer: str) -> str:
+    path = tokenizer_path(tokenizer)
+    if library_tokenizer(path).decoder is not None:
+        raise ValueError("only vocabularies without a decoder of their own are supported")
+    return path
+
+
 def encode(documents: DataFrame, text: str = "text", ids: str = "ids", tokenizer: str = TOKENIZER_FILE) -> DataFrame:
     """``documents`` with the token ids of each whole text in a column ``ids``."""
     path = tokenizer_path(tokenizer)
@@ -227,9 +279,7 @@ def encode(documents: DataFrame, text: str = "text", ids: str = "ids", tokenizer
     def run(batches: Batches) -> Batches:
         encoder = trie_encoder(path)
         for batch in small_batches(batches, TRIE_TEXT, text):
-            encoded = encoder.encode_texts(texts_of(batch, text))
-            flat = np.frombuffer(b"".join(encoded), dtype="<i4")
-            lists = list_array(flat, np.array([len(part) // 4 for part in encoded], dtype=np.int64), pa.int32())
+            lists = _ids(encoder, texts_of(batch, text))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, ids])
 
     return documents.mapInArrow(run, with_column(documents, ids, T.ArrayType(T.IntegerType())))
@@ -241,27 +291,40 @@ def decode(encoded: DataFrame, ids: str = "ids", text: str = "decoded", tokenize
     For a vocabulary whose file names no decoder, as the library has it, this is the tokens'
     own symbols, word-end marks included, joined by single spaces.
     """
-    path = tokenizer_path(tokenizer)
-    if library_tokenizer(path).decoder is not None:
-        raise ValueError("only vocabularies without a decoder of their own are supported")
+    path = _decodable(tokenizer)
 
     def run(batches: Batches) -> Batches:
         table = token_table(path)
         for batch in small_batches(batches, column=ids):
-            column = batch.column(batch.schema.get_field_index(ids)).fill_null([])
-            flat, offsets = flat_list(column)
-            parts = list(map(table.__getitem__, flat.tolist()))
-            bounds = zip(offsets[:-1].tolist(), offsets[1:].tolist())
-            whole = [" ".join(parts[start:end]) for start, end in bounds]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(whole, pa.string())], [*batch.schema.names, text])
+            whole = _decoded(table, batch.column(batch.schema.get_field_index(ids)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, whole], [*batch.schema.names, text])
 
     return encoded.mapInArrow(run, with_column(encoded, text, T.StringType()))
 
 
+def round_trip(documents: DataFrame, text: str = "text", tokenizer: str = TOKENIZER_FILE) -> DataFrame:
+    """``encode`` and ``decode`` in one pass: the columns ``ids`` and ``decoded`` take the place of the text."""
+    path = _decodable(tokenizer)
+    others = documents.drop(text)
+    new = [with_column(others, "ids", T.ArrayType(T.IntegerType())), with_column(others, "decoded", T.StringType())]
+    schema = T.StructType([*others.schema.fields, *(each.fields[-1] for each in new)])
+
+    def run(batches: Batches) -> Batches:
+        encoder, table = trie_encoder(path), token_table(path)
+        for batch in small_batches(batches, TRIE_TEXT, text):
+            lists = _ids(encoder, texts_of(batch, text))
+            kept = [name for name in batch.schema.names if name != text]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(batch.schema.get_field_index(name)) for name in kept), lists, _decoded(table, lists)],
+                [*kept, "ids", "decoded"],
+            )
+
+    return documents.mapInArrow(run, schema)
+
+
 def encode_decode_digests(documents: DataFrame, tokenizer: str = TOKENIZER_FILE) -> DataFrame:
     """Per document the number of ids and digests of the ids and of the decoded text."""
-    encoded = encode(documents.select("doc_id", "text"), tokenizer=tokenizer).drop("text")
-    return decode(encoded, tokenizer=tokenizer).select(
+    return round_trip(documents.select("doc_id", "text"), tokenizer=tokenizer).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),

@@ -22,6 +22,7 @@ ODD = [
     "　x   y <|x",
     "thththththth " * 3000,
     "x" * 5000,
+    "abcab" * 20_000 + " é" * 3,
 ]
 
 
