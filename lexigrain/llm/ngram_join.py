@@ -3,8 +3,8 @@
 The join is exact for a threshold given in percent:
 
 1. *Equal sets* are one node; copies never meet pairwise again.
-2. *Candidate routing.* The token universe is cut into as many segments as two sets of a size
-   band may differ in tokens, plus one; so two similar sets agree in at least one whole segment.
+2. *Candidate routing.* The token universe is cut into more segments than two sets of a size
+   band may differ in tokens; so two similar sets agree in at least one whole segment.
    A node's tokens in a segment, hashed together, are its signature there. Frequent shingles
    need no statistics: a passage shared by very many texts does not make a segment equal.
 3. *Families.* All nodes of a signature are compared with one of them, its leader. Verified links
@@ -48,16 +48,19 @@ from lexigrain.llm.common import (
 )
 from lexigrain.llm.components import components
 
-SHINGLE = 3
-PERCENT = 90
+#: Words of a shingle and similarity in per cent, where nothing else is asked for.
+SHINGLE = 5
+PERCENT = 80
 NODE_SEED, PART_SEED, BAND_SEED = np.uint64(0x51F1), np.uint64(0x7A3D), np.uint64(0x2545F491)
 #: Signatures a task gathers before it looks up their leaders.
 BLOCK = 400_000
+#: Bytes of text whose signatures are dealt out together.
+DEALT_TEXT = 8_000_000
 #: Members of a family compared in one task; bits of a row of the matrix; members of a group.
 MEMBERS, BITS, GROUP = 512, 4096, 16
 
 
-def shingle_sets(texts: list[str], size: int = SHINGLE) -> list[np.ndarray]:
+def shingle_sets(texts: list[str], size: int) -> list[np.ndarray]:
     """Each text's distinct shingles as sorted 64-bit hashes."""
     words = [lower_words(text) for text in texts]
     lengths = np.array([len(each) for each in words], dtype=np.int64)
@@ -103,16 +106,30 @@ _band_of = cache(band_of)
 
 
 @cache
-def segment_edges(band: int, percent: int) -> np.ndarray:
-    """Upper ends of the segments in which sets that meet in a band are compared."""
+def segments(band: int, percent: int) -> tuple[np.ndarray, int]:
+    """Upper ends of the segments in which sets that meet in a band are compared, and how many of
+    them two similar sets share at least.
+
+    There are more segments than tokens may differ: so many more that a set has hardly ever as
+    many empty ones as similar sets share.
+    """
     smaller = band_end(band, percent)
     larger = smaller * 100 // percent
     differ = (smaller + larger) * (100 - percent) // (100 + percent)
-    return np.array([(1 << 64) * at // (differ + 1) for at in range(1, differ + 1)], dtype=np.uint64)
+    number = differ + 1
+    if differ:
+        for _ in range(8):
+            empty = number * np.exp(-band_start(band, percent) / number)
+            number = differ + 2 + int(empty + 4 * np.sqrt(empty))
+    return np.array([(1 << 64) * at // number for at in range(1, number)], dtype=np.uint64), number - differ
+
 
+def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """Signatures of a set in its own band and, as the larger partner, in the band below.
 
-def signatures(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Signatures of a set in its own band and, as the larger partner, in the band below."""
+    Empty segments have none: two similar sets share another one, unless a set has at least as many
+    empty segments as similar sets share; such rare sets (and so both partners) sign those too.
+    """
     if not len(tokens):
         return tokens
     own = _band_of(len(tokens), percent)
@@ -120,10 +137,13 @@ def signatures(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(tokens + PART_SEED), dtype=np.uint64)])
         found = []
         for band in (own, own - 1) if own else (own,):
-            edges = segment_edges(band, percent)
-            bounds = sums[np.concatenate([[0], np.searchsorted(tokens, edges), [len(tokens)]])]
-            places = np.arange(len(edges) + 1, dtype=np.uint64) + np.uint64(band << 32)
-            found.append(mix(np.diff(bounds) + mix(places + BAND_SEED)))
+            edges, shared = segments(band, percent)
+            bounds = np.concatenate([[0], np.searchsorted(tokens, edges), [len(tokens)]])
+            filled = np.flatnonzero(np.diff(bounds) > 0)
+            if len(edges) + 1 - len(filled) >= shared:
+                filled = np.arange(len(edges) + 1)
+            places = filled.astype(np.uint64) + np.uint64(band << 32)
+            found.append(mix(np.diff(sums[bounds])[filled] + mix(places + BAND_SEED)))
     return np.concatenate(found)
 
 
@@ -133,40 +153,44 @@ def node_of(tokens: np.ndarray) -> int:
         return int(mix(np.array([mix(tokens + NODE_SEED).sum(dtype=np.uint64) + np.uint64(len(tokens))])).view(np.int64)[0])
 
 
-def shingled(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, node, signatures``; node is null without shingles."""
+def shingled(documents: DataFrame, size: int) -> DataFrame:
+    """``doc_id, n_shingles, node``; node, the hash of the set, is null without shingles."""
 
     def run(batches: Batches) -> Batches:
         for batch in small_batches(batches):
-            sets = shingle_sets(texts_of(batch))
-            marks = [signatures(tokens, percent) for tokens in sets]
-            flat = np.concatenate([*marks, np.zeros(0, np.uint64)]).view(np.int64)
+            sets = shingle_sets(texts_of(batch), size)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array([len(tokens) for tokens in sets], pa.int64()),
                     pa.array([node_of(tokens) if len(tokens) else None for tokens in sets], pa.int64()),
-                    list_array(flat, np.array([len(each) for each in marks]), pa.int64()),
                 ],
-                ["doc_id", "n_shingles", "node", "signatures"],
+                ["doc_id", "n_shingles", "node"],
             )
 
     rows = documents.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, node long, signatures array<long>")
+    return rows.mapInArrow(run, "doc_id long, n_shingles long, node long")
 
 
-def leader_pairs(nodes: DataFrame) -> DataFrame:
-    """``a, b``: every node with the leader of each of its signatures, where they differ."""
-    spark = nodes.sparkSession
+def leader_pairs(documents: DataFrame, percent: int, size: int) -> DataFrame:
+    """``a, b``: every node with the leader of each of its signatures, where they differ.
+
+    Signatures are many times the size of what is known of a document otherwise, so they go
+    straight from the texts to the tasks that look leaders up.
+    """
+    spark = documents.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = 4 * parts
 
     def deal(batches: Batches) -> Batches:
         """One row for each shard and batch, with the packed signatures and their nodes."""
-        for batch in batches:
-            marks = batch.column(1)
-            flat = np.asarray(marks.flatten()).view(np.uint64)
-            owner = np.repeat(np.asarray(batch.column(0)), np.diff(np.asarray(marks.offsets)))
+        for batch in small_batches(batches, DEALT_TEXT):
+            sets = [tokens for tokens in shingle_sets(texts_of(batch), size) if len(tokens)]
+            if not sets:
+                continue
+            marks = [signatures(tokens, percent) for tokens in sets]
+            flat = np.concatenate(marks)
+            owner = np.repeat(np.array([node_of(tokens) for tokens in sets]), [len(each) for each in marks])
             shard = (flat % np.uint64(shards)).astype(np.int32)
             order = np.argsort(shard, kind="stable")
             present, starts = np.unique(shard[order], return_index=True)
@@ -211,8 +235,7 @@ def leader_pairs(nodes: DataFrame) -> DataFrame:
         if held:
             yield block(*map(np.concatenate, zip(*held)))
 
-    rows = nodes.where("node is not null").select("node", "signatures")
-    dealt = rows.mapInArrow(deal, "shard int, signature array<long>, node array<long>").repartition(parts, "shard")
+    dealt = documents.select("text").mapInArrow(deal, "shard int, signature array<long>, node array<long>").repartition(parts, "shard")
     return dealt.mapInArrow(lead, "a long, b long").distinct()
 
 
@@ -222,14 +245,14 @@ def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
     """The pairs whose sets have a Jaccard similarity of at least ``percent`` per cent."""
 
     def run(batches: Batches) -> Batches:
         for batch in small_batches(batches, 1_000_000, "text_a"):
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             text_of = dict(zip(a, batch.column(2).to_pylist())) | dict(zip(b, batch.column(3).to_pylist()))
-            sets = dict(zip(text_of, shingle_sets(list(text_of.values()))))
+            sets = dict(zip(text_of, shingle_sets(list(text_of.values()), size)))
             good = []
             for x, y in zip(a, b):
                 shared = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
@@ -239,7 +262,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> Data
     return with_texts(pairs, texts).select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def node_texts(nodes: DataFrame, wanted: DataFrame, documents: DataFrame) -> DataFrame:
+def node_texts(nodes: DataFrame, wanted: DataFrame, documents: DataFrame, size: int) -> DataFrame:
     """``node, text`` of one document of each wanted node."""
     chosen = nodes.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id")
@@ -247,7 +270,7 @@ def node_texts(nodes: DataFrame, wanted: DataFrame, documents: DataFrame) -> Dat
     def own(batches: Batches) -> Batches:
         """Where an id has several texts, keep the one whose set the node is."""
         for batch in small_batches(batches):
-            found = [node_of(tokens) if len(tokens) else None for tokens in shingle_sets(texts_of(batch))]
+            found = [node_of(tokens) if len(tokens) else None for tokens in shingle_sets(texts_of(batch), size)]
             yield batch.filter(pa.array([x == y for x, y in zip(found, batch.column(0).to_pylist())], pa.bool_()))
 
     kept = texts.select("node", "text").mapInArrow(own, "node long, text string")
@@ -354,12 +377,12 @@ def group_links(nodes: list[int], groups: list[int], loose: list[bool], blocks:
     return links
 
 
-def links_between_groups(pairs: DataFrame, groups: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+def links_between_groups(pairs: DataFrame, groups: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
     """``a, b``: links that join different groups up."""
 
     def search(table: pa.Table) -> pa.Table:
         column = {name: table.column(name).to_pylist() for name in ("node", "grp", "loose", "block", "text")}
-        sets = shingle_sets(column["text"])
+        sets = shingle_sets(column["text"], size)
         links = group_links(column["node"], column["grp"], column["loose"], column["block"], sets, percent)
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
@@ -368,15 +391,15 @@ def links_between_groups(pairs: DataFrame, groups: DataFrame, texts: DataFrame,
     return dealt.groupBy("family", "low", "high").applyInArrow(search, "a long, b long")
 
 
-def similar_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+def similar_groups(documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """``doc_id, n_shingles, component_id`` (the smallest id reachable by links) of every document."""
-    nodes = store(shingled(documents, percent), "jaccard-nodes")
-    pairs = store(leader_pairs(nodes), "jaccard-pairs")
+    nodes = store(shingled(documents, size), "jaccard-nodes")
+    pairs = store(leader_pairs(documents, percent, size), "jaccard-pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = store(node_texts(nodes, wanted, documents), "jaccard-texts")
-    links = store(verified(pairs, texts, percent), "jaccard-links")
+    texts = store(node_texts(nodes, wanted, documents, size), "jaccard-texts")
+    links = store(verified(pairs, texts, percent, size), "jaccard-links")
     groups = components(links)
-    more = store(links_between_groups(pairs, groups, texts, percent), "jaccard-more")
+    more = store(links_between_groups(pairs, groups, texts, percent, size), "jaccard-more")
     if not more.isEmpty():
         groups = components(links.union(more))
     ids = nodes.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
@@ -388,9 +411,9 @@ def similar_groups(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def one_of_each(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+def one_of_each(documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """The rows whose id is the smallest of their group, one for each id."""
-    found = store(similar_groups(documents, percent), "jaccard-groups")
+    found = store(similar_groups(documents, percent, size), "jaccard-groups")
     kept = found.where("doc_id <=> component_id").select("doc_id")
     rows = documents.join(kept.distinct(), documents["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
     return rows.dropDuplicates(["doc_id"]) if nodes_repeat(found) else rows

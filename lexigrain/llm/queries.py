@@ -52,7 +52,7 @@ def additive_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def shingle_groups(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_join.similar_groups(table(spark, folder, "documents"))
+    return ngram_join.similar_groups(table(spark, folder, "documents"), percent=90, size=3)
 
 
 def near_vector_groups(spark: SparkSession, folder: str) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lexigrain.llm import components, language_model, license_scan, near_vectors, ngram_join
 from lexigrain.llm.elias_fano import EliasFano, NgramTrie
-from lexigrain.llm.ngram_join import shingle_sets, signatures
+from lexigrain.llm.ngram_join import signatures
 
 
 def grouped(pairs, nodes):
@@ -28,13 +28,14 @@ def grouped(pairs, nodes):
     return {node: find(node) for node in nodes}
 
 
-def shingles(text):
+def shingles(text, size=3):
     words = (text or "").encode().lower().split()
-    return frozenset(zip(words, words[1:], words[2:])) if len(words) > 2 else frozenset([tuple(words)] if words else [])
+    runs = [words[at:] for at in range(size)]
+    return frozenset(zip(*runs)) if len(words) >= size else frozenset([tuple(words)] if words else [])
 
 
-def brute_groups(texts, percent=90):
-    sets = {at: shingles(text) for at, text in enumerate(texts)}
+def brute_groups(texts, percent=90, size=3):
+    sets = {at: shingles(text, size) for at, text in enumerate(texts)}
     pairs = [
         (a, b) for a in sets for b in range(a) if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
     ]
@@ -64,14 +65,15 @@ def family_texts(seed=1):
     return texts
 
 
-def test_jaccard_groups_equal_brute_force(spark):
+@pytest.mark.parametrize(("percent", "size"), [(90, 3), (80, 5)])
+def test_jaccard_groups_equal_brute_force(spark, percent, size):
     texts = family_texts()
     rows = spark.createDataFrame([(at, text, 7) for at, text in enumerate(texts)], "doc_id long, text string, node int")
-    found = {row.doc_id: row for row in ngram_join.similar_groups(rows).collect()}
-    want = brute_groups(texts)
+    found = {row.doc_id: row for row in ngram_join.similar_groups(rows, percent, size).collect()}
+    want = brute_groups(texts, percent, size)
     assert {at: row.component_id for at, row in found.items()} == want
-    assert all(found[at].n_shingles == len(shingles(text)) for at, text in enumerate(texts))
-    kept = ngram_join.one_of_each(rows)
+    assert all(found[at].n_shingles == len(shingles(text, size)) for at, text in enumerate(texts))
+    kept = ngram_join.one_of_each(rows, percent, size)
     assert kept.columns == rows.columns and {row.doc_id for row in kept.collect()} == {at for at in want if want[at] == at}
 
 
@@ -81,12 +83,12 @@ def test_jaccard_finds_links_that_leaders_miss(spark, monkeypatch, members):
     monkeypatch.setattr(ngram_join, "MEMBERS", members)
     texts = family_texts(2)
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    nodes = ngram_join.shingled(rows).cache()
-    leaders = ngram_join.leader_pairs(nodes).cache()
+    nodes = ngram_join.shingled(rows, 3).cache()
+    leaders = ngram_join.leader_pairs(rows, 90, 3).cache()
     wanted = nodes.where("node is not null").select("node").distinct()
-    texts_of = ngram_join.node_texts(nodes, wanted, rows)
+    texts_of = ngram_join.node_texts(nodes, wanted, rows, 3)
     none = spark.createDataFrame([], "node long, component long")
-    links = [(row.a, row.b) for row in ngram_join.links_between_groups(leaders, none, texts_of).collect()]
+    links = [(row.a, row.b) for row in ngram_join.links_between_groups(leaders, none, texts_of, 90, 3).collect()]
     node = {row.doc_id: row.node for row in nodes.collect()}
     found = grouped(links, {at for at in node.values() if at is not None})
     want = brute_groups(texts)
@@ -96,22 +98,23 @@ def test_jaccard_finds_links_that_leaders_miss(spark, monkeypatch, members):
                 assert (found[node[a]] == found[node[b]]) == (want[a] == want[b])
 
 
-def test_similar_sets_share_a_signature():
+@pytest.mark.parametrize("percent", [90, 80])
+def test_similar_sets_share_a_signature(percent):
     draw = random.Random(4)
     for size in (1, 2, 5, 9, 10, 11, 19, 20, 60, 333, 1000):
         for _ in range(30):
             tokens = np.unique(np.array([draw.getrandbits(64) for _ in range(size)], dtype=np.uint64))
             gone, new = 0, 0
             while True:  # as many differences as the threshold allows
-                if 10 * (len(tokens) - gone - 1) >= 9 * (len(tokens) + new) and draw.random() < 0.5:
+                if 100 * (len(tokens) - gone - 1) >= percent * (len(tokens) + new) and draw.random() < 0.5:
                     gone += 1
-                elif 10 * (len(tokens) - gone) >= 9 * (len(tokens) + new + 1):
+                elif 100 * (len(tokens) - gone) >= percent * (len(tokens) + new + 1):
                     new += 1
                 else:
                     break
             rest = np.delete(tokens, draw.sample(range(len(tokens)), gone))
             other = np.unique(np.concatenate([rest, np.array([draw.getrandbits(64) for _ in range(new)], dtype=np.uint64)]))
-            assert np.intersect1d(signatures(tokens), signatures(other)).size
+            assert np.intersect1d(signatures(tokens, percent), signatures(other, percent)).size
 
 
 def test_jaccard_repeated_ids_and_empty_table(spark):
@@ -187,7 +190,7 @@ def test_license_spans(spark):
     span = found[4, "mit-permission"][0]
     assert texts[4][span.char_start : span.char_end] == mit
     assert 0.9 < found[5, "mit-permission"][0].coverage < 1.0
-    assert len(found[6, "gpl-3.0"]) == 3 and found[7, "cc-by-nc-4.0"][0].matched_words == 6
+    assert len(found[6, "gpl-3.0"]) == 3 and found[7, "cc-by-nc-4.0"][0].matched_words == 5
     assert license_scan.scan(rows.limit(0)).count() == 0
     with pytest.raises(ValueError):
         license_scan.scan(rows, {"short": "two words"})
