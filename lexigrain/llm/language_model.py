@@ -42,7 +42,7 @@ DISCOUNT = 0.75
 MIN_COUNT = 2
 FOLDS, HELD_OUT = 7, 2
 #: Tokens a task gathers before it counts and deals them.
-BATCH_TOKENS = 2_500_000
+BATCH_TOKENS = 1_600_000
 START, END = np.uint64(1), np.uint64(2)
 #: The back-off mass is at least so much, whatever rounding leaves.
 LEAST_LEFT = 1e-9

@@ -16,8 +16,8 @@ and its block pairs are dealt out, so no task holds a hot cell. Tasks return lin
 and a spanning forest, never all pairs; a pair counts in the first table it meets in.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components link with
-nothing; vectors of different length never link; a repeated row counts as another vector; an
-empty table gives an empty table.
+nothing; vectors of different length never link; a repeated row counts as another vector; a null
+vec_id is never a component's id; an empty table gives an empty table.
 """
 
 from __future__ import annotations

@@ -22,8 +22,9 @@ collected.
 
 Defined results: null and empty texts, and texts without words, have no shingles and are linked with
 nothing; texts of fewer words than a shingle have one, the whole sequence; equal texts under
-different ids link; rows that repeat an id get the same result; an empty table gives an empty
-table. Other columns pass through ``one_of_each`` whatever their names.
+different ids link; rows that repeat an id get the same result, and ``one_of_each`` keeps one row
+for each id; a document whose id is null is linked through equal texts only; an empty table gives
+an empty table. Other columns pass through ``one_of_each`` whatever their names.
 """
 
 from __future__ import annotations
