@@ -1,8 +1,9 @@
 """Bigram language model in sharded Elias-Fano tries: learning, storing, scoring.
 
 P(w | v) = (c(v, w) - D)+ / c(v) + l(v) P(w), where P(w) is the add-one unigram model and l(v)
-what the discounts leave. Only bigrams that occur at least ``MIN_COUNT`` times are kept; the mass
-of the others goes to l(v), so the probabilities sum to one. The logarithm of a text splits into
+what the discounts leave. Bigrams that occur at least ``min_count`` times are kept, all of them with
+``EVERY``, as in query op10; the mass of the others goes to l(v), so the probabilities sum to one
+either way. The logarithm of a text splits into
 log P(w) + log l(v) for every token and, where (v, w) is kept, a gain
 log(1 + (c(v, w) - D)+ / (c(v) l(v) P(w))). So all that concerns a word, the gains by context
 included, lives in the word's shard, and a text's score is a sum over shards.
@@ -39,7 +40,8 @@ from lexigrain.llm.common import Batches, id_remainder, lower_words, small_batch
 from lexigrain.llm.elias_fano import NgramTrie
 
 DISCOUNT = 0.75
-MIN_COUNT = 2
+#: How often a bigram must occur to be kept: each that occurs, and where nothing is asked for.
+EVERY, MIN_COUNT = 1, 2
 FOLDS, HELD_OUT = 7, 2
 #: Tokens a task gathers before it counts and deals them.
 BATCH_TOKENS = 1_600_000
@@ -235,7 +237,7 @@ def counted(training: DataFrame, shards: int, hot: Hot) -> DataFrame:
 STATISTICS = "tokens long, distinct long, words binary, hot binary, raw boolean, bigrams binary"
 
 
-def context_statistics(counts: DataFrame, parts: int, hot: Hot) -> DataFrame:
+def context_statistics(counts: DataFrame, parts: int, hot: Hot, min_count: int = MIN_COUNT) -> DataFrame:
     """Kept bigrams and words of the contexts of each task.
 
     ``words`` packs the words' hashes, counts and log l; ``bigrams`` packs words, contexts (upper
@@ -269,7 +271,7 @@ def context_statistics(counts: DataFrame, parts: int, hot: Hot) -> DataFrame:
         each, keys = np.add.reduceat(each, first), keys[first]
         place = (keys >> _UPPER).astype(np.int64)
         total = np.bincount(place, weights=each, minlength=len(contexts)).astype(np.int64)
-        kept = each >= MIN_COUNT
+        kept = each >= min_count
         place, each, upper = place[kept], each[kept] - DISCOUNT, (keys[kept] & U32).astype(np.uint32)
         mass = np.bincount(place, weights=each, minlength=len(contexts))
         frequent = hot.holds(contexts)
@@ -344,12 +346,12 @@ def built_shards(statistics: DataFrame, totals: Totals, scale: np.ndarray) -> Da
     return dealt.groupBy("shard").applyInArrow(build, "shard int, trie binary")
 
 
-def learn(training: DataFrame) -> LanguageModel:
+def learn(training: DataFrame, min_count: int = MIN_COUNT) -> LanguageModel:
     """Learn from ``doc_id, text`` and store the shards in the shared folder."""
     spark = training.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hot = frequent_words(training, parts)
-    statistics = store(context_statistics(counted(training, 4 * parts, hot), parts, hot), "ngram-statistics")
+    statistics = store(context_statistics(counted(training, 4 * parts, hot), parts, hot, min_count), "ngram-statistics")
     sums = statistics.agg(F.sum("tokens"), F.sum("distinct")).first()
     # Of each frequent word a line per shard it is spread over: a few for each shard in all.
     counts, mass = np.zeros(len(hot.words), np.int64), np.zeros(len(hot.words))
@@ -470,10 +472,10 @@ def score(documents: DataFrame, model: LanguageModel) -> DataFrame:
     )
 
 
-def held_out_scores(documents: DataFrame) -> DataFrame:
+def held_out_scores(documents: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     """Learn from all documents but a fold and score all of them."""
     held_out = F.coalesce(id_remainder("doc_id", FOLDS) == HELD_OUT, F.lit(False))
-    model = learn(documents.where(~held_out))
+    model = learn(documents.where(~held_out), min_count)
     return score(documents, model).select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
         F.lit(model.totals.tokens).cast("long").alias("train_tokens"), "base_score", "score",

@@ -60,7 +60,7 @@ def near_vector_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def trie_language_model(spark: SparkSession, folder: str) -> DataFrame:
-    return language_model.held_out_scores(table(spark, folder, "documents"))
+    return language_model.held_out_scores(table(spark, folder, "documents"), language_model.EVERY)
 
 
 def license_spans(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexigrain.llm import components, language_model, license_scan, near_vectors, ngram_join
+from lexigrain.llm import components, language_model, license_scan, near_vectors, ngram_join, queries
 from lexigrain.llm.elias_fano import EliasFano, NgramTrie
 from lexigrain.llm.ngram_join import signatures
 
@@ -260,3 +260,29 @@ def test_language_model_equals_brute_force(spark, monkeypatch, batch_tokens):
     mass = [sum(kept.get((v, w), 0) + left[v] * chance(w) for w in words) + left[v] / (total + distinct + 1) for v in contexts]
     assert all(each == pytest.approx(1.0) for each in mass)
     assert language_model.held_out_scores(frame.limit(0)).count() == 0
+
+
+def test_language_model_query_keeps_bigrams_seen_once(spark, monkeypatch):
+    """A held-out copy of one training document is scored with that document's own word pairs."""
+    draw = random.Random(11)
+    texts = [" ".join(draw.choice("a b c d e".split()) for _ in range(20)) for _ in range(30)]
+    ids = [at for at in range(200) if zlib.crc32(str(at).encode()) % 7 != 2][: len(texts) + 1]
+    copy = next(at for at in range(200) if zlib.crc32(str(at).encode()) % 7 == 2)
+    rare = " ".join(f"rare{k}" for k in range(40))
+    rows = [*zip(ids, [*texts, rare]), (copy, rare)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(queries, "table", lambda spark, folder, name: frame)
+    found = {row.doc_id: row for row in queries.registry()["op10_trie_language_model"](spark, "").collect()}
+    tokens = lambda text: [0, *text.encode().split(), 1]
+    learned = [tokens(text) for at, text in rows if at != copy]
+    words, contexts = Counter(w for each in learned for w in each[1:]), Counter(v for each in learned for v in each[:-1])
+    pairs = Counter(pair for each in learned for pair in zip(each, each[1:]))
+    left = {v: 0.75 * sum(a == v for a, _ in pairs) / n for v, n in contexts.items()}
+    chance = lambda w: (words[w] + 1) / (sum(words.values()) + len(words) + 1)
+    for at, text in rows:
+        each = tokens(text)
+        want = sum(
+            math.log10(max(0, pairs[v, w] - 0.75) / contexts[v] + left[v] * chance(w)) for v, w in zip(each, each[1:])
+        )
+        assert found[at].score == pytest.approx(want, abs=2e-3 * len(each))
+    assert found[copy].held_out and found[copy].score > found[copy].base_score + 40
