@@ -3,8 +3,8 @@
 Words are lower-cased and stripped of all but letters and digits. Of the hashes of every three
 words in a row, winnowing keeps the least of each window of three, so any five words in a row
 that a text shares with a template share a fingerprint. The templates' fingerprints form an
-inverted index, fingerprint -> (template, place); hits on nearby diagonals make a candidate, and a
-local alignment in a band around the diagonal gives matched words, coverage and spans.
+inverted index, fingerprint -> (template, place); hits that go forward in text and template make a
+chain, and a local alignment in a band that follows the chain gives matched words, coverage and spans.
 
 Every whole text is scanned where Spark put it: no shuffle, and nothing grows with the corpus but
 the rows found. The templates go to every task; their size is checked (``MAX_TEMPLATE_BYTES``).
@@ -18,6 +18,7 @@ than three words raise ValueError. Other columns of the input are not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from dataclasses import dataclass
 from itertools import chain
 
@@ -117,6 +118,7 @@ class Index:
 
     names: list[str]
     words: list[list[int]]
+    places: list[dict[int, list[int]]]
     keys: np.ndarray
     template: np.ndarray
     place: np.ndarray
@@ -125,7 +127,7 @@ class Index:
     def of(cls, templates: dict[str, str]) -> Index:
         if sum(len(text.encode()) for text in templates.values()) > MAX_TEMPLATE_BYTES:
             raise ValueError("the templates are too large to send to every task")
-        keys, owners, places, words = [], [], [], []
+        keys, owners, places, words, spots = [], [], [], [], []
         for at, text in enumerate(templates.values()):
             found = tokens(lower_words(text))
             found = found[found != 0]
@@ -137,9 +139,12 @@ class Index:
             owners.append(np.full(len(chosen), at))
             places.append(chosen)
             words.append(found.tolist())
+            spots.append({})
+            for spot, word in enumerate(words[-1]):
+                spots[-1].setdefault(word, []).append(spot)
         joined = np.concatenate(keys)
         order = np.argsort(joined, kind="stable")
-        return cls(list(templates), words, joined[order], np.concatenate(owners)[order], np.concatenate(places)[order])
+        return cls(list(templates), words, spots, joined[order], np.concatenate(owners)[order], np.concatenate(places)[order])
 
     def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Row of ``hashes``, template and place of every equal fingerprint."""
@@ -149,66 +154,141 @@ class Index:
         return row, self.template[entry], self.place[entry]
 
 
-def aligned(text: list[int], template: list[int], diagonal: int, start: int, end: int) -> tuple[int, int, int, int, int] | None:
-    """Best local alignment in a band around a diagonal, with text words in [start, end).
+def chains(place: list[int], at: list[int], length: int):
+    """Hits of one template, in the order of ``at`` and ``place``, as chains that go forward in both.
 
-    Matches count 1, differences and gaps -1. Returns matched words, text start and end, template
-    start and end.
+    A step may leave the diagonal by ``BAND``, so a chain follows any number of small edits. A place
+    that recurs further on in the text cannot follow itself, so every repetition has its own chain.
     """
-    best = (0, 0, 0, 0, 0, 0)
-    above: dict[int, tuple[int, int, int, int]] = {}
-    for i, word in enumerate(template):
-        row: dict[int, tuple[int, int, int, int]] = {}
-        for j in range(max(start, i + diagonal - BAND), min(end, i + diagonal + BAND + 1)):
-            score, matched, j0, i0 = above.get(j - 1, (0, 0, j, i))
-            cell = (score + 1, matched + 1, j0, i0) if text[j] == word else (score - 1, matched, j0, i0)
-            for score, matched, j0, i0 in (above.get(j, (0, 0, j, i)), row.get(j - 1, (0, 0, j, i))):
-                if score - 1 > cell[0]:
-                    cell = (score - 1, matched, j0, i0)
-            if cell[0] > 0:
-                row[j] = cell
-                if cell[0] > best[0]:
-                    best = (cell[0], cell[1], cell[2], j + 1, cell[3], i + 1)
-        above = row
-    _, matched, j0, j1, i0, i1 = best
-    if matched < LEAST_WORDS or matched < LEAST_SHARE * max(j1 - j0, i1 - i0):
-        return None
-    return matched, j0, j1, i0, i1
-
-
-def candidates(template: np.ndarray, place: np.ndarray, at: np.ndarray, lengths: list[int]):
-    """Hits grouped by template and nearby diagonal: template, diagonal, first and last text place."""
-    order = np.lexsort((at, at - place, template))
-    group: list[int] = []
-    for k in order.tolist():
-        if group:
-            g = group[-1]
-            near = (at[k] - place[k]) - (at[g] - place[g]) <= BAND and abs(at[k] - at[g]) <= lengths[template[k]] + BAND
-            if template[k] != template[g] or not near:
-                yield group
-                group = []
-        group.append(k)
-    if group:
-        yield group
+    best, before, low = [], [], 0
+    for k in range(len(at)):
+        while at[k] - at[low] > length + BAND:
+            low += 1
+        top, source = float(GRAM), -1
+        for l in range(k - 1, low - 1, -1):
+            down, along = place[k] - place[l], at[k] - at[l]
+            turn = abs(along - down)
+            if down <= 0 or along <= 0 or turn > BAND or (turn and min(down, along) < GRAM):
+                continue
+            value = best[l] + min(GRAM, down) - turn / 4
+            if value > top:
+                top, source = value, l
+        best.append(top)
+        before.append(source)
+    used = bytearray(len(at))
+    for k in sorted(range(len(at)), key=lambda k: -best[k]):
+        chain = []
+        while k >= 0 and not used[k]:
+            used[k] = 1
+            chain.append(k)
+            k = before[k]
+        if chain:
+            yield chain[::-1]
+
+
+def cost(a: tuple[int, int], b: tuple[int, int]) -> int:
+    """Differences and gaps between two matches that follow each other."""
+    return max(b[0] - a[0], b[1] - a[1]) - 1
+
+
+def between(first: tuple[int, int] | None, last: tuple[int, int] | None, pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The matches, of ``pairs`` in text order, that best fill what lies between two; one of the two may be open."""
+    score, before = [], []
+    for k, pair in enumerate(pairs):
+        top, source = (1 - cost(first, pair) if first else 1), -1
+        for l in range(k):
+            if pairs[l][0] < pair[0] and pairs[l][1] < pair[1]:
+                value = score[l] + 1 - cost(pairs[l], pair)
+                if value > top:
+                    top, source = value, l
+        score.append(top)
+        before.append(source)
+    top, k = (-cost(first, last) if first and last else 0), -1
+    for l, pair in enumerate(pairs):
+        value = score[l] - cost(pair, last) if last else score[l]
+        if value > top:
+            top, k = value, l
+    found = []
+    while k >= 0:
+        found.append(pairs[k])
+        k = before[k]
+    return found[::-1]
+
+
+def aligned(text: list[int], template: list[int], places: dict[int, list[int]], anchors: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """``(text, template)`` places of the matches of an alignment through all anchors.
+
+    Between anchors and beyond the ends it stays in a band around their diagonals. ``places`` are those of
+    each word of the template.
+    """
+
+    def inside(j0: int, j1: int, i0: int, i1: int, low: int, high: int) -> list[tuple[int, int]]:
+        return [
+            (j, i) for j in range(max(0, j0), min(len(text), j1)) for i in places.get(text[j], ())
+            if i0 <= i < i1 and low - BAND <= j - i <= high + BAND
+        ]
+
+    j, i = anchors[0]
+    pairs = between(None, (j, i), inside(j - i - BAND, j, 0, i, j - i, j - i))
+    for j, i in anchors:
+        if pairs and j > pairs[-1][0] + 1:
+            last = pairs[-1]
+            ends = sorted((last[0] - last[1], j - i))
+            pairs += between(last, (j, i), inside(last[0] + 1, j, last[1] + 1, i, *ends))
+        pairs += [(j + step, i + step) for step in range(GRAM) if not pairs or j + step > pairs[-1][0]]
+    j, i = pairs[-1]
+    return pairs + between((j, i), None, inside(j + 1, j - i + len(template) + BAND, i + 1, len(template), j - i, j - i))
+
+
+def fits(pairs: list[tuple[int, int]]):
+    """Runs of matches that count as spans: matched words, text start and end, template start and end.
+
+    Matches count 1, differences and gaps -1; the best run comes first, then what it leaves on either side.
+    A run in which too few words match is taken apart at its widest gap.
+    """
+    left = [(0, len(pairs))]
+    while left:
+        low, high = left.pop()
+        if high - low < LEAST_WORDS:
+            continue
+        score, begin, top = 0, low, (0, low, low)
+        for k in range(low, high):
+            if k > begin:
+                score -= cost(pairs[k - 1], pairs[k])
+            if score <= 0:
+                score, begin = 0, k
+            score += 1
+            if score > top[0]:
+                top = (score, begin, k + 1)
+        _, start, end = top
+        left += [(low, start), (end, high)]
+        if end - start < LEAST_WORDS:
+            continue
+        (j0, i0), (j1, i1) = pairs[start], pairs[end - 1]
+        if end - start >= LEAST_SHARE * max(j1 + 1 - j0, i1 + 1 - i0):
+            yield end - start, j0, j1 + 1, i0, i1 + 1
+        else:
+            cut = max(range(start + 1, end), key=lambda k: cost(pairs[k - 1], pairs[k]))
+            left += [(start, cut), (cut, end)]
 
 
 def spans(found: np.ndarray, index: Index, template: np.ndarray, place: np.ndarray, at: np.ndarray) -> list[tuple]:
     """Rows ``(template, matched, text start, end, template start, end)`` in words, for the hits of one text."""
-    words, results = found.tolist(), {}
-    lengths = [len(each) for each in index.words]
-    for group in candidates(template, place, at, lengths):
-        owner = int(template[group[0]])
-        diagonal = int(np.median(at[group] - place[group]))
-        start = max(0, diagonal - BAND)
-        fit = aligned(words, index.words[owner], diagonal, start, min(len(words), diagonal + lengths[owner] + BAND))
-        if fit:
-            results.setdefault(owner, set()).add(fit)
-    rows = []
-    for owner, fits in results.items():
-        taken: list[tuple[int, int]] = []
-        for fit in sorted(fits, key=lambda fit: (-fit[0], fit[1])):
-            if all(fit[2] <= a or fit[1] >= b for a, b in taken):
-                taken.append((fit[1], fit[2]))
+    words, rows = found.tolist(), []
+    order = np.lexsort((place, at, template))
+    owners, starts = np.unique(template[order], return_index=True)
+    for owner, of in zip(owners.tolist(), np.split(order, starts[1:])):
+        i, j, places = place[of].tolist(), at[of].tolist(), index.places[owner]
+        results = set()
+        for chain in chains(i, j, len(index.words[owner])):
+            results.update(fits(aligned(words, index.words[owner], places, [(j[k], i[k]) for k in chain])))
+        begins: list[int] = []
+        ends: list[int] = []
+        for fit in sorted(results, key=lambda fit: (-fit[0], fit[1])):
+            spot = bisect(begins, fit[1])  # spans taken so far lie apart and in order
+            if (not spot or ends[spot - 1] <= fit[1]) and (spot == len(begins) or fit[2] <= begins[spot]):
+                begins.insert(spot, fit[1])
+                ends.insert(spot, fit[2])
                 rows.append((owner, *fit))
     return sorted(rows, key=lambda row: (row[2], row[0]))
 

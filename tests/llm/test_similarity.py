@@ -286,3 +286,28 @@ def test_language_model_query_keeps_bigrams_seen_once(spark, monkeypatch):
         )
         assert found[at].score == pytest.approx(want, abs=2e-3 * len(each))
     assert found[copy].held_out and found[copy].score > found[copy].base_score + 40
+
+
+@pytest.mark.parametrize("name", ["mit", "cc-by-nc-4.0", "apache-2.0"])
+@pytest.mark.parametrize("item", ["", "\n- item"])
+def test_license_scan_finds_every_repetition(spark, name, item):
+    notice = license_scan.TEMPLATES[name]
+    text = (item + " " + notice) * 100
+    rows = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    found = sorted((row.char_start, row.char_end) for row in license_scan.scan(rows).collect() if row.template == name)
+    starts = [at for at in range(len(text)) if text.startswith(notice, at)]
+    assert found == [(at, at + len(notice)) for at in starts]
+
+
+@pytest.mark.parametrize("name", ["mit-permission", "apache-2.0-header"])
+@pytest.mark.parametrize(("every", "added"), [(15, 6), (20, 8), (12, 1)])
+def test_license_scan_follows_many_small_insertions(spark, name, every, added):
+    words = license_scan.TEMPLATES[name].split()
+    edited = []
+    for at, word in enumerate(words):
+        edited += [f"new{at}x{k}" for k in range(added)] if at and at % every == 0 and at < len(words) - 10 else []
+        edited.append(word)
+    text = "some words before " + " ".join(edited) + " and some after"
+    rows = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (found,) = [row for row in license_scan.scan(rows).collect() if row.template == name]
+    assert found.coverage == 1.0 and text[found.char_start : found.char_end] == " ".join(edited)
