@@ -33,7 +33,7 @@ def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of similar ones."""
+    """One row, that of the smallest id, of each group of similar documents; null ids drop none."""
     return ngram_join.one_of_each(docs)
 
 

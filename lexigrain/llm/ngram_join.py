@@ -22,8 +22,10 @@ collected.
 
 Defined results: null and empty texts, and texts without words, have no shingles and are linked with
 nothing; texts of fewer words than a shingle have one, the whole sequence; equal texts under
-different ids link; rows that repeat an id get the same result, and ``one_of_each`` keeps one row
-for each id; a document whose id is null is linked through equal texts only; an empty table gives
+different ids link; rows are told apart by id and text, so different texts under one id, null
+included, are documents of their own and link like others; the component_id of a group of null ids
+only is null. ``one_of_each`` keeps one row of each group, of those with the smallest id (null
+last) the one of the smallest hash of the text, and every row without shingles; an empty table gives
 an empty table. Other columns pass through ``one_of_each`` whatever their names.
 """
 
@@ -34,7 +36,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexigrain.llm.common import (
@@ -154,8 +156,18 @@ def node_of(tokens: np.ndarray) -> int:
         return int(mix(np.array([mix(tokens + NODE_SEED).sum(dtype=np.uint64) + np.uint64(len(tokens))])).view(np.int64)[0])
 
 
+def keyed(documents: DataFrame) -> DataFrame:
+    """``doc_id, text, key``: id and hash of the text tell rows apart."""
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("key"))
+
+
+def first_row() -> Column:
+    """Of several rows the id and key of that of the smallest id, null last, then of the smallest key."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key"))
+
+
 def shingled(documents: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n_shingles, node``; node, the hash of the set, is null without shingles."""
+    """``doc_id, n_shingles, node, key``; node, the hash of the set, is null without shingles; key is that of the text."""
 
     def run(batches: Batches) -> Batches:
         for batch in small_batches(batches):
@@ -165,12 +177,12 @@ def shingled(documents: DataFrame, size: int) -> DataFrame:
                     batch.column(0),
                     pa.array([len(tokens) for tokens in sets], pa.int64()),
                     pa.array([node_of(tokens) if len(tokens) else None for tokens in sets], pa.int64()),
+                    batch.column(2),
                 ],
-                ["doc_id", "n_shingles", "node"],
+                ["doc_id", "n_shingles", "node", "key"],
             )
 
-    rows = documents.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, node long")
+    return keyed(documents).mapInArrow(run, "doc_id long, n_shingles long, node long, key long")
 
 
 def leader_pairs(documents: DataFrame, percent: int, size: int) -> DataFrame:
@@ -265,22 +277,28 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> Dat
 
 def node_texts(nodes: DataFrame, wanted: DataFrame, documents: DataFrame, size: int) -> DataFrame:
     """``node, text`` of one document of each wanted node."""
-    chosen = nodes.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id")
+    chosen = nodes.join(wanted, "node", "left_semi").groupBy("node").agg(first_row().alias("row"))
+    chosen = chosen.select("node", F.col("row.doc_id").alias("of_id"), F.col("row.key").alias("of_key"))
+    rows = keyed(documents)
+    named = rows.join(chosen, (F.col("doc_id") == F.col("of_id")) & (F.col("key") == F.col("of_key")))
+    # Null ids do not spread rows, so copies are combined before they meet.
+    nameless = rows.where("doc_id is null").select("text", "key").distinct()
+    nameless = nameless.join(chosen.where("of_id is null"), F.col("key") == F.col("of_key"))
+    texts = named.select("node", "text").union(nameless.select("node", "text"))
 
     def own(batches: Batches) -> Batches:
-        """Where an id has several texts, keep the one whose set the node is."""
+        """Keep the texts whose set the node is, should hashes of texts clash."""
         for batch in small_batches(batches):
             found = [node_of(tokens) if len(tokens) else None for tokens in shingle_sets(texts_of(batch), size)]
             yield batch.filter(pa.array([x == y for x, y in zip(found, batch.column(0).to_pylist())], pa.bool_()))
 
-    kept = texts.select("node", "text").mapInArrow(own, "node long, text string")
+    kept = texts.mapInArrow(own, "node long, text string")
     return kept.groupBy("node").agg(F.min("text").alias("text")) if nodes_repeat(nodes) else kept
 
 
 def nodes_repeat(nodes: DataFrame) -> bool:
-    """Whether a document id stands in several rows."""
-    return not nodes.groupBy("doc_id").count().where("count > 1").limit(1).isEmpty()
+    """Whether a text with shingles stands in several rows of one id, null included."""
+    return not nodes.where("node is not null").groupBy("doc_id", "key").count().where("count > 1").limit(1).isEmpty()
 
 
 def families(pairs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -392,8 +410,9 @@ def links_between_groups(pairs: DataFrame, groups: DataFrame, texts: DataFrame,
     return dealt.groupBy("family", "low", "high").applyInArrow(search, "a long, b long")
 
 
-def similar_groups(documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` (the smallest id reachable by links) of every document."""
+def node_groups(documents: DataFrame, percent: int, size: int) -> tuple[DataFrame, DataFrame]:
+    """The nodes of all documents, and ``node, low, row, component``: the smallest id and the first row of
+    each node, and the smallest node reachable by links."""
     nodes = store(shingled(documents, size), "jaccard-nodes")
     pairs = store(leader_pairs(documents, percent, size), "jaccard-pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -403,8 +422,14 @@ def similar_groups(documents: DataFrame, percent: int = PERCENT, size: int = SHI
     more = store(links_between_groups(pairs, groups, texts, percent, size), "jaccard-more")
     if not more.isEmpty():
         groups = components(links.union(more))
-    ids = nodes.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
-    classes = ids.join(groups, "node", "left").select("node", "low", F.coalesce("component", "node").alias("component"))
+    ids = nodes.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"), first_row().alias("row"))
+    classes = ids.join(groups, "node", "left").select("node", "low", "row", F.coalesce("component", "node").alias("component"))
+    return nodes, classes
+
+
+def similar_groups(documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` (the smallest id reachable by links) of every document."""
+    nodes, classes = node_groups(documents, percent, size)
     lowest = classes.groupBy("component").agg(F.min("low").alias("component_id"))
     labelled = classes.join(lowest, "component").select("node", "component_id")
     return nodes.join(labelled, "node", "left").select(
@@ -413,8 +438,14 @@ def similar_groups(documents: DataFrame, percent: int = PERCENT, size: int = SHI
 
 
 def one_of_each(documents: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
-    """The rows whose id is the smallest of their group, one for each id."""
-    found = store(similar_groups(documents, percent, size), "jaccard-groups")
-    kept = found.where("doc_id <=> component_id").select("doc_id")
-    rows = documents.join(kept.distinct(), documents["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
-    return rows.dropDuplicates(["doc_id"]) if nodes_repeat(found) else rows
+    """One row of each group, that of the smallest id, and all rows without shingles."""
+    nodes, classes = node_groups(documents, percent, size)
+    first = classes.groupBy("component").agg(F.min("row").alias("row")).select("row.doc_id", "row.key", F.lit(True).alias("shingles"))
+    bare = nodes.where("node is null").select("doc_id", "key", F.lit(False).alias("shingles")).distinct()
+    kept = store(first.union(bare).toDF("of_id", "of_key", "shingles"), "jaccard-kept")
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"))
+    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key")))
+    if nodes_repeat(nodes):  # of rows that share id and text keep the first by all columns
+        one = rows.where("shingles").groupBy("doc_id", "key").agg(F.min_by("row", F.to_json("row")).alias("row"))
+        rows = one.select("row").union(rows.where("not shingles").select("row"))
+    return rows.select(*[F.col("row").getField(name).alias(name) for name in documents.columns])

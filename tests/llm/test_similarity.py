@@ -311,3 +311,22 @@ def test_license_scan_follows_many_small_insertions(spark, name, every, added):
     rows = spark.createDataFrame([(1, text)], "doc_id long, text string")
     (found,) = [row for row in license_scan.scan(rows).collect() if row.template == name]
     assert found.coverage == 1.0 and text[found.char_start : found.char_end] == " ".join(edited)
+
+
+def test_one_of_each_keeps_every_group_whatever_the_ids(spark):
+    text = lambda name: " ".join(f"{name}{k}" for k in range(60))
+    rows = [
+        (None, text("a"), 1), (None, text("a") + " end", 2), (None, text("b"), 3), (None, text("c"), 4), (None, text("c"), 5),
+        (1, text("d"), 6), (1, text("e"), 7), (2, text("b") + " end", 8), (3, text("f"), 9), (3, text("f"), 10),
+        (None, "", 11), (None, None, 12), (4, text("g"), 13), (5, text("g") + " end", 14),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, key int")
+    for each in (frame, frame.repartition(5)):
+        kept = ngram_join.one_of_each(each)
+        found = sorted(row.key for row in kept.collect())
+        assert kept.columns == frame.columns
+        assert len(found) == 9 and {4, 6, 7, 8, 11, 12, 13} < set(found)
+        assert len({9, 10} & set(found)) == 1
+        assert found[0] in (1, 2)
+    groups = {(row.doc_id, row.component_id) for row in ngram_join.similar_groups(frame).collect()}
+    assert (None, 2) in groups and (2, 2) in groups and (None, None) in groups
