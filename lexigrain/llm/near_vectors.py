@@ -16,8 +16,9 @@ and its block pairs are dealt out, so no task holds a hot cell. Tasks return lin
 and a spanning forest, never all pairs; a pair counts in the first table it meets in.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components link with
-nothing; vectors of different length never link; a repeated row counts as another vector; a null
-vec_id is never a component's id; an empty table gives an empty table.
+nothing; vectors of different length never link; a repeated row counts as another vector; vectors with
+a null vec_id link like others, and a null is a component's id only where it has no other, where all
+its rows are kept; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -105,8 +106,9 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def classes(vectors: DataFrame) -> DataFrame:
-    """``node`` (smallest id), ``weight``, ``embedding`` of each distinct usable vector."""
-    return usable(vectors).groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight"))
+    """``node`` (hash of the vector), ``low`` (smallest id), ``weight``, ``embedding`` of each distinct usable vector."""
+    distinct = usable(vectors).groupBy("embedding").agg(F.min("vec_id").alias("low"), F.count("*").alias("weight"))
+    return distinct.select(F.xxhash64("embedding").alias("node"), "low", "weight", "embedding")
 
 
 def met(distinct: DataFrame, vectors: int, cosine: float) -> DataFrame:
@@ -233,18 +235,20 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     found = store(linked(met(distinct, number, cosine), number, cosine), "vector-links")
     groups = components(found.where("b is not null").select("a", "b"))
     links = found.where("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    grouped = distinct.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    lowest = grouped.groupBy("component").agg(F.min("low").alias("component_id"))
     of_class = (
-        distinct.join(links, "node", "left")
-        .join(groups, "node", "left")
+        grouped.join(links, "node", "left")
+        .join(lowest, "component")
         .select(
             F.col("embedding").alias("of"),
             (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-            F.coalesce("component", "node").alias("component"),
+            "component_id",
         )
     )
     # Unusable vectors have no class: their component is their own id.
     labelled = vectors.select("vec_id", "embedding").join(of_class, F.col("embedding") == F.col("of"), "left")
-    component = F.coalesce("component", "vec_id")
+    component = F.coalesce("component_id", "vec_id")
     return labelled.select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -330,3 +330,18 @@ def test_one_of_each_keeps_every_group_whatever_the_ids(spark):
         assert found[0] in (1, 2)
     groups = {(row.doc_id, row.component_id) for row in ngram_join.similar_groups(frame).collect()}
     assert (None, 2) in groups and (2, 2) in groups and (None, None) in groups
+
+
+def test_vectors_with_null_or_repeated_ids(spark):
+    random_ = np.random.default_rng(5)
+    base = random_.standard_normal((6, 32))
+    near = base + random_.standard_normal((6, 32)) * 0.01
+    ids = [None, None, 1, 2, 2, None], [3, None, None, 4, 5, 6]
+    rows = [(at, each.tolist()) for side, vectors in zip(ids, (base, near)) for at, each in zip(side, vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = [3, None, 1, 2, 2, 6]
+    for each in (frame, frame.coalesce(1)):
+        found = near_vectors.near_duplicates(each).collect()
+        assert sorted(map(str, ((row.vec_id, row.n_links, row.component_id, row.kept) for row in found))) == sorted(
+            str((at, 1, low, at == low)) for side in ids for at, low in zip(side, want)
+        )
