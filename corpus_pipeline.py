@@ -38,8 +38,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents, repeated or left out so that each source has its share of all words."""
-    mixed = mixing.mix(docs)
+    """The documents, repeated or left out so that each source has its share of all words; no text is cut."""
+    mixed = mixing.mix(docs, whole_texts=True)
     return mixed.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else mixed
 
 

@@ -165,8 +165,12 @@ def first_words(text: Column, count: Column) -> Column:
     return F.array_join(F.slice(parts, F.lit(1), count), "")
 
 
-def mix(documents: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """The mixed documents: one row for each copy taken, the one at a cut with its first words only."""
+def mix(documents: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int = MAX_EPOCHS, whole_texts: bool = False) -> DataFrame:
+    """The mixed documents: one row for each copy taken, the one at a cut with its first words only.
+
+    With ``whole_texts`` the one at a cut is taken whole, so a source exceeds its budget by less than that document
+    (rows of equal id and size share a cut and are taken together).
+    """
     plan = cut_plan(store(sized(documents), "mix-sizes"), weights, max_epochs)
     whole = documents.select(F.struct("*").alias("row"))
     rows = whole.select(
@@ -178,7 +182,7 @@ def mix(documents: DataFrame, weights: Sequence[int] = WEIGHTS, max_epochs: int
     )
     copies, words = _taken()
     amounts = F.concat(
-        F.array_repeat(F.lit(None).cast("long"), copies.cast("int")), F.when(words > 0, F.array(words)).otherwise(F.array())
+        F.array_repeat(F.lit(None).cast("long"), copies.cast("int")), F.when(words > 0, F.array(F.lit(None).cast("long") if whole_texts else words)).otherwise(F.array())
     )
     text = F.when(F.col("words").isNull(), F.col("row.text")).otherwise(first_words(F.col("row.text"), F.col("words").cast("int")))
     taken = with_plan(rows.where("size > 0"), plan).select("row", F.explode(amounts).alias("words"))

@@ -184,3 +184,15 @@ def test_pipeline_stages(spark):
     assert ruled.columns == columns and {row.doc_id for row in ruled.select("doc_id").collect()} == verdicts
     whole = corpus_pipeline.run(spark, "/root/testdata/sf0.01").toPandas()
     assert set(whole.doc_id) <= verdicts and (whole.n_tokens == whole.ids.map(len)).all()
+
+
+def test_pipeline_mix_cuts_no_text(spark):
+    rows = documents(spark)
+    size = {at: len(words_of(text or "")) for at, text in enumerate(TEXTS)}
+    taken = {row.doc_id: row.taken for row in mixing.mix_table(rows).collect()}
+    assert any(n % size[at] for at, n in taken.items() if n)
+    got = dict.fromkeys(taken, 0)
+    for row in dict(corpus_pipeline.STAGES)["source_mix"](spark, rows, "").collect():
+        assert row.text == TEXTS[row.doc_id]
+        got[row.doc_id] += size[row.doc_id]
+    assert all(got[at] == -(-n // size[at]) * size[at] for at, n in taken.items() if size[at])
