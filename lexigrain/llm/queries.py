@@ -8,6 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from lexigrain.llm import (
+    importance,
     language_model,
     license_scan,
     mixing,
@@ -71,6 +72,10 @@ def revised_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.revised_counts(table(spark, folder, "documents"))
 
 
+def importance_draw(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.importance_table(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def registry() -> dict[str, Query]:
     return {
         "op1_token_orc_files": token_orc_files,
@@ -83,6 +88,7 @@ def registry() -> dict[str, Query]:
         "op8_shingle_groups": shingle_groups,
         "op9_prefix_trie_bpe": prefix_trie_bpe,
         "op10_trie_language_model": trie_language_model,
+        "op13_importance_draw": importance_draw,
     }
 
 
@@ -90,4 +96,5 @@ def oracles() -> dict[str, str]:
     return {
         "op3_source_mix": mixing.ORACLE,
         "op4_rule_verdicts": quality_rules.ORACLE,
+        "op13_importance_draw": importance.ORACLE,
     }
