@@ -8,6 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from lexigrain.llm import (
+    chat_windows,
     importance,
     language_model,
     license_scan,
@@ -19,6 +20,7 @@ from lexigrain.llm import (
     quality_rules,
     token_counts,
     token_files,
+    turn_trie,
 )
 from lexigrain.llm.common import new_path
 
@@ -72,6 +74,18 @@ def revised_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.revised_counts(table(spark, folder, "documents"))
 
 
+def conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_trie.rebuilt_trie(table(spark, folder, "conversations"))
+
+
+def chat_window_digests(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    marks = [(-1, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
+    added = spark.createDataFrame(marks, "conv_id long, turn long, role string, text string")
+    rows = conversations.select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat_windows.window_digests(rows, new_path(spark, "windows"))
+
+
 def importance_draw(spark: SparkSession, folder: str) -> DataFrame:
     return importance.importance_table(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -88,6 +102,8 @@ def registry() -> dict[str, Query]:
         "op8_shingle_groups": shingle_groups,
         "op9_prefix_trie_bpe": prefix_trie_bpe,
         "op10_trie_language_model": trie_language_model,
+        "op11_conversation_trie": conversation_trie,
+        "op12_chat_windows": chat_window_digests,
         "op13_importance_draw": importance_draw,
     }
 
@@ -96,5 +112,6 @@ def oracles() -> dict[str, str]:
     return {
         "op3_source_mix": mixing.ORACLE,
         "op4_rule_verdicts": quality_rules.ORACLE,
+        "op11_conversation_trie": turn_trie.ORACLE,
         "op13_importance_draw": importance.ORACLE,
     }
