@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,12 +30,14 @@ from lexigrain.fixed_values import (
     SVM_MODEL,
 )
 from lexigrain.functions.expressions import bind, literal_array
+from lexigrain.operators import svm
+from lexigrain.operators.split import stratified_folds
 from lexigrain.operators.tfidf import TfidfModel, entries_of, sparse_vector
 from lexigrain.session import materialise
 
 TOLERANCE = 1e-5
-#: Where the SVM's optimiser stops: the relative change of its objective.
-SVM_TOLERANCE = 1e-3
+#: Largest distance of the SVM's weights from the optimum.
+SVM_TOLERANCE = 1e-4
 
 
 def sigmoid(margin: Column) -> Column:
@@ -206,21 +208,6 @@ def fit_logistic(
     )
 
 
-def _calibrate(held_out: DataFrame) -> tuple[float, float]:
-    """Slope and offset of a sigmoid through held-out margins, with Platt's soft targets."""
-    sizes = _class_sizes(held_out)
-    target = F.when(F.col("target") == 1, (sizes[1] + 1) / (sizes[1] + 2)).otherwise(1 / (sizes[0] + 2))
-    pairs = F.array(
-        F.struct(F.lit(1.0).alias("label"), target.alias("share")),
-        F.struct(F.lit(0.0).alias("label"), (1 - target).alias("share")),
-    )
-    # A soft target is a row of each class, weighted by the share of that class.
-    entry = F.array(F.struct(F.lit(0).alias("i"), F.col("margin").alias("w")))
-    rows = held_out.select(sparse_vector(entry, 1).alias("features"), F.inline(pairs))
-    model = LogisticRegression(weightCol="share", regParam=0.0, maxIter=200, tol=TOLERANCE).fit(rows)
-    return float(model.coefficients[0]), float(model.intercept)
-
-
 def fit_svm(
     train: DataFrame,
     size: int,
@@ -231,34 +218,31 @@ def fit_svm(
     max_iterations: int = MAX_ITERATIONS,
     tolerance: float = SVM_TOLERANCE,
 ) -> FittedModel:
-    """Linear SVM per fold, calibrated on the rows left out; probabilities are averaged.
-
-    Spark ML minimises the hinge loss, not its square, so scores are close to but not
-    equal to those of a squared-hinge solver.
-    """
-    fold = F.pmod(F.crc32(F.concat_ws(":", F.col("id").cast("string"), F.lit(f"fold{seed}"))), F.lit(folds))
-    marked = train.withColumn("fold", fold)
-    scores = []
+    """Squared-hinge SVM per stratified fold, calibrated on the rows left out; probabilities are averaged."""
+    marked = stratified_folds(train, folds, seed)
+    rows = materialise(marked.select("weights", F.col("target").cast("int").alias("target"), "fold"))
+    counts = {(r.fold, r.target): r["count"] for r in rows.groupBy("fold", "target").count().collect()}
+    balance = {}
     for k in range(folds):
-        part = marked.where(F.col("fold") != k)
-        sizes = _class_sizes(part)
-        frame = _training_frame(part, sparse_vector(F.col("weights"), size), sizes)
-        model = LinearSVC(
-            weightCol="balance",
-            regParam=_regularisation(c, sizes),
-            standardization=False,
-            maxIter=max_iterations,
-            tol=tolerance,
-        ).fit(frame)
-        coefficients = model.coefficients.toArray().tolist()
-        table = literal_array(coefficients)
-        margin = F.aggregate(
-            "weights", F.lit(0.0), lambda total, entry: total + entry["w"] * F.get(table, entry["i"])
-        ) + F.lit(model.intercept)
-        held_out = marked.where(F.col("fold") == k).select("target", margin.alias("margin"))
-        slope, offset = _calibrate(held_out)
-        scores.append(LinearScore(coefficients, model.intercept, slope=slope, offset=offset))
-    parameters = {"C": c, "class_weight": "balanced", "cv": folds, "max_iter": max_iterations, "tol": tolerance}
+        seen = {v: sum(n for (fold, target), n in counts.items() if target == v and fold != k) for v in LABELS}
+        if min(seen.values()) == 0 or any(not counts.get((k, v)) for v in LABELS):
+            raise ValueError("training needs rows of both classes in every fold")
+        balance[k] = tuple(sum(seen.values()) / (len(seen) * seen[v]) for v in LABELS)
+    fitted = svm.fit_leaving_out(rows, size, range(folds), balance, c, tolerance, max_iterations)
+
+    margin = F.lit(None).cast("double")
+    for k, solved in fitted.items():
+        table = literal_array(solved[:-1].tolist())
+        value = F.aggregate("weights", F.lit(0.0), lambda total, entry: total + entry["w"] * F.get(table, entry["i"]))
+        margin = F.when(F.col("fold") == k, value + F.lit(float(solved[-1]))).otherwise(margin)
+    sigmoids = svm.fit_sigmoids(materialise(rows.select("fold", "target", margin.alias("margin"))))
+    scores = [
+        LinearScore(fitted[k][:-1].tolist(), float(fitted[k][-1]), slope=sigmoids[k][0], offset=sigmoids[k][1])
+        for k in range(folds)
+    ]
+    parameters = {
+        "C": c, "class_weight": "balanced", "loss": "squared_hinge", "cv": folds, "max_iter": max_iterations, "tol": tolerance,
+    }
     return FittedModel(name, scores, parameters=parameters)
 
 
