@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexigrain.fixed_values import MISSING_TOKENS
+from lexigrain.sources.quoted_csv import read_quoted_csv
 
 CORPUS_SCHEMA = T.StructType(
     [
@@ -24,17 +25,9 @@ def missing_to_null(column: Column) -> Column:
 
 
 def read_corpus_csv(spark: SparkSession, path: str, schema: T.StructType = CORPUS_SCHEMA) -> DataFrame:
-    """Quoted CSV, fields may span lines; the usual missing-value tokens become null."""
-    frame = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("mode", "FAILFAST")
-        # "" is one of the missing-value tokens, handled below with the others.
-        .option("nullValue", "")
-        .csv(path)
-    )
+    """Quoted CSV, fields may span lines, many tasks per file; the usual missing-value tokens become null."""
+    # "" is one of the missing-value tokens, handled below with the others.
+    frame = read_quoted_csv(spark, path, schema, {"mode": "FAILFAST", "nullValue": ""})
     strings = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
     return frame.withColumns({name: missing_to_null(F.col(name)) for name in strings})
 
