@@ -10,20 +10,25 @@ from functools import partial
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.functions import pandas_udf
 
 from lexigrain.fixed_values import BOOTSTRAP_RESAMPLES, CONFIDENCE, SEED
+from lexigrain.functions.expressions import literal_array
 from lexigrain.functions.labelling import effect_size_name
 from lexigrain.operators.ranking import (
-    prefix_over_ranges,
+    even_cuts,
     long_values,
+    place_among,
+    prefix_over_ranges,
     prefix_sums,
     quantile_columns,
+    range_bits,
     value_counts,
     weighted_moments,
+    with_ranges,
 )
 from lexigrain.session import materialise
 
@@ -163,7 +168,7 @@ def compare_groups(
     """Full contrast, one row per metric; without resamples the interval columns are absent."""
     # Read by the contrast and by the bootstrap; far smaller than the rows behind it.
     counts = materialise(_group_counts(frame, metrics, group))
-    ranked = prefix_sums(counts, ["metric"], ["n1", "n0"], small_domain=small_domain)
+    ranked = prefix_sums(counts, ["metric"], ["n1", "n0"], small_domain=small_domain, stored=True)
 
     def of_group(k: int) -> dict[str, Column]:
         moments = weighted_moments(weight=f"n{k}")
@@ -313,9 +318,7 @@ def _intervals(
     counts: DataFrame, metrics: Sequence[str], resamples: int, seed: int, confidence: float
 ) -> DataFrame:
     spark = counts.sparkSession
-    ranged = materialise(
-        counts.repartitionByRange("metric", "value").withColumn("_range", F.spark_partition_id())
-    )
+    ranged = with_ranges(counts, ["metric"], "value")
     # One row per metric and range partition, however many rows or values there are.
     odd = F.isnan("value") | (F.abs("value") == float("inf"))
     ranges = ranged.groupBy("metric", "_range").agg(
@@ -352,7 +355,7 @@ def _intervals(
         partial(_median_ranks, totals=totals, places=places, seed=seed),
         "metric string, grp int, replicate long, rank long",
     )
-    ranked = prefix_over_ranges(ranged, ["metric"], ["n1", "n0"], "value", False)
+    ranked = prefix_over_ranges(ranged, ["metric"], ["n1", "n0"], "value")
     draws = means.join(_medians(ranked, ranks), ["metric", "replicate"])
     tail = (1 - confidence) / 2
     ends = F.array(F.lit(tail), F.lit(1 - tail))
@@ -373,16 +376,42 @@ def _intervals(
 
 
 # ------------------------------------------------------------------- rank correlation
-def average_ranks(counts: DataFrame, value: str, small_domain: bool = False) -> DataFrame:
-    """``value, rank`` where ties share the mean of their ranks."""
-    ranked = prefix_sums(
-        counts.select(F.lit(0).alias("_all"), F.col(value).alias("value"), "n"),
-        ["_all"],
-        ["n"],
-        small_domain=small_domain,
+def _with_rank(pairs: DataFrame, stored: DataFrame, value: str, other: str, rows: int) -> DataFrame:
+    """``pairs`` with ``rank_<value>``: ties share the mean of their ranks.
+
+    ``stored`` holds the same ``x, y, n`` rows and is only summed. A value that is itself a cut point has a range
+    of its own, whose sums alone give its rank, so such a range is split by the other column
+    into as many parts as the value fills cuts: one value may hold any share of the pairs.
+    """
+    bits, x = range_bits(rows), F.col(value)
+    below, own, filled = F.lit(0), F.lit(False), F.lit(1)
+    if bits:
+        cuts = literal_array(even_cuts(stored, x, bits))
+        below = place_among(x, cuts, bits)
+        own = F.coalesce(F.get(cuts, F.col("_below")) == x, F.lit(False))
+        filled = F.size(F.filter(F.slice(cuts, F.col("_below") + 1, 1 << bits), lambda cut: cut == x))
+
+    def placed(frame: DataFrame) -> DataFrame:
+        # Ranges are numbered in order; odd ones hold one value.
+        found = frame.withColumn("_below", below).withColumn("_own", own)
+        return found.withColumn("_range", 2 * F.col("_below") + F.col("_own").cast("int"))
+
+    sums = placed(stored).groupBy("_range").agg(F.sum("n").alias("_in_range"))
+    order = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = sums.select(
+        F.col("_range").alias("_of"), "_in_range", F.coalesce(F.sum("_in_range").over(order), F.lit(0)).alias("_before")
+    )
+    part = F.when(F.col("_own"), F.pmod(F.xxhash64(other), F.greatest(filled, F.lit(1)))).otherwise(F.lit(0))
+    split = placed(pairs).withColumn("_part", part)
+    inside = Window.partitionBy("_range", "_part")
+    reached = F.sum("n").over(inside.orderBy(value))  # with all equal values
+    ties = F.sum("n").over(Window.partitionBy("_range", "_part", value))
+    local = split.withColumns({"_reached": reached, "_ties": ties})
+    met = local.join(F.broadcast(offsets), F.col("_range") == F.col("_of"))
+    rank = F.when(F.col("_own"), F.col("_before") + (F.col("_in_range") + 1) / 2).otherwise(
+        F.col("_before") + F.col("_reached") - F.col("_ties") + (F.col("_ties") + 1) / 2
     )
-    rank = F.col("before_n") + (F.col("n") + 1) / 2
-    return ranked.select(F.col("value").alias(value), rank.alias(f"rank_{value}"))
+    return met.withColumn(f"rank_{value}", rank).select(*pairs.columns, f"rank_{value}")
 
 
 def spearman(
@@ -390,8 +419,8 @@ def spearman(
 ) -> DataFrame:
     """Rank correlation of two columns as a one-row table.
 
-    Rows are compressed to distinct pairs before ranks are joined, so a value held by half
-    of the rows is no hot join key. The pairs are stored, as three branches read them.
+    Rows are compressed to distinct pairs, which are stored; ranks are attached in one pass over ranges
+    of each side's values, without a join by value.
     """
     pairs = (
         frame.select(
@@ -403,12 +432,9 @@ def spearman(
         .groupBy("x", "y")
         .agg(F.sum("w").alias("n"))
     )
-
-    def marginal(side: str) -> DataFrame:
-        return average_ranks(pairs.groupBy(side).agg(F.sum("n").alias("n")), side, small_domain)
-
     pairs = materialise(pairs)
-    joined = pairs.join(marginal("x"), "x").join(marginal("y"), "y")
+    rows = 0 if small_domain else pairs.count()
+    joined = _with_rank(_with_rank(pairs, pairs, "x", "y", rows), pairs, "y", "x", rows)
     n, a, b = F.col("n").cast("double"), F.col("rank_x"), F.col("rank_y")
     sums = joined.agg(
         F.sum(n).alias("n"),

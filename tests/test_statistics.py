@@ -58,25 +58,56 @@ def test_empty_group_raises(spark):
         contrast.bootstrap_intervals(groups(spark, [], [1.0]), ["value"], resamples=10)
 
 
-def test_ranges_give_the_same_prefix_sums(spark):
-    values = [(k, float(v), v % 3 + 1) for k in (0, 1) for v in range(500)]
-    table = spark.createDataFrame(values, "k int, value double, n long")
-    wide = ranking.prefix_sums(table, ["k"], ["n"], neighbours=True)
-    plain = ranking.prefix_sums(table, ["k"], ["n"], small_domain=True, neighbours=True)
-    columns = ["k", "value", "before_n", "total_n", "lower_n"]
-    assert sorted(map(tuple, wide.select(columns).collect()), key=str) == sorted(map(tuple, plain.select(columns).collect()), key=str)
-
-
-def test_many_ranges_join_up(spark):
-    """Force several range partitions, which the coalescing of small data would hide."""
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        table = spark.range(1000).select(F.lit(0).alias("k"), F.col("id").cast("double").alias("value"), F.lit(1).alias("n"))
-        rows = ranking.prefix_sums(table, ["k"], ["n"], neighbours=True).collect()
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert all(r.before_n == r.value and r.total_n == 1000 for r in rows)
-    assert sum(r.lower_n is None for r in rows) == 1
+def in_order(frame, columns):
+    return sorted(map(str, map(tuple, frame.select(columns).collect())))
+
+
+@pytest.mark.parametrize("rows", [10**9, 200, 20, 1])
+def test_ranges_give_the_same_prefix_sums(spark, monkeypatch, rows):
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", rows)
+    values = [(k, float(v), v % 3 + 1, v % 5) for k in (0, 1, None) for v in range(300 if k else 40)]
+    values += [(0, math.inf, 2, 0), (0, -math.inf, 2, 0), (0, math.nan, 4, 0)]
+    table = spark.createDataFrame(values, "k int, value double, n long, m long")
+    columns = ["k", "value", "before_n", "total_n", "lower_n", "before_m", "total_m", "lower_m"]
+    for keys in (["k"], []):
+        wide = ranking.prefix_sums(table, keys, ["n", "m"], neighbours=True, then=["k"])
+        plain = ranking.prefix_sums(table, keys, ["n", "m"], small_domain=True, neighbours=True, then=["k"])
+        assert in_order(wide, columns) == in_order(plain, columns)
+
+
+def test_rows_move_once_to_their_range(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", 50)
+    table = spark.range(1000).select((F.col("id") % 2).alias("k"), F.col("id").cast("double").alias("value"), F.lit(1).alias("n"))
+    counts = ranking.with_ranges(ranking.materialise(table), ["k"], "value")
+    sizes = [row["count"] for row in counts.groupBy("k", "_range").count().collect()]
+    assert len(sizes) == 32 and max(sizes) < 60  # 500 rows of each key in 16 ranges
+    summed = ranking.prefix_sums(table, ["k"], ["n"])
+    plan = summed._jdf.queryExecution().executedPlan().toString()
+    # Besides the sums of whole ranges, which travel as one row each, one shuffle: by key and range.
+    moves = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("_range" in line for line in moves) == 2 and sum("Window" in line for line in plan.splitlines()) >= 2
+    assert all(r.before_n == r.value // 2 and r.total_n == 500 for r in summed.collect())
+
+
+@pytest.mark.parametrize("rows", [10**9, 100, 7])
+def test_spearman_of_a_heavy_value(spark, monkeypatch, rows):
+    """Half of the pairs share x while y is wide, and the other way round."""
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", rows)
+    draw = np.random.default_rng(7)
+    x = np.where(draw.random(1500) < 0.5, 3.0, draw.integers(0, 400, 1500) / 8)
+    y = np.where(draw.random(1500) < 0.3, -1.0, x + draw.normal(size=1500) * 20)
+
+    def ranks(values):
+        below = np.searchsorted(np.sort(values), values, "left")
+        return below + (np.searchsorted(np.sort(values), values, "right") - below + 1) / 2
+
+    expected = np.corrcoef(ranks(x), ranks(y))[0, 1]
+    frame = spark.createDataFrame(list(zip(x.tolist(), y.tolist())), "a double, b double")
+    result = contrast.spearman(frame, "a", "b")
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "Join [x" not in plan and "Join [y" not in plan
+    assert result.first().correlation == pytest.approx(expected)
+    assert contrast.spearman(frame.limit(0), "a", "b").first().correlation is None
 
 
 def test_spearman_with_ties(spark):
