@@ -203,7 +203,10 @@ def dealt_parts(conversations: DataFrame, part_bytes: int = PART_BYTES, reach_by
     place = F.struct(F.col("turn").isNotNull().alias("known"), F.coalesce("turn", F.lit(0)).alias("turn"), "role", "hash")
     sizes = rows.join(long, "name", "left_semi").groupBy("name", place.alias("place")).agg(F.sum(size).alias("bytes"))
     part = F.floor(F.col("before_bytes") / part_bytes).cast("long")
-    placed = prefix_sums(sizes, ["name"], ["bytes"], value="place").select("name", "place", "before_bytes", part.alias("part"))
+    # Turn numbers cut the ranges, the whole place orders the rows of one.
+    turn_number = F.when(F.col("place.known"), F.col("place.turn").cast("double")).otherwise(float("-inf"))
+    summed = prefix_sums(sizes.withColumn("number", turn_number), ["name"], ["bytes"], value="number", then=["place"])
+    placed = summed.select("name", "place", "before_bytes", part.alias("part"))
     placed = store(placed, "chat-places")
     marked = rows.withColumn("place", place).join(placed, ["name", "place"], "left")
     every = marked.select(
