@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexigrain.operators.ranking import prefix_sums, quantile_columns, value_counts, weighted_moments
 from lexigrain.session import materialise
 
 
+#: Bandwidths a kernel reaches.
+REACH = 8.0
+
+
 def _values(frame: DataFrame, metric: str, group: str) -> DataFrame:
     value = F.col(metric).cast("double")
     return frame.select(F.col(group).alias("group"), value.alias("value")).na.drop()
@@ -74,31 +78,30 @@ def kernel_density(
 ) -> DataFrame:
     """Gaussian kernel density on an even grid per group, Scott's bandwidth.
 
-    Every distinct value adds to each of a fixed number of grid points; sums are
-    combined before the shuffle, so only the grid travels.
+    A distinct value adds only to the grid points within REACH bandwidths, beyond which a kernel is below
+    1e-13 of its height; sums are combined before the shuffle, so only the grid travels.
     """
     counts = materialise(value_counts(_values(frame, metric, group), ["group"]))
     moments = weighted_moments()
+    width = moments["std"] * F.pow(moments["count"], F.lit(-0.2))
     shape = counts.groupBy("group").agg(
-        moments["count"].alias("_n"),
-        (moments["std"] * F.pow(moments["count"], F.lit(-0.2))).alias("_width"),
-        F.min("value").alias("_low"),
-        F.max("value").alias("_high"),
+        moments["count"].alias("_n"), width.alias("_width"), F.min("value").alias("_low"), F.max("value").alias("_high")
     )
     # One row per group; a group without spread has no density.
-    joined = counts.join(F.broadcast(shape.where(F.col("_width") > 0)), "group")
-    low = F.col("_low") - cut * F.col("_width")
+    start = F.col("_low") - cut * F.col("_width")
     step = (F.col("_high") - F.col("_low") + 2 * cut * F.col("_width")) / (points - 1)
-    spread = joined.select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
-    ).withColumn("x", low + F.col("point") * step)
-    z = (F.col("x") - F.col("value")) / F.col("_width")
-    kernel: Column = F.col("n") * F.exp(-0.5 * z * z)
-    return (
-        spread.groupBy("group", "point")
-        .agg(
-            F.first("x").alias("x"),
-            (F.sum(kernel) / F.first(F.col("_n") * F.col("_width") * math.sqrt(2 * math.pi))).alias("density"),
-        )
-        .withColumnRenamed("group", group)
+    shape = materialise(
+        shape.where(F.col("_width") > 0).withColumns({"_start": start, "_step": step}).drop("_low", "_high")
+    )
+    place, reach = (F.col("value") - F.col("_start")) / F.col("_step"), REACH * F.col("_width") / F.col("_step")
+    first = F.greatest(F.ceil(place - reach), F.lit(0)).cast("int")
+    last = F.least(F.floor(place + reach), F.lit(points - 1)).cast("int")
+    near = counts.join(F.broadcast(shape), "group").select("*", F.explode(F.sequence(first, last)).alias("point"))
+    x = F.col("_start") + F.col("point") * F.col("_step")
+    z = (x - F.col("value")) / F.col("_width")
+    sums = near.groupBy("group", "point").agg(F.sum(F.col("n") * F.exp(-0.5 * z * z)).alias("_sum"))
+    grid = shape.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    height = F.coalesce("_sum", F.lit(0.0)) / (F.col("_n") * F.col("_width") * math.sqrt(2 * math.pi))
+    return grid.join(F.broadcast(sums), ["group", "point"], "left").select(
+        F.col("group").alias(group), "point", x.alias("x"), height.alias("density")
     )

@@ -27,15 +27,9 @@ CELLS = ("tn", "fp", "fn", "tp")
 COMPARED = MEASURES + CELLS
 SMALLER_IS_BETTER = ("fp", "fn")
 
-# Wording of the selection reasons (fixed values).
-CLEAR_WINNER = (
-    "F1 de la clase desastre = %.6f, superior en %.6f al siguiente candidato; la brecha excede la "
-    "tolerancia de {tolerance}, por lo que el F1 decide sin necesidad de desempate."
-)
-PRACTICAL_TIE = (
-    "%d modelos quedaron dentro de la tolerancia de F1 ({tolerance}); entre ellos decide el "
-    "ROC-AUC = %.6f, mayor por %.6f."
-)
+#: What a selection says of its winner.
+CLEAR_WINNER = "F1 %.6f leads the next model by %.6f, more than {tolerance}"
+PRACTICAL_TIE = "%d models lie within {tolerance} of the best F1; ROC-AUC %.6f is the highest of them, by %.6f"
 
 
 def _ratio(part: Column, whole: Column) -> Column:

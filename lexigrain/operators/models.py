@@ -33,7 +33,7 @@ from lexigrain.functions.expressions import bind, literal_array
 from lexigrain.operators import svm
 from lexigrain.operators.split import stratified_folds
 from lexigrain.operators.tfidf import TfidfModel, entries_of, sparse_vector
-from lexigrain.session import materialise
+from lexigrain.session import materialise, stored
 
 TOLERANCE = 1e-5
 #: Largest distance of the SVM's weights from the optimum.
@@ -219,8 +219,8 @@ def fit_svm(
     tolerance: float = SVM_TOLERANCE,
 ) -> FittedModel:
     """Squared-hinge SVM per stratified fold, calibrated on the rows left out; probabilities are averaged."""
-    marked = stratified_folds(train, folds, seed)
-    rows = materialise(marked.select("weights", F.col("target").cast("int").alias("target"), "fold"))
+    # The fold is a comparison of hashes, so it is found again in every pass instead of storing the rows once more.
+    rows = stratified_folds(train, folds, seed).select("weights", F.col("target").cast("int").alias("target"), "fold")
     counts = {(r.fold, r.target): r["count"] for r in rows.groupBy("fold", "target").count().collect()}
     balance = {}
     for k in range(folds):
@@ -256,15 +256,17 @@ def model_registry() -> dict[str, Callable[[DataFrame, int], FittedModel]]:
     }
 
 
-def fit_models(train: DataFrame, size: int, names: Sequence[str] | None = None) -> dict[str, FittedModel]:
+def fit_models(
+    train: DataFrame, size: int, names: Sequence[str] | None = None, stored_rows: bool = False
+) -> dict[str, FittedModel]:
     """Fit the named models on one stored copy of the weighted training rows.
 
-    Every iteration of a fit ships the lineage of its input, and that of the weights holds
-    the vocabulary; reading a checkpoint keeps the tasks small.
+    Every iteration of a fit ships the lineage of its input, and that of the weights holds the vocabulary; reading
+    a stored table keeps the tasks small. ``stored_rows`` states that ``train`` is read from one already.
     """
     registry = model_registry()
-    stored = materialise(train)
-    return {name: registry[name](stored, size) for name in names or registry}
+    rows = train if stored_rows else stored(train, "training")
+    return {name: registry[name](rows, size) for name in names or registry}
 
 
 def predictions(

@@ -108,18 +108,22 @@ def cleaning_audit(features: DataFrame) -> DataFrame:
 
 
 def before_after_examples(features: DataFrame, with_marker: int = 8, without: int = 4) -> DataFrame:
-    """The first rows by id with a marker and the first ones without."""
+    """The first rows by id with a marker and the first ones without.
+
+    Both come from one pass over the texts: every task keeps its first rows of either kind before anything
+    is shuffled.
+    """
     marked = (
         (F.col("url_count") > 0)
         | (F.col("mention_count") > 0)
         | (F.col("hashtag_count") > 0)
         | (F.col("contains_911") == 1)
     )
-
-    def first(condition: Column, k: int) -> DataFrame:
-        return features.where(condition).select("id", "target", "text", "clean_text").orderBy("id").limit(k)
-
-    return first(marked, with_marker).unionByName(first(~marked, without))
+    kinds = features.select("id", "target", "text", "clean_text", F.coalesce(marked, F.lit(False)).alias("_marked"))
+    place = F.row_number().over(Window.partitionBy("_marked").orderBy("id"))
+    first = kinds.withColumn("_place", place).where(F.col("_place") <= max(with_marker, without))
+    wanted = F.when(F.col("_marked"), with_marker).otherwise(without)
+    return first.where(F.col("_place") <= wanted).select("id", "target", "text", "clean_text")
 
 
 def marker_rates(
@@ -233,31 +237,34 @@ def threshold_catalogue(spark: SparkSession) -> DataFrame:
     )
 
 
-def extreme_documents(
-    sentiment: DataFrame, k: int = 10, names: Mapping[int, str] = CATEGORY_NAMES
-) -> tuple[DataFrame, DataFrame]:
-    """The k most positive and the k most negative documents, ties by id."""
-    # Both ends read one stored copy of the scores; only 2k texts are fetched afterwards.
+def tagged_extremes(sentiment: DataFrame, k: int = 10, names: Mapping[int, str] = CATEGORY_NAMES) -> DataFrame:
+    """The k most positive and the k most negative documents, ties by id, with the end they belong to."""
+    # Both ends read one stored copy of the scores; then the texts are read once for all 2k rows.
     narrow = [name for name in EXTREME_COLUMNS if name not in ("text", "category")]
-    scores = materialise(sentiment.select(*narrow))
-    texts = sentiment.select("id", "text")
+    scores = materialise(sentiment.select(*narrow, F.xxhash64("text").alias("_text")))
+    order = F.col("sentiment_compound")
+    highest = scores.orderBy(order.desc(), "id").limit(k).withColumn("extreme", F.lit(TOP_POSITIVE))
+    lowest = scores.orderBy(order, "id").limit(k).withColumn("extreme", F.lit(TOP_NEGATIVE))
+    # At most 2k rows; an id that repeats is told apart by its text.
+    ends = highest.unionByName(lowest)
+    texts = sentiment.select("id", F.xxhash64("text").alias("_text"), "text")
+    wanted = F.broadcast(ends.select("id", "_text").distinct())
+    found = texts.join(wanted, ["id", "_text"], "left_semi").groupBy("id", "_text").agg(F.first("text").alias("text"))
+    picked = ends.join(found, ["id", "_text"])
+    return picked.select(*[c for c in EXTREME_COLUMNS if c != "category"], "extreme", category(F.col("target"), names).alias("category"))
 
-    def end(table: DataFrame) -> DataFrame:
-        # At most k rows.
-        picked = texts.join(F.broadcast(table), "id")
-        return picked.withColumn("category", category(F.col("target"), names)).select(*EXTREME_COLUMNS)
 
+def extreme_documents(
+    sentiment: DataFrame, k: int = 10, names: Mapping[int, str] = CATEGORY_NAMES
+) -> tuple[DataFrame, DataFrame]:
+    """Both ends as tables of their own, the outermost documents first."""
+    tagged = materialise(tagged_extremes(sentiment, k, names))
     order = F.col("sentiment_compound")
-    highest = end(scores.orderBy(order.desc(), "id").limit(k)).orderBy(order.desc(), "id")
-    lowest = end(scores.orderBy(order, "id").limit(k)).orderBy(order, "id")
-    return highest, lowest
 
+    def end(tag: str, *by: Column) -> DataFrame:
+        return tagged.where(F.col("extreme") == tag).orderBy(*by, "id").select(*EXTREME_COLUMNS)
 
-def tagged_extremes(sentiment: DataFrame, k: int = 10) -> DataFrame:
-    highest, lowest = extreme_documents(sentiment, k)
-    return highest.withColumn("extreme", F.lit(TOP_POSITIVE)).unionByName(
-        lowest.withColumn("extreme", F.lit(TOP_NEGATIVE))
-    )
+    return end(TOP_POSITIVE, order.desc()), end(TOP_NEGATIVE, order)
 
 
 def extremes_composition(sentiment: DataFrame, k: int = 10) -> DataFrame:

@@ -23,6 +23,7 @@ from lexigrain.functions.expressions import (
     text_or_empty,
     word_tokens,
 )
+from lexigrain.session import stored
 
 NGRAM_SIZES = (1, 2)
 WEIGHTS_TYPE = "array<struct<i:int,w:double>>"
@@ -41,13 +42,16 @@ def vocabulary(
     text: str = "clean_text",
 ) -> DataFrame:
     """``term, corpus_count, documents, idf`` of the commonest terms; at most ``max_terms`` rows."""
+    # Every document also sends one entry under a null term, so n comes out of the same pass.
+    itself = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(1).alias("tf")))
     counts = (
-        train.select(F.inline(_term_runs(F.col(text), sizes)))
+        train.select(F.inline(F.concat(_term_runs(F.col(text), sizes), itself)))
         .groupBy("term")
         .agg(F.sum("tf").alias("corpus_count"), F.count(F.lit(1)).alias("documents"))
     )
-    n = train.count()
-    kept = counts.where((F.col("documents") >= min_df) & (F.col("documents") <= max_df * n))
+    held = stored(counts.where((F.col("documents") >= min_df) | F.col("term").isNull()), "vocabulary")
+    n = (held.where(F.col("term").isNull()).first() or {"documents": 0})["documents"]
+    kept = held.where(F.col("term").isNotNull() & (F.col("documents") <= max_df * n))
     top = kept.orderBy(F.desc("corpus_count"), "term").limit(max_terms)
     return top.withColumn("idf", F.ln((1 + n) / (1 + F.col("documents"))) + 1)
 

@@ -55,36 +55,106 @@ def duplicate_rows(frame: DataFrame) -> DataFrame:
     )
 
 
+def _column_stats(frame: DataFrame) -> DataFrame:
+    """``column, rows, nulls, distinct`` with exact distinct counts, ``column`` being the place in the schema.
+
+    A row sends one short (column, digest) pair per value instead of a copy of itself per column; pairs
+    that repeat are combined before the shuffle.
+    """
+    digests = [
+        F.struct(F.lit(at).alias("column"), F.xxhash64(F.lit(1), name).alias("a"), F.xxhash64(F.lit(2), name).alias("b"), F.col(name).isNull().alias("missing"))
+        for at, name in enumerate(frame.columns)
+    ]
+    pairs = frame.select(F.inline(F.array(*digests))).groupBy("column", "a", "b", "missing").agg(F.count(F.lit(1)).alias("n"))
+    return pairs.groupBy("column").agg(
+        F.sum("n").alias("rows"),
+        F.sum(F.when(F.col("missing"), F.col("n")).otherwise(0)).alias("nulls"),
+        F.count_if(~F.col("missing")).alias("distinct"),
+    )
+
+
+def _as_profile(stats: DataFrame, schema: T.StructType) -> DataFrame:
+    """The profile table from ``column, rows, nulls, distinct``; a column that no row has counts zero."""
+    names = F.array(*[F.struct(F.lit(at).alias("column"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("data_type")) for at, f in enumerate(schema.fields)])
+    # One row per column on both sides.
+    gathered = stats.agg(F.map_from_entries(F.collect_list(F.struct("column", F.struct("rows", "nulls", "distinct")))).alias("_stats"))
+    rows = gathered.select("_stats", F.inline(names)).withColumn("_of", F.try_element_at("_stats", F.col("column")))
+    nulls = F.coalesce("_of.nulls", F.lit(0))
+    return rows.select(
+        "column_name",
+        "data_type",
+        nulls.alias("null_count"),
+        (100 * nulls / F.greatest(F.coalesce("_of.rows", F.lit(0)), F.lit(1))).alias("null_pct"),
+        F.coalesce("_of.distinct", F.lit(0)).alias("distinct_count"),
+    )
+
+
 def schema_profile(frame: DataFrame, approximate: bool = False) -> DataFrame:
     """Type, missing values and distinct values of every column.
 
-    ``approximate`` counts distinct values with a sketch and needs no shuffle of values;
+    ``approximate`` counts distinct values with mergeable sketches and shuffles one row per task;
     the exact count goes through one pass of (column, digest) pairs.
     """
-    fields = frame.schema.fields
+    stats = united_profile(column_sketches(frame)) if approximate else _column_stats(frame)
+    return _as_profile(stats, frame.schema)
+
+
+#: Binary logarithm of a distinct sketch's registers: about one per cent of error in 16 KB at most.
+SKETCH_BITS = 14
+
+
+def column_sketches(frame: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``by…, column, rows, nulls, sketch``: what any profile of these rows needs, mergeable with those of others."""
+    each = [
+        F.struct(
+            F.lit(at).alias("column"),
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col(name).isNull()).alias("nulls"),
+            F.hll_sketch_agg(F.when(F.col(name).isNotNull(), F.xxhash64(name)), SKETCH_BITS).alias("sketch"),
+        )
+        for at, name in enumerate(frame.columns)
+        if name not in by
+    ]
+    aggregates = [entry.alias(f"_{at}") for at, entry in enumerate(each)]
+    packed = frame.groupBy(*by).agg(*aggregates)
+    return packed.select(*by, F.inline(F.array(*[f"_{at}" for at in range(len(each))])))
+
+
+def united_profile(sketches: DataFrame) -> DataFrame:
+    """``column, rows, nulls, distinct`` of all rows behind the sketches."""
+    return sketches.groupBy("column").agg(
+        F.sum("rows").alias("rows"),
+        F.sum("nulls").alias("nulls"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch", True)).alias("distinct"),
+    )
 
-    def distinct(field: T.StructField) -> Column:
-        column = _compact(field)
-        return F.approx_count_distinct(column) if approximate else F.count_distinct(column)
 
-    stats = frame.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(F.col(f.name).isNull()).alias(f"nulls_{f.name}") for f in fields],
-        *[distinct(f).alias(f"distinct_{f.name}") for f in fields],
-    )
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.lit(f.dataType.simpleString()).alias("data_type"),
-                F.col(f"nulls_{f.name}").alias("null_count"),
-                (100 * F.col(f"nulls_{f.name}") / F.greatest(F.col("rows"), F.lit(1))).alias("null_pct"),
-                F.col(f"distinct_{f.name}").alias("distinct_count"),
-            )
-            for f in fields
-        ]
-    )
-    return stats.select(F.inline(entries))
+def update_profile(frame: DataFrame, store: str) -> DataFrame:
+    """Profile of a growing table of files from sketches kept under ``store``, one set per file.
+
+    Only files that the store does not hold yet, by path and time of change, are read. ``frame`` must be read from
+    files; the profile covers those it lists now, so a removed or rewritten file no longer counts.
+    """
+    spark = frame.sparkSession
+    columns = frame.columns
+    identity = {"_path": "file_path", "_changed": "file_modification_time"}
+    files = frame.select(*columns, *[F.col(f"_metadata.{field}").alias(name) for name, field in identity.items()])
+    known_schema = "_path string, _changed timestamp, column int, rows long, nulls long, sketch binary"
+    path = spark._jvm.org.apache.hadoop.fs.Path(store)
+    exists = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    known = spark.read.schema(known_schema).parquet(store) if exists else spark.createDataFrame([], known_schema)
+    done = known.select("_path", "_changed").distinct()
+    listed = files.select("_path", "_changed").distinct()
+    # One row per file on either side; the condition on the file's name leaves no column to read of known files.
+    new = [row._path for row in listed.join(done, ["_path", "_changed"], "left_anti").collect()]
+    if new:
+        fresh = files.where(F.col("_path").isin(new))
+        column_sketches(fresh, list(identity)).write.mode("append").parquet(store)
+        known = spark.read.schema(known_schema).parquet(store)
+    current = known.join(listed, ["_path", "_changed"], "left_semi")
+    # A file whose sketches were written twice, by a run that was repeated, counts once.
+    once = current.dropDuplicates(["_path", "_changed", "column"])
+    return _as_profile(united_profile(once), frame.schema)
 
 
 def null_rates(frame: DataFrame) -> DataFrame:

@@ -67,7 +67,7 @@ def _prepared(frame: DataFrame) -> tuple[DataFrame, TfidfModel, DataFrame]:
 def evaluate_models(frame: DataFrame, names: Sequence[str] | None = None) -> Experiment:
     """Fit the registry on one stratified split and predict its validation rows."""
     split, vectoriser, rows = _prepared(frame)
-    models = fit_models(rows.where(F.col("split") == TRAIN), vectoriser.size, names)
+    models = fit_models(rows.where(F.col("split") == TRAIN), vectoriser.size, names, stored_rows=True)
     scored = predictions(rows.where(F.col("split") == TEST), list(models.values()))
     return Experiment(vectoriser, models, split, materialise(scored), rows)
 

@@ -591,10 +591,10 @@ def oracles() -> dict[str, str]:
         "quantile_cont(value, 0.5) FILTER (target = 1) AS d1, quantile_cont(value, 0.5) FILTER (target = 0) AS d0 FROM long GROUP BY metric)"
     )
     out["group_contrast"] = (
-        f"WITH {spoken}, {contrast_sql('sentiment', contrast_metrics)}, {centre} SELECT metric, n_group_1, n_group_0, "
+        f"WITH {spoken}, {contrast_sql('sentiment', contrast_metrics)}, {centre}, {TAILS} SELECT metric, n_group_1, n_group_0, "
         f"{r6('mean_group_1', 'm1')}, {r6('mean_group_0', 'm0')}, {r6('median_group_1', 'd1')}, {r6('median_group_0', 'd0')}, "
-        f"{r6('mean_difference', 'm1 - m0')}, {r6('median_difference', 'd1 - d0')}, {r6('u_statistic')}, {r6('cliffs_delta', DELTA)}, "
-        f"{MAGNITUDE} AS magnitude FROM u JOIN centre USING (metric)"
+        f"{r6('mean_difference', 'm1 - m0')}, {r6('median_difference', 'd1 - d0')}, {r6('u_statistic')}, {P_VALUES}, {r6('cliffs_delta', DELTA)}, "
+        f"{MAGNITUDE} AS magnitude FROM zs JOIN centre USING (metric)"
     )
     out["spearman"] = (
         f"SELECT {r6('correlation', spearman)} FROM (SELECT {ranks('rx', 'l_quantity')}, {ranks('ry', 'l_extendedprice')} FROM lineitem)"
@@ -639,17 +639,16 @@ def oracles() -> dict[str, str]:
         f"WITH {METRICS} SELECT model, {METRIC_COLUMNS}, '{V.FAMILY_FIRST}' AS family, false AS uses_negativity FROM metrics UNION ALL "
         f"SELECT model, {METRIC_COLUMNS}, '{V.FAMILY_SECOND}', false FROM metrics WHERE model = {text(V.NAIVE_BAYES_MODEL)}"
     )
-    tolerance = V.F1_TOLERANCE
-    out["model_selection"] = (
-        f"WITH {METRICS}, best AS (SELECT max(f1) AS f FROM metrics), rivals AS (SELECT model, f1, roc_auc, "
-        "row_number() OVER (ORDER BY roc_auc DESC, f1 DESC, model) AS r, count(*) OVER () AS k, "
-        f"lead(roc_auc) OVER (ORDER BY roc_auc DESC, f1 DESC, model) AS second FROM metrics, best WHERE f1 >= f - {tolerance}), "
-        f"below AS (SELECT max(f1) AS f FROM metrics WHERE f1 < (SELECT f FROM best) - {tolerance}) "
-        "SELECT model, CASE WHEN k = 1 THEN printf('F1 de la clase desastre = %.6f, superior en %.6f al siguiente candidato; la brecha excede la "
-        f"tolerancia de {tolerance}, por lo que el F1 decide sin necesidad de desempate.', best.f, best.f - below.f) "
-        f"ELSE printf('%d modelos quedaron dentro de la tolerancia de F1 ({tolerance}); entre ellos decide el ROC-AUC = %.6f, mayor por %.6f.', "
-        "k, roc_auc, roc_auc - second) END AS reason FROM rivals, best, below WHERE r = 1"
-    )
+    for name, tolerance in (("model_selection", V.F1_TOLERANCE), ("model_selection_tied", 1.0)):
+        out[name] = (
+            f"WITH {METRICS}, best AS (SELECT max(f1) AS f FROM metrics), rivals AS (SELECT model, f1, roc_auc, "
+            "row_number() OVER (ORDER BY roc_auc DESC, f1 DESC, model) AS r, count(*) OVER () AS k, "
+            f"lead(roc_auc) OVER (ORDER BY roc_auc DESC, f1 DESC, model) AS second FROM metrics, best WHERE f1 >= f - {tolerance}), "
+            f"below AS (SELECT max(f1) AS f FROM metrics WHERE f1 < (SELECT f FROM best) - {tolerance}) "
+            f"SELECT model, CASE WHEN k = 1 THEN printf('F1 %.6f leads the next model by %.6f, more than {tolerance}', best.f, best.f - below.f) "
+            f"ELSE printf('%d models lie within {tolerance} of the best F1; ROC-AUC %.6f is the highest of them, by %.6f', "
+            "k, roc_auc, roc_auc - second) END AS reason FROM rivals, best, below WHERE r = 1"
+        )
     out["error_table"] = (
         f"WITH {OUTCOMES} SELECT id, error_type, text, clean_text, actual, predicted, {r6('probability')}, sentiment_label, "
         f"{r6('sentiment_compound')}, {r6('negativity')}, keyword FROM (SELECT *, row_number() OVER (PARTITION BY error_type ORDER BY confidence DESC, id) AS r "
@@ -704,19 +703,27 @@ def score_unlabelled_sql() -> str:
     )
 
 
-def mann_whitney_sql() -> str:
-    """Normal tail by a rational approximation (error below 1.2e-7), enough for six digits."""
-    source = "flagged AS (SELECT CASE event_type WHEN 'click' THEN 1 WHEN 'purchase' THEN 0 END AS target, value FROM events)"
-    t = "(1 / (1 + 0.5 * abs(z) / sqrt(2)))"
+def _tail(z: str) -> str:
+    """Upper normal tail by a rational approximation (error below 1.2e-7), enough for six digits."""
+    t = f"(1 / (1 + 0.5 * abs({z}) / sqrt(2)))"
     terms = (-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806, 0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277)
     series = " + ".join(f"({c}) * pow({t}, {k})" for k, c in enumerate(terms))
-    tail = f"({t} * exp(-z * z / 2 + {series}))"
-    sf = f"CASE WHEN z >= 0 THEN {tail} / 2 ELSE 1 - {tail} / 2 END"
+    tail = f"({t} * exp(-{z} * {z} / 2 + {series}))"
+    return f"CASE WHEN {z} >= 0 THEN {tail} / 2 ELSE 1 - {tail} / 2 END"
+
+
+#: Standardised U for both alternatives, from the table u.
+TAILS = (
+    "spread AS (SELECT *, n_group_1 * n_group_0 / 2 AS mu, "
+    "sqrt(n_group_1 * n_group_0 / 12 * (n_group_1 + n_group_0 + 1 - tie_term / ((n_group_1 + n_group_0) * (n_group_1 + n_group_0 - 1.0)))) AS sd FROM u), "
+    "zs AS (SELECT *, (u_statistic - mu - 0.5) / sd AS zg, (greatest(u_statistic, n_group_1 * n_group_0 - u_statistic) - mu - 0.5) / sd AS zt FROM spread)"
+)
+P_VALUES = f"{r6('p_two_sided', 'least(1, 2 * (' + _tail('zt') + '))')}, {r6('p_greater', _tail('zg'))}"
+
+
+def mann_whitney_sql() -> str:
+    source = "flagged AS (SELECT CASE event_type WHEN 'click' THEN 1 WHEN 'purchase' THEN 0 END AS target, value FROM events)"
     return (
-        f"WITH {source}, {contrast_sql('flagged', ('value',))}, spread AS (SELECT *, n_group_1 * n_group_0 / 2 AS mu, "
-        "sqrt(n_group_1 * n_group_0 / 12 * (n_group_1 + n_group_0 + 1 - tie_term / ((n_group_1 + n_group_0) * (n_group_1 + n_group_0 - 1.0)))) AS sd FROM u), "
-        "zs AS (SELECT *, (u_statistic - mu - 0.5) / sd AS zg, (greatest(u_statistic, n_group_1 * n_group_0 - u_statistic) - mu - 0.5) / sd AS zt FROM spread) "
-        f"SELECT metric, n_group_1, n_group_0, {r6('u_statistic')}, {r6('tie_term')}, "
-        f"{r6('p_two_sided', 'least(1, 2 * (' + sf.replace('z', 'zt') + '))')}, "
-        f"{r6('p_greater', sf.replace('z', 'zg'))} FROM zs"
+        f"WITH {source}, {contrast_sql('flagged', ('value',))}, {TAILS} "
+        f"SELECT metric, n_group_1, n_group_0, {r6('u_statistic')}, {r6('tie_term')}, {P_VALUES} FROM zs"
     )

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrain.fixed_values import BASELINE_MODEL, NAIVE_BAYES_MODEL, SENTIMENT_NEGATORS
+from lexigrain.fixed_values import BASELINE_MODEL, F1_TOLERANCE, NAIVE_BAYES_MODEL, SENTIMENT_NEGATORS
 from lexigrain.functions.cleaning import clean_for_sentiment, expand_contractions
 from lexigrain.functions.entities import unescape_html
 from lexigrain.functions.expressions import reuse
@@ -38,7 +38,7 @@ from lexigrain.operators.tfidf import TfidfModel, long_weights
 from lexigrain.plans.experiments import compare_negativity, differences, evaluate_models
 from lexigrain.plans.model_store import TextClassifier
 from lexigrain.sources.corpus import corpus_from_tables, spread, unlabelled_documents
-from lexigrain.session import materialise
+from lexigrain.session import materialise, stored
 from lexigrain.sources.lexicon import Lexicon, boosters, starter_valences
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -226,7 +226,7 @@ def sentiment_labels(spark: SparkSession, folder: str) -> DataFrame:
 
 # ------------------------------------------------------------------------------ models
 def weighted_split(spark: SparkSession, folder: str) -> tuple[TfidfModel, DataFrame]:
-    split = stratified_split(materialise(clean_corpus(spark, folder).select("id", "target", "clean_text")))
+    split = stratified_split(stored(clean_corpus(spark, folder).select("id", "target", "clean_text"), "corpus"))
     model = TfidfModel.fit(split.where(F.col("split") == TRAIN))
     return model, weighted(model, split)
 
@@ -260,9 +260,9 @@ def naive_bayes(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(scored.select("id", "actual", "predicted", "probability"))
 
 
-def selected(spark: SparkSession, folder: str) -> DataFrame:
+def selected(spark: SparkSession, folder: str, tolerance: float = F1_TOLERANCE) -> DataFrame:
     metrics = evaluation.model_metrics(aggregated_predictions(spark, folder))
-    return evaluation.select_model(metrics)
+    return evaluation.select_model(metrics, tolerance)
 
 
 def outcomes(spark: SparkSession, folder: str) -> DataFrame:
@@ -288,12 +288,17 @@ def negativity_experiment(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(differences(compare_negativity(sentiment_and_clean(spark, folder))))
 
 
-def score_unlabelled(spark: SparkSession, folder: str) -> DataFrame:
-    """Train on the labelled documents, score all others."""
-    train = clean_corpus(spark, folder)
+def label_classifier(spark: SparkSession, folder: str) -> TextClassifier:
+    """Naive Bayes over all labelled documents; vocabulary and weights read one stored cleaning."""
+    train = stored(clean_corpus(spark, folder).select("id", "target", "clean_text"), "training")
     vectoriser = TfidfModel.fit(train)
     fitted = fit_models(weighted(vectoriser, train), vectoriser.size, [NAIVE_BAYES_MODEL])
-    classifier = TextClassifier(vectoriser, fitted[NAIVE_BAYES_MODEL])
+    return TextClassifier(vectoriser, fitted[NAIVE_BAYES_MODEL])
+
+
+def score_unlabelled(spark: SparkSession, folder: str) -> DataFrame:
+    """Train on the labelled documents, score all others."""
+    classifier = label_classifier(spark, folder)
     texts = unlabelled_documents(documents(spark, folder), table(spark, folder, "labels"))
     return rounded(rounded(classifier.score(texts.select("id", "text"), LEXICON).drop("text"), 9))
 
@@ -362,7 +367,7 @@ def registry() -> dict[str, Query]:
         "group_contrast": lambda s, d: rounded(
             contrast.compare_groups(
                 sentiment_corpus(s, d), sentiment_metrics, resamples=None, small_domain=True
-            ).drop("p_two_sided", "p_greater")
+            )
         ),
         "group_contrast_full": lambda s, d: rounded(
             contrast.compare_groups(sentiment_corpus(s, d), sentiment_metrics, resamples=2_000, small_domain=True)
@@ -395,6 +400,8 @@ def registry() -> dict[str, Query]:
         "negativity_experiment": negativity_experiment,
         "model_catalogue": catalogue,
         "model_selection": selected,
+        # A tolerance no model leaves: ROC-AUC decides.
+        "model_selection_tied": lambda s, d: selected(s, d, 1.0),
         "error_table": lambda s, d: rounded(evaluation.error_table(outcomes(s, d), per_type=15)),
         "hit_profile": lambda s, d: rounded(evaluation.hit_profile(outcomes(s, d))),
         "errors_by_sentiment": lambda s, d: evaluation.errors_by_sentiment(outcomes(s, d)),

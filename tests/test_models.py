@@ -107,7 +107,7 @@ def metrics_frame(spark, rows):
 
 def test_selection_rule(spark):
     clear = evaluation.select_model(metrics_frame(spark, [(MODEL_A, 0.780938, 0.866635), (MODEL_B, 0.763804, 0.867043)])).first()
-    assert clear.model == MODEL_A and "superior en 0.017134" in clear.reason
+    assert clear.model == MODEL_A and "leads the next model by 0.017134" in clear.reason
     tie = evaluation.select_model(metrics_frame(spark, [(MODEL_A, 0.7810, 0.8600), (MODEL_B, 0.7801, 0.8700)])).first()
     assert tie.model == MODEL_B and "ROC-AUC" in tie.reason
     with pytest.raises(ValueError):
