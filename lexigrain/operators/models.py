@@ -37,7 +37,7 @@ from lexigrain.session import materialise, stored
 
 TOLERANCE = 1e-5
 #: Largest distance of the SVM's weights from the optimum.
-SVM_TOLERANCE = 1e-4
+SVM_TOLERANCE = 1e-3
 
 
 def sigmoid(margin: Column) -> Column:
@@ -138,7 +138,7 @@ def fit_naive_bayes(
 
 
 # ------------------------------------------------------------------------- iterative
-def _class_sizes(train: DataFrame) -> dict[int, int]:
+def class_sizes(train: DataFrame) -> dict[int, int]:
     row = train.agg(*[F.count_if(F.col("target") == v).alias(f"n{v}") for v in LABELS]).first()
     sizes = {v: row[f"n{v}"] for v in LABELS}
     if min(sizes.values()) == 0:
@@ -176,7 +176,7 @@ def fit_logistic(
     max_iterations: int = MAX_ITERATIONS,
 ) -> FittedModel:
     """L2 logistic regression with balanced classes, optionally with one scaled number."""
-    sizes = _class_sizes(train)
+    sizes = class_sizes(train)
     weights, extra, mean, std = F.col("weights"), 0, 0.0, 1.0
     if numeric:
         row = train.agg(F.avg(numeric).alias("m"), F.stddev_pop(numeric).alias("s")).first()

@@ -2,8 +2,8 @@
 
 Minimises ``|w|^2 / 2 + C * sum(s * max(0, 1 - y * w.x)^2)`` with the intercept as the weight of a constant
 feature. Every pass over the stored rows is one Spark job: tasks multiply their sparse rows with
-the current vectors and add up gradients or Hessian products, Spark's aggregation adds the tasks'
-sums by feature, and one number per feature of a bounded vocabulary comes back. Several problems that
+the current vectors and add up gradients or Hessian products; where tasks are many, their sums are added by
+block of features in a shuffle; a few numbers per feature of a bounded vocabulary come back. Several problems that
 leave out one fold each are solved in step, so a pass serves them all.
 
 The objective is strongly convex with modulus 1, so a gradient of length ``tolerance`` proves that the
@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 
 #: Rows are multiplied in blocks of so many entries.
 BLOCK_ENTRIES = 1_000_000
-#: What a pass adds up: gradient or Hessian product, the Hessian's diagonal, the loss.
-_VECTOR, _DIAGONAL, _LOSS = 0, 1, 2
+#: Sums that travel as one value, and how much of them may come back unadded.
+BLOCK_SUMS = 1024
+COLLECTED_BYTES = 64 << 20
+_SUMS = "problem int, block int, sums binary"
 
 
 @dataclass(frozen=True)
@@ -70,19 +72,32 @@ class _Totals:
         self.vector[:-1] += np.bincount(index, weights=factor[rows] * values, minlength=self.size)
         self.vector[-1] += factor.sum()
 
-    def rows(self, problem: int) -> pa.RecordBatch:
-        parts = [(_VECTOR, self.vector)]
-        if self.query.direction is None:
-            parts += [(_DIAGONAL, self.diagonal), (_LOSS, np.array([self.loss]))]
-        kinds, places, sums = [], [], []
-        for kind, values in parts:
-            kept = np.flatnonzero(values)
-            kinds.append(np.full(len(kept), kind, dtype=np.int32))
-            places.append(kept.astype(np.int32))
-            sums.append(values[kept])
-        flat = [np.concatenate(part) for part in (kinds, places, sums)]
-        problems = np.full(len(flat[0]), problem, dtype=np.int32)
-        return pa.RecordBatch.from_arrays([pa.array(a) for a in (problems, *flat)], ["problem", "kind", "i", "total"])
+    def sums(self) -> np.ndarray:
+        """All sums in a row: the vector and, for a gradient, the diagonal and the loss."""
+        if self.query.direction is not None:
+            return self.vector
+        return np.concatenate([self.vector, self.diagonal, [self.loss]])
+
+
+def _sum_rows(sums: dict[tuple[int, int], np.ndarray]) -> pa.RecordBatch:
+    """``problem, block, sums`` rows."""
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([problem for problem, _ in sums], pa.int32()),
+            pa.array([block for _, block in sums], pa.int32()),
+            pa.array([values.tobytes() for values in sums.values()], pa.binary()),
+        ],
+        ["problem", "block", "sums"],
+    )
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> dict[tuple[int, int], np.ndarray]:
+    out: dict[tuple[int, int], np.ndarray] = {}
+    for batch in batches:
+        for problem, block, data in zip(*[column.to_pylist() for column in batch.columns]):
+            values = np.frombuffer(data)
+            out[problem, block] = out[problem, block] + values if (problem, block) in out else values
+    return out
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -101,7 +116,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...
             yield rows, index, values, np.where(labels == 1, 1.0, -1.0), folds
 
 
-def _pass(rows: DataFrame, size: int, asked: dict[int, Query], balance: dict[int, tuple[float, float]]) -> dict[int, Sums]:
+def _pass(
+    rows: DataFrame, tasks: int, size: int, asked: dict[int, Query], balance: dict[int, tuple[float, float]]
+) -> dict[int, Sums]:
     """Sums for every asked problem; problem k learns from all folds but k."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,21 +132,25 @@ def _pass(rows: DataFrame, size: int, asked: dict[int, Query], balance: dict[int
                 place = np.cumsum(learns) - 1
                 entry = learns[row]
                 total.add(place[row[entry]], index[entry], values[entry], sign[learns])
+        parts = {}
         for k, total in totals.items():
-            yield total.rows(k)
-
-    partial = rows.select("weights", "target", "fold").mapInArrow(run, "problem int, kind int, i int, total double")
-    table = partial.groupBy("problem", "kind", "i").agg(F.sum("total").alias("total")).toArrow()
-    problem, kind, place, total = (table.column(name).to_numpy() for name in ("problem", "kind", "i", "total"))
+            values = total.sums()
+            for block, at in enumerate(range(0, len(values), BLOCK_SUMS)):
+                parts[k, block] = values[at : at + BLOCK_SUMS]
+        yield _sum_rows(parts)
+
+    partial = rows.mapInArrow(run, _SUMS)
+    # A few tasks' sums come straight back; those of many are added up by block on the way.
+    if tasks * len(asked) * (2 * size + 3) * 8 > COLLECTED_BYTES:
+        partial = partial.repartition("problem", "block").mapInArrow(lambda batches: iter([_sum_rows(_added(batches))]), _SUMS)
+    found = _added(partial.toArrow().to_batches())
     out = {}
-    for k in asked:
-        arrays = []
-        for wanted, length in ((_VECTOR, size + 1), (_DIAGONAL, size + 1), (_LOSS, 1)):
-            here = (problem == k) & (kind == wanted)
-            values = np.zeros(length)
-            values[place[here]] = total[here]
-            arrays.append(values)
-        out[k] = Sums(arrays[0], arrays[1], float(arrays[2][0]))
+    for k, query in asked.items():
+        values = np.concatenate([found[key] for key in sorted(key for key in found if key[0] == k)])
+        if query.direction is not None:
+            out[k] = Sums(values, np.zeros(0), 0.0)
+        else:
+            out[k] = Sums(values[: size + 1], values[size + 1 : -1], float(values[-1]))
     return out
 
 
@@ -196,10 +217,12 @@ def fit_leaving_out(
     """
     solvers = {k: newton_steps(size, c, tolerance, max_iterations) for k in problems}
     asked = {k: next(solver) for k, solver in solvers.items()}
+    rows = rows.select("weights", "target", "fold")
+    tasks = rows.rdd.getNumPartitions()
     solved: dict[int, np.ndarray] = {}
     while asked:
         following = {}
-        for k, sums in _pass(rows, size, asked, balance).items():
+        for k, sums in _pass(rows, tasks, size, asked, balance).items():
             try:
                 following[k] = solvers[k].send(sums)
             except StopIteration as done:

@@ -685,7 +685,8 @@ def oracles() -> dict[str, str]:
         f"{r6('density', 'sum(exp(-0.5 * pow((x - sentiment_compound) / h, 2))) / (n * h * sqrt(2 * pi()))')} FROM grid JOIN sentiment ON grid.target = sentiment.target GROUP BY ALL"
     ).replace("GROUP BY ALL", "GROUP BY grid.target, point, x, n, h")
     out["mann_whitney"] = mann_whitney_sql()
-    out["score_unlabelled"] = score_unlabelled_sql()
+    out["score_unlabelled"] = out["stream_scores"] = score_unlabelled_sql()
+    out["logistic_coefficients"] = reweighted_sql()
     return out
 
 
@@ -703,6 +704,39 @@ def score_unlabelled_sql() -> str:
     )
 
 
+def reweighted_sql(steps: int = 8) -> str:
+    """The same steps one after the other, each system of three unknowns solved by determinants."""
+    c = V.LOGISTIC_C
+    rows = (
+        "rows AS MATERIALIZED (SELECT CAST(target AS INTEGER) AS y, ln(1 + char_count) AS a, unique_word_ratio AS b, "
+        "count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY target)) AS s FROM features), "
+        "step0 AS (SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2)"
+    )
+
+    def determinant(m: list[list[str]]) -> str:
+        (p, q, r), (t, u, v), (x, y, z) = m
+        return f"({p} * ({u} * {z} - {v} * {y}) - {q} * ({t} * {z} - {v} * {x}) + {r} * ({t} * {y} - {u} * {x}))"
+
+    matrix = [["h00", "h01", "h02"], ["h01", "h11", "h12"], ["h02", "h12", "h22"]]
+    solved = [
+        f"{determinant([[f'g{i}' if k == j else matrix[i][k] for k in range(3)] for i in range(3)])} / {determinant(matrix)} AS b{j}"
+        for j in range(3)
+    ]
+    x = ("1", "a", "b")
+    sums = [
+        f"{c} * sum(w * {x[i]} * {x[j]}){' + 1' if i == j and i else ''} AS h{i}{j}" for i in range(3) for j in range(i, 3)
+    ] + [f"{c} * sum(u * {x[i]}) AS g{i}" for i in range(3)]
+    chain = [
+        f"step{k + 1} AS (SELECT {', '.join(solved)} FROM (SELECT {', '.join(sums)} FROM (SELECT a, b, s * p * (1 - p) AS w, "
+        f"s * (p * (1 - p) * line + y - p) AS u FROM (SELECT *, 1 / (1 + exp(-line)) AS p FROM "
+        f"(SELECT rows.*, b0 + b1 * a + b2 * b AS line FROM rows, step{k})))))"
+        for k in range(steps)
+    ]
+    names = (("intercept", "b0"), ("log_chars", "b1"), ("unique_word_ratio", "b2"))
+    last = " UNION ALL ".join(f"SELECT '{name}' AS term, {r6('coefficient', value)} FROM step{steps}" for name, value in names)
+    return f"WITH {FEATURES}, {rows}, {', '.join(chain)} {last}"
+
+
 def _tail(z: str) -> str:
     """Upper normal tail by a rational approximation (error below 1.2e-7), enough for six digits."""
     t = f"(1 / (1 + 0.5 * abs({z}) / sqrt(2)))"

@@ -33,13 +33,15 @@ from lexigrain.operators.models import (
     predictions,
     weighted,
 )
+from lexigrain.operators.reweighted import fit_reweighted
 from lexigrain.operators.split import TEST, TRAIN, split_summary, stratified_split
 from lexigrain.operators.tfidf import TfidfModel, long_weights
 from lexigrain.plans.experiments import compare_negativity, differences, evaluate_models
 from lexigrain.plans.model_store import TextClassifier
 from lexigrain.sources.corpus import corpus_from_tables, spread, unlabelled_documents
-from lexigrain.session import materialise, stored
+from lexigrain.session import materialise, shared_path, stored
 from lexigrain.sources.lexicon import Lexicon, boosters, starter_valences
+from lexigrain.streaming.scoring import read_batches, read_text_stream, score_in_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -303,6 +305,31 @@ def score_unlabelled(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(rounded(classifier.score(texts.select("id", "text"), LEXICON).drop("text"), 9))
 
 
+def streamed_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """The same scores from a stream over the documents' files."""
+    classifier = label_classifier(spark, folder)
+    known = table(spark, folder, "labels").select(F.col("doc_id").alias("id"))
+    source = table(spark, folder, "documents").schema
+    # As a pattern the path may be one file or a folder of files.
+    stream = read_text_stream(spark, f"{folder}/documents.parque[t]", source)
+
+    def unlabelled(batch: DataFrame) -> DataFrame:
+        return batch.select(F.col("doc_id").alias("id"), "text").join(known, "id", "left_anti")
+
+    path = shared_path(spark, "stream")
+    score_in_batches(stream, classifier, f"{path}/out", f"{path}/state", LEXICON, unlabelled).awaitTermination()
+    shape = classifier.score(unlabelled(table(spark, folder, "documents").limit(0)), LEXICON).schema
+    return rounded(rounded(read_batches(spark, f"{path}/out", shape).drop("text"), 9))
+
+
+def logistic_coefficients(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality from text length and word variety, by reweighted least squares."""
+    length = F.ln(1 + F.col("char_count")).alias("log_chars")
+    rows = stored(marked_features(spark, folder).select("target", length, "unique_word_ratio"), "reweighted")
+    found = fit_reweighted(rows, ["log_chars", "unique_word_ratio"])
+    return rounded(spark.createDataFrame(list(found.items()), "term string, coefficient double"))
+
+
 def registry() -> dict[str, Query]:
     sentiment_metrics = ("negativity", "sentiment_negative", "sentiment_compound")
 
@@ -406,6 +433,8 @@ def registry() -> dict[str, Query]:
         "hit_profile": lambda s, d: rounded(evaluation.hit_profile(outcomes(s, d))),
         "errors_by_sentiment": lambda s, d: evaluation.errors_by_sentiment(outcomes(s, d)),
         "score_unlabelled": score_unlabelled,
+        "stream_scores": streamed_scores,
+        "logistic_coefficients": logistic_coefficients,
         "histogram_by_class": lambda s, d: rounded(
             charts.density_histogram(marked_features(s, d), "char_count", 35)
         ),

@@ -53,14 +53,19 @@ def materialise(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    ensure_checkpoint_dir(spark)
+    folder = spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """``frame`` as Parquet in the shared folder.
 
     For wide frames that many branches read: each then reads only its columns, with statistics,
     where a checkpoint would give back whole rows.
     """
-    ensure_checkpoint_dir(frame.sparkSession)
-    folder = frame.sparkSession.sparkContext._jsc.sc().getCheckpointDir().get()
-    path = f"{folder}/{name}-{uuid.uuid4().hex}"
+    path = shared_path(frame.sparkSession, name)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)

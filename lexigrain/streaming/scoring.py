@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -42,3 +44,34 @@ def score_stream(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def write_batch(batch: DataFrame, output: str, batch_id: int) -> None:
+    """Write a micro-batch to a folder of its own; a batch that is replayed replaces what it wrote before."""
+    batch.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
+
+
+def score_in_batches(
+    stream: DataFrame,
+    classifier: TextClassifier,
+    output: str,
+    checkpoint: str,
+    lexicon: Lexicon | None = None,
+    prepare: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+) -> StreamingQuery:
+    """Score all that the stream holds now, batch by batch, into folders keyed by batch id.
+
+    ``prepare`` may do to a batch what a stream cannot, such as an anti join with a table. Every
+    batch is written once, also when it is replayed after a failure.
+    """
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        write_batch(classifier.score(prepare(batch), lexicon), output, batch_id)
+
+    return stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def read_batches(spark: SparkSession, output: str, schema: T.StructType) -> DataFrame:
+    """Everything the batches have written."""
+    whole = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    return spark.read.schema(whole).parquet(output).drop("batch")

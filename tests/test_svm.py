@@ -94,6 +94,8 @@ def test_blocks_give_the_same_sums(spark, monkeypatch):
     balance = {-1: (1.0, 2.0)}
     whole = svm.fit_leaving_out(frame, 40, [-1], balance, 1.0, 1e-7, 100)[-1]
     monkeypatch.setattr(svm, "BLOCK_ENTRIES", 30)
+    monkeypatch.setattr(svm, "BLOCK_SUMS", 7)
+    monkeypatch.setattr(svm, "COLLECTED_BYTES", 0)
     assert np.abs(svm.fit_leaving_out(frame, 40, [-1], balance, 1.0, 1e-7, 100)[-1] - whole).max() < 1e-6
 
 
