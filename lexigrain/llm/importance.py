@@ -43,7 +43,7 @@ SEED = 7
 #: Equal rows whose ranks are written out together.
 COPIES = 4096
 #: Bytes of text whose words are held at once.
-RUN_BYTES = 1 << 20
+RUN_BYTES = 1 << 18
 
 #: Letters and digits stay (capitals as small letters), bytes of other characters too; the rest separates.
 NORMAL = bytes(
@@ -248,8 +248,8 @@ def ranked(weights: DataFrame, share_percent: int = SHARE_PERCENT, min_words: in
     names = ["doc_id", "n_features", "weight", "score"]
     # Equal rows, a hot id among them, are one row until their ranks are known.
     groups = scored.where(F.col("n_words") >= min_words).groupBy(*names).agg(F.count("*").alias("n"))
-    place = F.struct((-F.col("score")).alias("score"), "doc_id", "n_features", "weight")
-    summed = prefix_sums(groups.withColumn("place", place), [], ["n"], value="place")
+    falling = groups.withColumn("falling", -F.col("score"))
+    summed = prefix_sums(falling, [], ["n"], value="falling", then=["doc_id", "n_features", "weight"])
     # The ranks of equal rows are written out in steps, so that no row holds them all.
     step = F.lit(COPIES).cast("long")
     steps = summed.select(
