@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,8 +15,9 @@ from lexigrain.functions.cleaning import clean_for_sentiment
 from lexigrain.functions.expressions import text_or_empty
 from lexigrain.functions.polarity import polarity_scores
 from lexigrain.operators.features import add_clean_text
-from lexigrain.operators.models import FittedModel, LinearScore, predicted_label
+from lexigrain.operators.models import FittedModel, predicted_label
 from lexigrain.operators.tfidf import TfidfModel
+from lexigrain.plans.stages import TermWeightingModel, TextModelModel
 from lexigrain.sources.lexicon import Lexicon
 
 
@@ -60,35 +62,14 @@ class TextClassifier:
         return frame.select(*columns)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        """Terms and coefficients as parquet, everything else as one JSON row."""
-        scores = self.model.scores
-        rows = [
-            (i, term, idf, [float(score.coefficients[i]) for score in scores])
-            for i, (term, idf) in enumerate(zip(self.vectoriser.terms, self.vectoriser.idf))
-        ]
-        table = spark.createDataFrame(rows, "i int, term string, idf double, coefficients array<double>")
-        table.write.mode("overwrite").parquet(f"{path}/terms")
-        settings = {
-            "sizes": list(self.vectoriser.sizes),
-            "model": {k: v for k, v in asdict(self.model).items() if k != "scores"},
-            "scores": [{k: v for k, v in asdict(s).items() if k != "coefficients"} for s in scores],
-            "metadata": self.metadata,
-        }
-        text = json.dumps(settings, ensure_ascii=False)
-        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(
-            f"{path}/metadata"
-        )
+        """The fitted stages as a Spark ML pipeline under ``path/model``, everything else as one JSON row."""
+        pipeline = PipelineModel(stages=[TermWeightingModel(self.vectoriser), TextModelModel(self.model, self.vectoriser.size)])
+        pipeline.write().overwrite().save(f"{path}/model")
+        text = json.dumps(self.metadata, ensure_ascii=False)
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> TextClassifier:
-        settings = json.loads(spark.read.text(f"{path}/metadata").first().value)
-        # The vocabulary is bounded when it is fitted.
-        rows = spark.read.parquet(f"{path}/terms").orderBy("i").collect()
-        vectoriser = TfidfModel(
-            tuple(r.term for r in rows), tuple(r.idf for r in rows), tuple(settings["sizes"])
-        )
-        scores = [
-            LinearScore([r.coefficients[k] for r in rows], **values)
-            for k, values in enumerate(settings["scores"])
-        ]
-        return cls(vectoriser, FittedModel(scores=scores, **settings["model"]), settings["metadata"])
+        weighting, model = PipelineModel.load(f"{path}/model").stages
+        metadata = json.loads(spark.read.text(f"{path}/metadata").first().value)
+        return cls(weighting.vectoriser, model.fitted, metadata)
