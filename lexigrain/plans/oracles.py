@@ -635,9 +635,10 @@ def oracles() -> dict[str, str]:
         f"pairs AS ({difference}) SELECT metric, {r6('model_a', 'x')}, {r6('model_b', 'y')}, {r6('difference', 'y - x')}, "
         f"CASE WHEN (y - x) * good > 0 THEN '{V.BETTER}' WHEN (y - x) * good < 0 THEN '{V.WORSE}' ELSE '{V.SAME}' END AS direction FROM pairs"
     )
+    numbered = METRICS.replace(PREDICTED, with_numeric_model())
     out["model_catalogue"] = (
-        f"WITH {METRICS} SELECT model, {METRIC_COLUMNS}, '{V.FAMILY_FIRST}' AS family, false AS uses_negativity FROM metrics UNION ALL "
-        f"SELECT model, {METRIC_COLUMNS}, '{V.FAMILY_SECOND}', false FROM metrics WHERE model = {text(V.NAIVE_BAYES_MODEL)}"
+        f"WITH {numbered} SELECT model, {METRIC_COLUMNS}, CASE WHEN model = {text(V.MODEL_B)} THEN '{V.FAMILY_SECOND}' "
+        f"ELSE '{V.FAMILY_FIRST}' END AS family, model = {text(V.MODEL_B)} AS uses_negativity FROM metrics"
     )
     for name, tolerance in (("model_selection", V.F1_TOLERANCE), ("model_selection_tied", 1.0)):
         out[name] = (
@@ -704,37 +705,59 @@ def score_unlabelled_sql() -> str:
     )
 
 
-def reweighted_sql(steps: int = 8) -> str:
-    """The same steps one after the other, each system of three unknowns solved by determinants."""
-    c = V.LOGISTIC_C
-    rows = (
-        "rows AS MATERIALIZED (SELECT CAST(target AS INTEGER) AS y, ln(1 + char_count) AS a, unique_word_ratio AS b, "
-        "count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY target)) AS s FROM features), "
-        "step0 AS (SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2)"
-    )
+def _determinant(m: list[list[str]]) -> str:
+    if len(m) == 1:
+        return m[0][0]
+    parts = [f"{row[0]} * ({_determinant([r[1:] for k, r in enumerate(m) if k != at])})" for at, row in enumerate(m)]
+    return " ".join(("- " if at % 2 else "+ " if at else "") + part for at, part in enumerate(parts))
 
-    def determinant(m: list[list[str]]) -> str:
-        (p, q, r), (t, u, v), (x, y, z) = m
-        return f"({p} * ({u} * {z} - {v} * {y}) - {q} * ({t} * {z} - {v} * {x}) + {r} * ({t} * {y} - {u} * {x}))"
 
-    matrix = [["h00", "h01", "h02"], ["h01", "h11", "h12"], ["h02", "h12", "h22"]]
-    solved = [
-        f"{determinant([[f'g{i}' if k == j else matrix[i][k] for k in range(3)] for i in range(3)])} / {determinant(matrix)} AS b{j}"
-        for j in range(3)
-    ]
-    x = ("1", "a", "b")
-    sums = [
-        f"{c} * sum(w * {x[i]} * {x[j]}){' + 1' if i == j and i else ''} AS h{i}{j}" for i in range(3) for j in range(i, 3)
-    ] + [f"{c} * sum(u * {x[i]}) AS g{i}" for i in range(3)]
-    chain = [
-        f"step{k + 1} AS (SELECT {', '.join(solved)} FROM (SELECT {', '.join(sums)} FROM (SELECT a, b, s * p * (1 - p) AS w, "
+def reweighted_steps(columns: tuple[str, ...], steps: int) -> str:
+    """``step0`` to ``step<steps>`` with the coefficients b0, b1, …, each system solved by determinants.
+
+    From a table ``rows`` with ``y``, the columns and the class weight ``s``.
+    """
+    c, x = V.LOGISTIC_C, ("1", *columns)
+    size = range(len(x))
+    matrix = [[f"h{min(i, j)}{max(i, j)}" for j in size] for i in size]
+    whole = _determinant(matrix)
+    solved = [f"({_determinant([[f'g{i}' if k == j else matrix[i][k] for k in size] for i in size])}) / ({whole}) AS b{j}" for j in size]
+    sums = [f"{c} * sum(w * {x[i]} * {x[j]}){' + 1' if i == j and i else ''} AS h{i}{j}" for i in size for j in size if i <= j]
+    sums += [f"{c} * sum(u * {x[i]}) AS g{i}" for i in size]
+    line = " + ".join(f"b{i} * {x[i]}" for i in size)
+    chain = [f"step0 AS (SELECT {', '.join(f'0.0::DOUBLE AS b{i}' for i in size)})"] + [
+        f"step{k + 1} AS (SELECT {', '.join(solved)} FROM (SELECT {', '.join(sums)} FROM (SELECT *, s * p * (1 - p) AS w, "
         f"s * (p * (1 - p) * line + y - p) AS u FROM (SELECT *, 1 / (1 + exp(-line)) AS p FROM "
-        f"(SELECT rows.*, b0 + b1 * a + b2 * b AS line FROM rows, step{k})))))"
+        f"(SELECT rows.*, {line} AS line FROM rows, step{k})))))"
         for k in range(steps)
     ]
+    return ", ".join(chain)
+
+
+BALANCE = "count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY target)) AS s"
+
+
+def reweighted_sql(steps: int = 8) -> str:
+    rows = (
+        f"rows AS MATERIALIZED (SELECT CAST(target AS INTEGER) AS y, ln(1 + char_count) AS a, unique_word_ratio AS b, {BALANCE} FROM features)"
+    )
     names = (("intercept", "b0"), ("log_chars", "b1"), ("unique_word_ratio", "b2"))
     last = " UNION ALL ".join(f"SELECT '{name}' AS term, {r6('coefficient', value)} FROM step{steps}" for name, value in names)
-    return f"WITH {FEATURES}, {rows}, {', '.join(chain)} {last}"
+    return f"WITH {FEATURES}, {rows}, {reweighted_steps(('a', 'b'), steps)} {last}"
+
+
+def with_numeric_model(steps: int = 8) -> str:
+    """The predictions of the aggregated models and of a logistic regression on negativity."""
+    rows = (
+        f"rows AS MATERIALIZED (SELECT CAST(target AS INTEGER) AS y, negativity AS a, {BALANCE} "
+        "FROM sentiment JOIN (SELECT id, split FROM split) USING (id) WHERE split = 'train')"
+    )
+    numbered = (
+        "numbered AS (SELECT id, target, round(1 / (1 + exp(-(b0 + b1 * negativity))), 9) AS p "
+        f"FROM sentiment JOIN (SELECT id, split FROM split) USING (id), step{steps} WHERE split = 'test')"
+    )
+    plain = PREDICTED.replace("predictions AS MATERIALIZED (", f"{sentiment_frame(False)}, {rows}, {reweighted_steps(('a',), steps)}, {numbered}, predictions AS MATERIALIZED (")
+    return plain[:-1] + f" UNION ALL SELECT id, {text(V.MODEL_B)}, target, CAST(p >= 0.5 AS INTEGER), p FROM numbered)"
 
 
 def _tail(z: str) -> str:

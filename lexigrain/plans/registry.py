@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexigrain.fixed_values import BASELINE_MODEL, F1_TOLERANCE, NAIVE_BAYES_MODEL, SENTIMENT_NEGATORS
+from lexigrain.fixed_values import BASELINE_MODEL, F1_TOLERANCE, MODEL_B, NAIVE_BAYES_MODEL, SENTIMENT_NEGATORS
 from lexigrain.functions.cleaning import clean_for_sentiment, expand_contractions
 from lexigrain.functions.entities import unescape_html
 from lexigrain.functions.expressions import reuse
@@ -30,10 +30,12 @@ from lexigrain.operators.models import (
     FittedModel,
     fit_models,
     majority_probability,
+    predicted_label,
     predictions,
+    sigmoid,
     weighted,
 )
-from lexigrain.operators.reweighted import fit_reweighted
+from lexigrain.operators.reweighted import INTERCEPT, fit_reweighted
 from lexigrain.operators.split import TEST, TRAIN, split_summary, stratified_split
 from lexigrain.operators.tfidf import TfidfModel, long_weights
 from lexigrain.plans.experiments import compare_negativity, differences, evaluate_models
@@ -276,10 +278,22 @@ def outcomes(spark: SparkSession, folder: str) -> DataFrame:
     return evaluation.with_outcome(context)
 
 
+def numeric_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """Validation rows of a logistic regression on the negativity score, over the same split."""
+    scores = stored(add_sentiment(corpus(spark, folder), LEXICON).select("id", "target", "negativity"), "negativity")
+    split = stratified_split(scores)
+    found = fit_reweighted(split.where(F.col("split") == TRAIN), ["negativity"])
+    probability = F.round(sigmoid(F.lit(found[INTERCEPT]) + found["negativity"] * F.col("negativity")), 9)
+    return split.where(F.col("split") == TEST).select(
+        "id", F.lit(MODEL_B).alias("model"), F.col("target").alias("actual"),
+        predicted_label(probability).alias("predicted"), probability.alias("probability"),
+    )
+
+
 def catalogue(spark: SparkSession, folder: str) -> DataFrame:
-    metrics = materialise(evaluation.model_metrics(aggregated_predictions(spark, folder)))
-    second = metrics.where(F.col("model") == NAIVE_BAYES_MODEL)
-    return rounded(evaluation.model_catalogue(metrics, second, []))
+    first = materialise(evaluation.model_metrics(aggregated_predictions(spark, folder)))
+    second = evaluation.model_metrics(materialise(numeric_predictions(spark, folder)))
+    return rounded(evaluation.model_catalogue(first, second, [MODEL_B]))
 
 
 def trained_metrics(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
