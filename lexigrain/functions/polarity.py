@@ -7,7 +7,7 @@ valences come from a hashed literal; a row never leaves its partition.
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -91,10 +91,11 @@ def _punctuation_emphasis(text: Column) -> Column:
 class _Context:
     """Token arrays of one row and the rules that look around a scored word."""
 
-    def __init__(self, tokens: Column, lower: Column, valence: Column, mixed_caps: Column, lexicon: Lexicon):
-        self.tokens, self.lower, self.valence = tokens, lower, valence
+    def __init__(self, arrays: Column, mixed_caps: Column, lexicon: Lexicon):
+        self.tokens, self.lower, self.valence = arrays["tokens"], arrays["lower"], arrays["valence"]
+        self.signal = arrays["signal"]
         self.mixed_caps, self.lexicon = mixed_caps, lexicon
-        self.last = F.size(tokens) - 1
+        self.last = F.size(self.tokens) - 1
         self._booster = lexicon.booster_table()
         self._idiom = lexicon.idiom_table()
 
@@ -119,12 +120,19 @@ class _Context:
             | (self.word(at - 2) == "no")
             | ((self.word(at - 3) == "no") & self.word(at - 1).isin("or", "nor"))
         )
-        value = F.when(after_no, own * NEGATION_FACTOR).when(silent_no, F.lit(0.0)).otherwise(own)
+        return self._loud(at, F.when(after_no, own * NEGATION_FACTOR).when(silent_no, F.lit(0.0)).otherwise(own))
+
+    def _loud(self, at: Column, value: Column) -> Column:
         shouted = _is_upper(F.get(self.tokens, at), self.word(at)) & self.mixed_caps
         return bind(
             value, lambda v: F.when(shouted, self._shifted(v, F.lit(CAPS_BOOST))).otherwise(v)
         )
 
+    def _touched(self, at: Column) -> Column:
+        """Whether any word that the rules look at could change the value of the word at ``at``."""
+        near = [F.coalesce(F.get(self.signal, at + k), F.lit(False)) for k in range(-3, 3)]
+        return reduce(lambda a, b: a | b, near)
+
     def boosted(self, at: Column, distance: int, value: Column) -> Column:
         token = F.get(self.tokens, at - distance)
 
@@ -177,7 +185,14 @@ class _Context:
         return F.when(hit, value * NEGATION_FACTOR).otherwise(value)
 
     def score(self, at: Column) -> Column:
-        """Valence of the lexicon word at ``at`` after all rules about its neighbours."""
+        """Valence of the lexicon word at ``at`` after all rules about its neighbours.
+
+        Most words have no neighbour that any rule names; those are done with at once.
+        """
+        alone = self._loud(at, F.get(self.valence, at))
+        return F.when(self._touched(at), self._ruled(at)).otherwise(alone)
+
+    def _ruled(self, at: Column) -> Column:
         value = self.starting_value(at)
         for distance in (1, 2, 3):
             value = bind(value, partial(self._step, at, distance))
@@ -198,8 +213,12 @@ class _Context:
 
 
 def _arrays(words: Column, lexicon: Lexicon) -> Column:
-    """Struct of the tokens of a text, their lower case and their valences."""
-    valence_of = lexicon.valence_table()
+    """Struct of the tokens of a text, their lower case, their valences, and which of them are signals."""
+    valence_of, signal_of = lexicon.valence_table(), lexicon.signal_table()
+
+    def is_signal(word: Column) -> Column:
+        return F.coalesce(signal_of(word), F.contains(word, F.lit("n't")))
+
     return bind(
         strip_edges(words),
         lambda tokens: bind(
@@ -208,17 +227,19 @@ def _arrays(words: Column, lexicon: Lexicon) -> Column:
                 tokens.alias("tokens"),
                 lower.alias("lower"),
                 F.transform(lower, lambda word: valence_of(word)).alias("valence"),
+                F.transform(lower, is_signal).alias("signal"),
             ),
         ),
     )
 
 
-def _hit_scores(tokens: Column, lower: Column, valence: Column, lexicon: Lexicon) -> Column:
+def _hit_scores(arrays: Column, lexicon: Lexicon) -> Column:
     """Scores of the lexicon words of a text, in order; other words score zero."""
+    tokens, lower, valence = arrays["tokens"], arrays["lower"], arrays["valence"]
     capitals = F.size(F.filter(F.zip_with(tokens, lower, _is_upper), lambda upper: upper))
 
     def scored(mixed_caps: Column, but: Column) -> Column:
-        context = _Context(tokens, lower, valence, mixed_caps, lexicon)
+        context = _Context(arrays, mixed_caps, lexicon)
         hits = F.filter(
             F.transform(valence, lambda value, at: F.when(value.isNotNull(), at)),
             lambda at: at.isNotNull(),
@@ -281,10 +302,9 @@ def _combined(scores: Column, token_total: Column, emphasis: Column) -> Column:
 
 
 def _polarity(text: Column, arrays: Column, lexicon: Lexicon) -> Column:
-    tokens, lower, valence = arrays["tokens"], arrays["lower"], arrays["valence"]
     return bind(
-        _hit_scores(tokens, lower, valence, lexicon),
-        lambda scores: _combined(scores, F.size(tokens), _punctuation_emphasis(text)),
+        _hit_scores(arrays, lexicon),
+        lambda scores: _combined(scores, F.size(arrays["tokens"]), _punctuation_emphasis(text)),
     )
 
 

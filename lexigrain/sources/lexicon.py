@@ -78,6 +78,10 @@ def boosters() -> dict[str, float]:
     return up | down
 
 
+#: Words that the rules name themselves.
+SIGNAL_WORDS = ("no", "never", "without", "doubt", "least", "so", "this", "kind")
+
+
 @dataclass(frozen=True, eq=False)
 class Lexicon:
     """Dictionaries the sentiment rules look words up in; keys are lower case."""
@@ -100,6 +104,16 @@ class Lexicon:
     def idiom_table(self) -> LookupTable:
         return LookupTable(dict(self.idioms), "double")
 
+    @cache
+    def signal_table(self) -> LookupTable:
+        """Words next to which a scored word can change its value; all others leave it as it is.
+
+        Of a phrase the longest word stands for the whole.
+        """
+        phrases = [phrase for phrase in (*self.boosters, *self.idioms) if " " in phrase]
+        keys = {max(phrase.split(), key=len) for phrase in phrases}
+        return LookupTable(dict.fromkeys({*self.boosters, *self.idioms, *self.negators, *SIGNAL_WORDS, *keys}, True), "boolean")
+
     @cache
     def emoji_descriptions(self) -> LookupTable:
         return LookupTable(dict(self.emojis), "string")
