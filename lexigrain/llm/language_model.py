@@ -41,7 +41,7 @@ from lexigrain.llm.elias_fano import NgramTrie
 
 DISCOUNT = 0.75
 #: How often a bigram must occur to be kept: each that occurs, and where nothing is asked for.
-EVERY, MIN_COUNT = 1, 2
+EVERY = MIN_COUNT = 1
 FOLDS, HELD_OUT = 7, 2
 #: Tokens a task gathers before it counts and deals them.
 BATCH_TOKENS = 1_600_000
