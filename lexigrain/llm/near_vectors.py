@@ -96,6 +96,11 @@ class Projections:
 def unit_vectors(column: pa.Array) -> np.ndarray:
     """Unit vectors in double precision of an Arrow list column whose lists have one length."""
     flat = np.asarray(column.flatten()).astype(np.float64).reshape(len(column), -1)
+    # Vectors whose squares would leave the range of doubles are scaled first; all others stay as they are.
+    peak = np.abs(flat).max(axis=1, initial=0, keepdims=True)
+    wild = (peak > 1e100) | (peak < 1e-100)
+    if wild.any():
+        flat = np.where(wild, flat / peak, flat)
     return flat / np.sqrt((flat * flat).sum(axis=1, keepdims=True))
 
 

@@ -164,6 +164,17 @@ def test_vectors_equal_brute_force(spark):
     assert near_vectors.near_duplicates(rows.limit(0)).count() == 0
 
 
+def test_vectors_of_any_length(spark):
+    """Finite components whose squares leave the range of doubles."""
+    draw = np.random.default_rng(3)
+    base = draw.normal(size=16)
+    rows = [(at, (scale * (base + 0.01 * draw.normal(size=16))).tolist()) for at, scale in enumerate([1.0, 1e200, 1e-200, 5e-310, 1e300])]
+    rows += [(10, (1e250 * draw.normal(size=16)).tolist()), (11, [0.0] * 16)]
+    found = {r.vec_id: r for r in near_vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert [(found[at].n_links, found[at].component_id) for at in range(5)] == [(4, 0)] * 5
+    assert found[10].n_links == found[11].n_links == 0
+
+
 def test_vectors_of_a_hot_cell_are_cut_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(near_vectors, "BLOCK", 20)
     random_ = np.random.default_rng(3)
@@ -230,14 +241,14 @@ def test_trie_in_a_memory_mapped_file(tmp_path):
     assert opened.gains_of(at[[0, 0, 1, 2, 2]], np.array([4, 7, 7, 7, 4], np.uint64)).tolist() == [2.0, 1.0, 0.0, 3.0, 0.0]
 
 
-@pytest.mark.parametrize("batch_tokens", [200, language_model.BATCH_TOKENS])
-def test_language_model_equals_brute_force(spark, monkeypatch, batch_tokens):
+@pytest.mark.parametrize(("batch_tokens", "least"), [(200, 2), (language_model.BATCH_TOKENS, None)])
+def test_language_model_equals_brute_force(spark, monkeypatch, batch_tokens, least):
     monkeypatch.setattr(language_model, "BATCH_TOKENS", batch_tokens)
     draw = random.Random(6)
     texts = [None, "", "Ä ä A a", *(" ".join(draw.choice("a a a b b c d e F f g".split()) for _ in range(draw.randrange(60))) for _ in range(80))]
     rows = [(at, text, 1) for at, text in enumerate(texts)] + [(7, texts[7], 1), (None, "a b", 1)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, batch int")
-    found = language_model.held_out_scores(frame).collect()
+    found = (language_model.held_out_scores(frame, least) if least else language_model.held_out_scores(frame)).collect()
     assert len(found) == len(rows)
     tokens = lambda text: [0, *(text or "").encode().lower().split(), 1]
     learned = [tokens(text) for at, text, _ in rows if at is None or zlib.crc32(str(at).encode()) % 7 != 2]
@@ -247,7 +258,7 @@ def test_language_model_equals_brute_force(spark, monkeypatch, batch_tokens):
         contexts.update(each[:-1])
         pairs.update(zip(each, each[1:]))
     total, distinct = sum(words.values()), len(words)
-    kept = {pair: (n - 0.75) / contexts[pair[0]] for pair, n in pairs.items() if n >= 2}
+    kept = {pair: (n - 0.75) / contexts[pair[0]] for pair, n in pairs.items() if n >= (least or 1)}
     left = {v: 1 - sum(p for (a, _), p in kept.items() if a == v) for v in contexts}
     chance = lambda w: (words[w] + 1) / (total + distinct + 1)
     for row in found:
