@@ -53,11 +53,29 @@ def materialise(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+#: Paths of intermediate tables this process has written.
+_written: list[str] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
+    """A new path in the shared folder, for data that ``remove_stored`` may delete."""
     ensure_checkpoint_dir(spark)
     folder = spark.sparkContext._jsc.sc().getCheckpointDir().get()
-    return f"{folder}/{name}-{uuid.uuid4().hex}"
+    return remembered(f"{folder}/{name}-{uuid.uuid4().hex}")
+
+
+def remembered(path: str) -> str:
+    _written.append(path)
+    return path
+
+
+def remove_stored(spark: SparkSession) -> int:
+    """Delete the intermediate tables written so far; call it once the results that read them are written."""
+    removed = 0
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        removed += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return removed
 
 
 def stored(frame: DataFrame, name: str) -> DataFrame:
