@@ -596,6 +596,19 @@ def oracles() -> dict[str, str]:
         f"{r6('mean_difference', 'm1 - m0')}, {r6('median_difference', 'd1 - d0')}, {r6('u_statistic')}, {P_VALUES}, {r6('cliffs_delta', DELTA)}, "
         f"{MAGNITUDE} AS magnitude FROM zs JOIN centre USING (metric)"
     )
+    clicked = "SELECT 'value' AS metric, CASE event_type WHEN 'click' THEN 1 ELSE 0 END AS target, value FROM events WHERE event_type IN ('click', 'purchase')"
+    sold = " UNION ALL ".join(
+        f"SELECT '{name}' AS metric, CASE l_returnflag WHEN 'R' THEN 1 ELSE 0 END AS target, CAST({name} AS DOUBLE) AS value FROM lineitem WHERE l_returnflag IN ('R', 'N')"
+        for name in ("l_extendedprice", "l_quantity")
+    )
+    for name, source in (("bootstrap_checked", clicked), ("bootstrap_checked_wide", sold)):
+        of = "{f}(value{q}) FILTER (target = {k})"
+        halves = [[of.format(f=f, q=q, k=k) for k in (1, 0)] for f, q in (("count", ""), ("avg", ""), ("quantile_cont", ", 0.5"))]
+        out[name] = (
+            f"SELECT metric, {halves[0][0]} AS n_group_1, {halves[0][1]} AS n_group_0, {r6('mean_difference', ' - '.join(halves[1]))}, "
+            f"{r6('median_difference', ' - '.join(halves[2]))}, true AS mean_inside, true AS median_inside, true AS width_as_expected "
+            f"FROM ({source}) GROUP BY metric"
+        )
     out["spearman"] = (
         f"SELECT {r6('correlation', spearman)} FROM (SELECT {ranks('rx', 'l_quantity')}, {ranks('ry', 'l_extendedprice')} FROM lineitem)"
     )

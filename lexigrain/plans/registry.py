@@ -344,6 +344,25 @@ def logistic_coefficients(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(spark.createDataFrame(list(found.items()), "term string, coefficient double"))
 
 
+def checked_intervals(frame: DataFrame, metrics: list[str], resamples: int) -> DataFrame:
+    """What is determined about bootstrap intervals: they hold the observed differences, and those of the means are
+    as wide as normal theory says, up to the noise of the resampling."""
+    frame = stored(frame, "contrast")
+    spreads = [F.var_samp(F.when(F.col("target") == k, F.col(m))) / F.count(F.when(F.col("target") == k, F.col(m))) for m in metrics for k in (1, 0)]
+    errors = [float(v) for v in frame.agg(*spreads).first()]
+    normal = F.lit(None).cast("double")
+    for at, metric in enumerate(metrics):
+        normal = F.when(F.col("metric") == metric, 2 * 1.959963985 * (errors[2 * at] + errors[2 * at + 1]) ** 0.5).otherwise(normal)
+    found = contrast.compare_groups(frame, metrics, resamples=resamples)
+    width = (F.col("mean_ci_high") - F.col("mean_ci_low")) / normal
+    return found.select(
+        "metric", "n_group_1", "n_group_0", "mean_difference", "median_difference",
+        F.col("mean_difference").between(F.col("mean_ci_low"), F.col("mean_ci_high")).alias("mean_inside"),
+        F.col("median_difference").between(F.col("median_ci_low"), F.col("median_ci_high")).alias("median_inside"),
+        width.between(0.8, 1.25).alias("width_as_expected"),
+    )
+
+
 def registry() -> dict[str, Query]:
     sentiment_metrics = ("negativity", "sentiment_negative", "sentiment_compound")
 
@@ -419,6 +438,10 @@ def registry() -> dict[str, Query]:
         "bootstrap_ci_wide": lambda s, d: rounded(
             contrast.bootstrap_intervals(returned(s, d), ["l_extendedprice"], resamples=200)
         ),
+        "bootstrap_checked": lambda s, d: rounded(checked_intervals(click_or_purchase(s, d), ["value"], 1_000)),
+        "bootstrap_checked_wide": lambda s, d: rounded(
+            checked_intervals(returned(s, d), ["l_extendedprice", "l_quantity"], 400)
+        ),
         "spearman": lambda s, d: rounded(
             contrast.spearman(table(s, d, "lineitem"), "l_quantity", "l_extendedprice")
         ),
