@@ -112,6 +112,16 @@ def test_logistic_fits_agree(spark, texts):
     assert [model.scores[0].intercept, *model.scores[0].coefficients] == pytest.approx(plain.tolist(), abs=2e-3)
 
 
+def test_text_only_scoring(spark, texts):
+    model = stages.text_pipeline(stages.NAIVE_BAYES).fit(texts)
+    classifier = TextClassifier(model.stages[0].vectoriser, model.stages[1].fitted)
+    raw = spark.createDataFrame([(1, "Fire, fire & smoke!", "x"), (2, None, "y")], "id long, text string, other string")
+    plain = classifier.score(raw)
+    assert plain.columns == ["id", "text", "other", "clean_text", "predicted_class", "probability"]
+    both = classifier.score(raw, Lexicon()).select(plain.columns)
+    assert plain.orderBy("id").collect() == both.orderBy("id").collect()
+
+
 def test_replayed_batches_write_once(spark, texts, tmp_path):
     model = stages.text_pipeline(stages.NAIVE_BAYES).fit(texts)
     classifier = TextClassifier(model.stages[0].vectoriser, model.stages[1].fitted)
