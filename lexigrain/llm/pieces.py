@@ -16,6 +16,9 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
+#: Pieces and chunks in one generation of what a worker remembers; about 200 bytes each.
+PIECES_KEPT, CHUNKS_KEPT = 400_000, 250_000
+
 #: Tokenizer file of the query contracts; a parameter everywhere.
 TOKENIZER_FILE = "word_bpe_49k.json"
 
@@ -75,16 +78,25 @@ def cut_chunk(chunk: str, tokenizer) -> list[str] | None:
 
 
 class Remembered(dict):
-    """A dictionary that computes missing values and starts anew when it is full."""
+    """A dictionary that computes missing values and keeps what was asked for lately.
+
+    When it is full its content becomes the older generation, the one before is forgotten; keys that are still
+    asked for move on, so frequent ones are not computed again.
+    """
 
-    def __init__(self, compute: Callable[[str], bytes], limit: int = 200_000) -> None:
+    def __init__(self, compute: Callable[[str], bytes], limit: int) -> None:
         super().__init__()
         self.compute, self.limit = compute, limit
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, key: str) -> bytes:
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.compute(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
         return value
 
 
@@ -98,8 +110,8 @@ class LibraryEncoder:
     def __init__(self, path: str) -> None:
         self.tokenizer = library_tokenizer(path)
         model = self.tokenizer.model
-        self.pieces = Remembered(lambda piece: packed([token.id for token in model.tokenize(piece)]))
-        self.chunks = Remembered(self._chunk)
+        self.pieces = Remembered(lambda piece: packed([token.id for token in model.tokenize(piece)]), PIECES_KEPT)
+        self.chunks = Remembered(self._chunk, CHUNKS_KEPT)
 
     def _chunk(self, chunk: str) -> bytes:
         pieces = cut_chunk(chunk, self.tokenizer)
