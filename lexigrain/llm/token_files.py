@@ -7,8 +7,8 @@ are the unit of parallel reads. A filter on ``doc_id`` skips files and stripes b
 statistics and row groups by index and Bloom filter, without touching the ids.
 
 The write is one range shuffle of the texts by document id; encoding happens after it, so only
-texts move and each task encodes and writes one range. Ranges are cut by row samples, a hot
-source does not matter, equal ids stay in one file. ``start`` (ids of all documents before)
+texts move and each task encodes and writes one range. Ranges are cut by row samples of the id and of the
+beginning of the text, so neither a hot source nor a hot or null id is one task's work. ``start`` (ids of all documents before)
 is the start within the file, taken while writing, plus the totals of the files before: a sum
 over one row per file.
 
@@ -64,7 +64,8 @@ def write_tokens(
             )
 
     rows = documents.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # Rows of one id, null among them, are cut into ranges by how their texts begin.
+    ordered = rows.repartitionByRange(F.col("doc_id"), F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     options = {
         "compression": "zstd",
         "orc.stripe.size": str(stripe_bytes),
