@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -12,6 +13,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexigrain.session import remembered
+
 #: A word is a run of anything but ASCII white space (fixed by the query contracts).
 WORD_PATTERN = "[^\x20\x09-\x0d]+"
 #: The same class for Java regular expressions.
@@ -47,7 +50,8 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, which ``session.remove_stored`` deletes when asked to."""
+    return remembered(f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}")
 
 
 def store(frame: DataFrame, name: str) -> DataFrame:
@@ -75,6 +79,26 @@ def small_batches(batches: Batches, characters: int = 2_000_000, column: str = "
             yield batch.slice(at, step)
 
 
+def _give_back() -> None:
+    """Return memory that the allocators of this worker keep for later to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def trimmed(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """``run``, after which an idle worker holds no more than it needs; workers outlive their tasks."""
+
+    def wrapped(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return wrapped
+
+
 def map_text(frame: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
     """``function`` over Arrow batches of bounded text size."""
 
@@ -93,7 +117,7 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
 class WordHashes(dict):
     """word -> 64-bit hash (as a signed integer), remembered for recent words."""
 
-    LIMIT = 300_000
+    LIMIT = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

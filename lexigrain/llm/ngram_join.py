@@ -14,8 +14,8 @@ The join is exact for a threshold given in percent:
    bits. A member opens a group only if the union lacks no more of its tokens than the
    threshold lets differ; opened members pass the same bound one by one, then the exact test.
 
-Signatures are dealt to tasks by hash and read as a stream; a task remembers one leader for each
-signature, so a signature held by a third of all documents costs time in proportion but no
+Signatures are dealt to tasks by hash and read as a stream, in an order fixed by their content; a task remembers
+one leader for each signature, so a signature held by a third of all documents costs time in proportion but no
 memory. Verification is a join whose hot keys Spark can split; large families are cut into blocks
 and their block pairs dealt out, and tasks return only links that join groups up. Nothing is
 collected.
@@ -48,6 +48,7 @@ from lexigrain.llm.common import (
     small_batches,
     store,
     texts_of,
+    trimmed,
 )
 from lexigrain.llm.components import components
 
@@ -58,7 +59,7 @@ NODE_SEED, PART_SEED, BAND_SEED = np.uint64(0x51F1), np.uint64(0x7A3D), np.uint6
 #: Signatures a task gathers before it looks up their leaders.
 BLOCK = 400_000
 #: Bytes of text whose signatures are dealt out together.
-DEALT_TEXT = 8_000_000
+DEALT_TEXT = 1_000_000
 #: Members of a family compared in one task; bits of a row of the matrix; members of a group.
 MEMBERS, BITS, GROUP = 512, 4096, 16
 
@@ -182,7 +183,7 @@ def shingled(documents: DataFrame, size: int) -> DataFrame:
                 ["doc_id", "n_shingles", "node", "key"],
             )
 
-    return keyed(documents).mapInArrow(run, "doc_id long, n_shingles long, node long, key long")
+    return keyed(documents).mapInArrow(trimmed(run), "doc_id long, n_shingles long, node long, key long")
 
 
 def leader_pairs(documents: DataFrame, percent: int, size: int) -> DataFrame:
@@ -192,7 +193,8 @@ def leader_pairs(documents: DataFrame, percent: int, size: int) -> DataFrame:
     straight from the texts to the tasks that look leaders up.
     """
     spark = documents.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # What a task remembers of its signatures grows with its part of them.
+    parts = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = 4 * parts
 
     def deal(batches: Batches) -> Batches:
@@ -208,13 +210,16 @@ def leader_pairs(documents: DataFrame, percent: int, size: int) -> DataFrame:
             order = np.argsort(shard, kind="stable")
             present, starts = np.unique(shard[order], return_index=True)
             lengths = np.diff([*starts, len(order)])
+            with np.errstate(over="ignore"):
+                place = mix(owner.view(np.uint64)).sum(dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(present, pa.int32()),
+                    pa.array(np.full(len(present), place)),
                     list_array(flat[order].view(np.int64), lengths, pa.int64()),
                     list_array(owner[order], lengths, pa.int64()),
                 ],
-                ["shard", "signature", "node"],
+                ["shard", "place", "signature", "node"],
             )
 
     def lead(batches: Batches) -> Batches:
@@ -240,7 +245,7 @@ def leader_pairs(documents: DataFrame, percent: int, size: int) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
                 part = batch.slice(start, 64)
-                held.append((np.asarray(part.column(1).flatten()), np.asarray(part.column(2).flatten())))
+                held.append((np.asarray(part.column(2).flatten()), np.asarray(part.column(3).flatten())))
                 size += len(held[-1][0])
                 if size >= max(BLOCK, len(known)):
                     yield block(*map(np.concatenate, zip(*held)))
@@ -248,8 +253,10 @@ def leader_pairs(documents: DataFrame, percent: int, size: int) -> DataFrame:
         if held:
             yield block(*map(np.concatenate, zip(*held)))
 
-    dealt = documents.select("text").mapInArrow(deal, "shard int, signature array<long>, node array<long>").repartition(parts, "shard")
-    return dealt.mapInArrow(lead, "a long, b long").distinct()
+    # Batches come in an order of their own content, so a task that is run again finds the same leaders.
+    schema = "shard int, place long, signature array<long>, node array<long>"
+    dealt = documents.select("text").mapInArrow(trimmed(deal), schema).repartition(parts, "shard").sortWithinPartitions("shard", "place")
+    return dealt.mapInArrow(trimmed(lead), "a long, b long").distinct()
 
 
 def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -272,7 +279,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> Dat
                 good.append(100 * shared >= percent * (len(sets[x]) + len(sets[y]) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return with_texts(pairs, texts).select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return with_texts(pairs, texts).select("a", "b", "text_a", "text_b").mapInArrow(trimmed(run), "a long, b long")
 
 
 def node_texts(nodes: DataFrame, wanted: DataFrame, documents: DataFrame, size: int) -> DataFrame:
@@ -292,7 +299,7 @@ def node_texts(nodes: DataFrame, wanted: DataFrame, documents: DataFrame, size:
             found = [node_of(tokens) if len(tokens) else None for tokens in shingle_sets(texts_of(batch), size)]
             yield batch.filter(pa.array([x == y for x, y in zip(found, batch.column(0).to_pylist())], pa.bool_()))
 
-    kept = texts.mapInArrow(own, "node long, text string")
+    kept = texts.mapInArrow(trimmed(own), "node long, text string")
     return kept.groupBy("node").agg(F.min("text").alias("text")) if nodes_repeat(nodes) else kept
 
 

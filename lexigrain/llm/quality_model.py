@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexigrain.llm.common import Batches, id_remainder, small_batches, split_words, texts_of
+from lexigrain.llm.common import Batches, id_remainder, small_batches, split_words, texts_of, trimmed
 
 FEATURES = (
     "log_words", "word_length", "upper_share", "digit_share", "symbol_share", "mark_share", "exclamation_share",
@@ -236,7 +236,7 @@ def learn(documents: DataFrame, labels: DataFrame, label: str = "quality", sampl
 
     # At most ``sample`` ids: small enough to send to every task.
     joined = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
-    rows = joined.mapInArrow(run, "doc_id long, label double, f array<double>").groupBy("doc_id", "label").agg(F.min("f").alias("f"))
+    rows = joined.mapInArrow(trimmed(run), "doc_id long, label double, f array<double>").groupBy("doc_id", "label").agg(F.min("f").alias("f"))
     found = sorted((row.doc_id, row.label, list(row.f)) for row in rows.collect())
     features = np.array([row[2] for row in found]).reshape(len(found), len(FEATURES))
     return fit(features, np.array([row[1] for row in found]))
@@ -250,7 +250,7 @@ def score(documents: DataFrame, model: AdditiveModel) -> DataFrame:
             values = model.scores(feature_matrix(texts_of(batch)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values)], ["doc_id", "score"])
 
-    scored = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double")
+    scored = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(run), "doc_id long, score double")
     held_out = F.coalesce(id_remainder("doc_id", FOLDS) == HELD_OUT, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
@@ -263,4 +263,4 @@ def keep_good(documents: DataFrame, model: AdditiveModel, threshold: float = THR
             good = model.scores(feature_matrix(texts_of(batch))) >= threshold
             yield batch.filter(pa.array(good))
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(trimmed(run), documents.schema)
