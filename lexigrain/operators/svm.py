@@ -2,7 +2,7 @@
 
 Minimises ``|w|^2 / 2 + C * sum(s * max(0, 1 - y * w.x)^2)`` with the intercept as the weight of a constant
 feature. Every pass over the stored rows is one Spark job: tasks multiply their sparse rows with
-the current vectors and add up gradients or Hessian products; where tasks are many, their sums are added by
+the current vectors and add up gradients or Hessian products; beyond a few, the sums of tasks are added by
 block of features in a shuffle; a few numbers per feature of a bounded vocabulary come back. Several problems that
 leave out one fold each are solved in step, so a pass serves them all.
 
@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 #: Rows are multiplied in blocks of so many entries.
 BLOCK_ENTRIES = 1_000_000
-#: Sums that travel as one value, and how much of them may come back unadded.
+#: Sums that travel as one value, and how much of them may come back unadded in a pass.
 BLOCK_SUMS = 1024
-COLLECTED_BYTES = 64 << 20
+COLLECTED_BYTES = 4 << 20
 _SUMS = "problem int, block int, sums binary"
 
 
@@ -140,8 +140,9 @@ def _pass(
         yield _sum_rows(parts)
 
     partial = rows.mapInArrow(run, _SUMS)
-    # A few tasks' sums come straight back; those of many are added up by block on the way.
-    if tasks * len(asked) * (2 * size + 3) * 8 > COLLECTED_BYTES:
+    # Sums of a few tasks over few features come straight back, others are added up by block on the way: what
+    # comes back does not grow with the tasks.
+    if tasks > 1 and tasks * len(asked) * (2 * size + 3) * 8 > COLLECTED_BYTES:
         partial = partial.repartition("problem", "block").mapInArrow(lambda batches: iter([_sum_rows(_added(batches))]), _SUMS)
     found = _added(partial.toArrow().to_batches())
     out = {}

@@ -99,6 +99,21 @@ def test_blocks_give_the_same_sums(spark, monkeypatch):
     assert np.abs(svm.fit_leaving_out(frame, 40, [-1], balance, 1.0, 1e-7, 100)[-1] - whole).max() < 1e-6
 
 
+def test_what_a_pass_collects_does_not_grow_with_the_tasks(spark, monkeypatch):
+    size, collected = 40_000, []
+    frame = spark.createDataFrame(sparse_rows(2, 64), f"id long, target int, weights {ENTRY}, fold int").repartition(8)
+    collect = type(frame).toArrow
+
+    def counted(part):
+        found = collect(part)
+        collected.append(found.nbytes)
+        return found
+
+    monkeypatch.setattr(type(frame), "toArrow", counted)
+    svm._pass(frame.select("weights", "target", "fold"), 8, size, {-1: svm.Query(np.zeros(size + 1))}, {-1: (1.0, 1.0)})
+    assert len(collected) == 1 and collected[0] < 1.1 * (2 * size + 3) * 8
+
+
 def test_sigmoids_equal_numpy(spark):
     draw = np.random.default_rng(5)
     rows = [(k, int(t), float(draw.normal() + (2 * t - 1) * k)) for k in (0, 1, 2) for t in draw.integers(0, 2, 150)]
