@@ -389,7 +389,8 @@ def _with_rank(pairs: DataFrame, stored: DataFrame, value: str, other: str, rows
         cuts = literal_array(even_cuts(stored, x, bits))
         below = place_among(x, cuts, bits)
         own = F.coalesce(F.get(cuts, F.col("_below")) == x, F.lit(False))
-        filled = F.size(F.filter(F.slice(cuts, F.col("_below") + 1, 1 << bits), lambda cut: cut == x))
+        # By binary search like the place, so that a row's work does not grow with the number of cuts.
+        filled = place_among(x, cuts, bits, equal=True) - F.col("_below")
 
     def placed(frame: DataFrame) -> DataFrame:
         # Ranges are numbered in order; odd ones hold one value.

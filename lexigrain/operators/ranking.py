@@ -46,13 +46,17 @@ def _same(left: Sequence[str], right: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)], F.lit(True))
 
 
-def place_among(value: Column, cuts: Column, bits: int) -> Column:
-    """How many of the sorted ``cuts`` (fewer than 2^bits) are smaller than ``value``, by binary search."""
+def place_among(value: Column, cuts: Column, bits: int, equal: bool = False) -> Column:
+    """How many of the sorted ``cuts`` (fewer than 2^bits) are smaller than ``value``, or ``equal`` to it, by binary search."""
+
+    def passed(cut: Column) -> Column:
+        return cut <= value if equal else cut < value
+
     steps = F.array(*[F.lit(1 << bit) for bit in range(bits - 1, -1, -1)])
     return F.aggregate(
         steps,
         F.lit(0),
-        lambda at, step: at + F.when((at + step <= F.size(cuts)) & (F.get(cuts, at + step - 1) < value), step).otherwise(0),
+        lambda at, step: at + F.when((at + step <= F.size(cuts)) & passed(F.get(cuts, at + step - 1)), step).otherwise(0),
     )
 
 

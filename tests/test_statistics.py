@@ -122,6 +122,18 @@ def test_spearman_with_ties(spark):
     assert contrast.spearman(frame, "a", "b").first().correlation == pytest.approx(expected)
 
 
+def test_rank_places_are_found_by_binary_search(spark, monkeypatch):
+    """No row looks through all cuts, however many ranges there are."""
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", 7)
+    frame = spark.createDataFrame([(float(at % 3), float(at)) for at in range(200)], "a double, b double")
+    plan = contrast.spearman(frame, "a", "b")._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice(" not in plan and "filter(" not in plan
+    cuts = F.array(*[F.lit(float(v)) for v in (1, 2, 2, 2, 5)])
+    values = spark.createDataFrame([(0.0,), (1.0,), (2.0,), (3.0,), (5.0,)], "v double")
+    places = [ranking.place_among(F.col("v"), cuts, 3, equal).alias(f"p{equal:d}") for equal in (False, True)]
+    assert [tuple(r) for r in values.select(*places).collect()] == [(0, 0), (0, 1), (1, 4), (4, 4), (4, 5)]
+
+
 def test_exact_tail_counts_arrangements():
     for m, n in ((1, 1), (2, 3), (3, 5), (4, 4), (5, 2)):
         ranks = range(m + n)
