@@ -51,28 +51,24 @@ def _has_emoji(text: Column, lexicon: Lexicon) -> Column:
     return text.rlike(pattern) if pattern else F.lit(False)
 
 
-def describe_emojis(words: Column, lexicon: Lexicon) -> Column:
-    """Words with each emoji written as its description, set off from what stands before.
+def describe_emojis(text: Column, lexicon: Lexicon) -> Column:
+    """Text with each emoji written as its description, set off from what stands before.
 
     Descriptions consist of plain words, so they never change the punctuation of a text.
     """
-    describe = lexicon.emoji_descriptions()
+    pattern, describe = lexicon.emoji_pattern(), lexicon.emoji_descriptions()
+    if not pattern:
+        return text
 
-    def spelled(chars: Column) -> Column:
-        def one(char: Column, at: Column) -> Column:
-            gap = F.when(at > 0, F.lit(" ")).otherwise(F.lit(""))
-            return F.coalesce(F.concat(gap, describe(char)), char)
+    def spelled(found: Column) -> Column:
+        def one(gap: Column, at: Column) -> Column:
+            sign = F.get(found, at)  # null after the last gap
+            return F.concat(gap, F.coalesce(F.concat(F.lit(" "), describe(sign)), sign, F.lit("")))
 
-        return split_words(F.array_join(F.transform(chars, one), ""))
+        return F.array_join(F.transform(F.split(text, pattern, -1), one), "")
 
-    return F.flatten(
-        F.transform(
-            words,
-            lambda word: F.when(
-                _has_emoji(word, lexicon), bind(F.split(word, ""), spelled)
-            ).otherwise(F.array(word)),
-        )
-    )
+    written = bind(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spelled)
+    return F.when(_has_emoji(text, lexicon), written).otherwise(text)
 
 
 def _is_upper(token: Column, lower: Column) -> Column:
@@ -93,11 +89,11 @@ class _Context:
 
     def __init__(self, arrays: Column, mixed_caps: Column, lexicon: Lexicon):
         self.tokens, self.lower, self.valence = arrays["tokens"], arrays["lower"], arrays["valence"]
-        self.signal = arrays["signal"]
         self.mixed_caps, self.lexicon = mixed_caps, lexicon
         self.last = F.size(self.tokens) - 1
         self._booster = lexicon.booster_table()
         self._idiom = lexicon.idiom_table()
+        self._signal = lexicon.signal_table()
 
     def word(self, at: Column) -> Column:
         # ``get`` gives null outside the array, and a comparison with null is never true.
@@ -130,8 +126,10 @@ class _Context:
 
     def _touched(self, at: Column) -> Column:
         """Whether any word that the rules look at could change the value of the word at ``at``."""
-        near = [F.coalesce(F.get(self.signal, at + k), F.lit(False)) for k in range(-3, 3)]
-        return reduce(lambda a, b: a | b, near)
+        def signals(word: Column) -> Column:
+            return F.coalesce(self._signal(word), F.contains(word, F.lit("n't")), F.lit(False))
+
+        return reduce(lambda a, b: a | b, [bind(self.word(at + k), signals) for k in range(-3, 3)])
 
     def boosted(self, at: Column, distance: int, value: Column) -> Column:
         token = F.get(self.tokens, at - distance)
@@ -213,12 +211,8 @@ class _Context:
 
 
 def _arrays(words: Column, lexicon: Lexicon) -> Column:
-    """Struct of the tokens of a text, their lower case, their valences, and which of them are signals."""
-    valence_of, signal_of = lexicon.valence_table(), lexicon.signal_table()
-
-    def is_signal(word: Column) -> Column:
-        return F.coalesce(signal_of(word), F.contains(word, F.lit("n't")))
-
+    """Struct of the tokens of a text, their lower case and their valences."""
+    valence_of = lexicon.valence_table()
     return bind(
         strip_edges(words),
         lambda tokens: bind(
@@ -227,7 +221,6 @@ def _arrays(words: Column, lexicon: Lexicon) -> Column:
                 tokens.alias("tokens"),
                 lower.alias("lower"),
                 F.transform(lower, lambda word: valence_of(word)).alias("valence"),
-                F.transform(lower, is_signal).alias("signal"),
             ),
         ),
     )
@@ -361,19 +354,16 @@ def sentiment_word_counts(text: Column, lexicon: Lexicon) -> Column:
 def sentiment_of(text: Column, lexicon: Lexicon, counted: bool = True) -> Column:
     """Scores and word counts together; texts without emojis are tokenised only once."""
 
-    def both(plain: Column, words: Column, own: Column) -> Column:
-        described = F.when(
-            _has_emoji(plain, lexicon), _arrays(describe_emojis(words, lexicon), lexicon)
-        ).otherwise(own)
-        scores = bind(described, lambda arrays: _polarity(plain, arrays, lexicon)).alias("scores")
-        if not counted:
-            return F.struct(scores)
-        return F.struct(scores, _word_counts(own, lexicon).alias("counts"))
+    def arrays_of(plain: Column) -> Column:
+        return _arrays(split_words(plain), lexicon)
 
-    return bind(
-        text,
-        lambda plain: bind(
-            split_words(plain),
-            lambda words: bind(_arrays(words, lexicon), lambda own: both(plain, words, own)),
-        ),
-    )
+    def scored(plain: Column, arrays: Column) -> Column:
+        return bind(arrays, lambda found: _polarity(plain, found, lexicon)).alias("scores")
+
+    def both(plain: Column, own: Column) -> Column:
+        described = F.when(_has_emoji(plain, lexicon), arrays_of(describe_emojis(plain, lexicon))).otherwise(own)
+        return F.struct(scored(plain, described), _word_counts(own, lexicon).alias("counts"))
+
+    if not counted:
+        return bind(text, lambda plain: F.struct(scored(plain, arrays_of(describe_emojis(plain, lexicon)))))
+    return bind(text, lambda plain: bind(arrays_of(plain), lambda own: both(plain, own)))
