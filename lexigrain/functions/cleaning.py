@@ -45,13 +45,21 @@ def _contraction_pattern(short: str) -> str:
 def expand_contractions(text: Column) -> Column:
     """Write out English contractions, with the straight and the curly apostrophe."""
 
-    def expanded(raw: Column) -> Column:
-        out = raw
+    may_be_short = _contains("'", "’")
+
+    def expanded(word: Column) -> Column:
+        out = word
         for short, long in CONTRACTIONS:
             out = F.regexp_replace(out, _contraction_pattern(short), long)
         return out
 
-    return _where(_contains("'", "’"), text, expanded)
+    def by_word(raw: Column) -> Column:
+        # No contraction holds a space or looks beyond one, so only words with an apostrophe meet the patterns.
+        return F.array_join(
+            F.transform(F.split(raw, " "), lambda word: F.when(may_be_short(word), expanded(word)).otherwise(word)), " "
+        )
+
+    return _where(may_be_short, text, by_word)
 
 
 def _where(condition: Callable[[Column], Column], text: Column, change: Callable[[Column], Column]) -> Column:

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from lexigrain.fixed_values import DEMO_TEXTS_FINAL, STOP_WORDS
 from lexigrain.functions import labelling, markers
-from lexigrain.functions.cleaning import clean_for_classification, clean_for_sentiment
+from lexigrain.functions.cleaning import clean_for_classification, clean_for_sentiment, expand_contractions
 from lexigrain.functions.entities import unescape_html
+from lexigrain.functions.expressions import count_words
 from lexigrain.functions.polarity import polarity_scores, sentiment_word_counts
 from lexigrain.sources.lexicon import Lexicon, read_lexicon
 
@@ -106,6 +107,25 @@ def test_word_counts_partition_the_tokens(spark):
     assert [tuple(c)[:2] for c in counts] == [(2, 2), (0, 4), (4, 0), (0, 0)]
 
 
+def test_words_are_looked_up_once_and_emojis_spelled_in_the_whole_text(spark):
+    """Sentiment without counts tokenises a text once; emojis inside, before and after words, unknown signs between."""
+    plan = spark.range(1).select(polarity_scores(F.col("id").cast("string"), Lexicon()).alias("s"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("zip_with") < 4 and "flatten" not in plan
+    lexicon = Lexicon(valences={"joy": 2.0, "good": 1.5, "face": 0.5}, emojis={"😂": "joy", "😊": "good face", "❤": "joy"})
+    texts = ["ok😂", "ok joy", "a😂😊b 😢", "a joy good faceb 😢", "😂", "joy", "x❤️", "x joy️", "no 😊so", "no good faceso"]
+    scores = [tuple(s) for s in column(spark, texts, polarity_scores(raw(), lexicon))]
+    assert scores[::2] == scores[1::2] and scores[0][0] > 0
+
+
+def test_contractions_by_word(spark):
+    texts = ["I won't\tcan’t  DON'T 'we'd' it'll've x'dy n't", " 'm ", "a  b'"]
+    expected = ["I will not\tcan not  DO not 'we would' it will have x'dy  not", "  am ", "a  b'"]
+    assert column(spark, texts, expand_contractions(raw())) == expected
+    plan = spark.range(1).select(expand_contractions(F.col("id").cast("string")).alias("s"))._jdf.queryExecution().analyzed().toString()
+    assert "split(" in plan
+    assert column(spark, ["a\u2003b  c\n", "", None, " x "], count_words(F.col("text"))) [:2] == [3, 0]
+
+
 def test_lexicon_files(spark, tmp_path):
     (tmp_path / "words.txt").write_text("good\t1.9\t0.9\t[1]\n:(\t-1.9\t1\t[2]\n\"q\t0.5\t1\t[1]\n", encoding="utf-8")
     (tmp_path / "emojis.txt").write_text("😢\tcrying face\n", encoding="utf-8")
