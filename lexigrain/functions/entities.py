@@ -74,19 +74,15 @@ def unescape_html(text: Column) -> Column:
     """Replace numeric and named references; everything else is kept as it is."""
 
     def rebuilt(raw: Column) -> Column:
-        found = F.regexp_extract_all(raw, F.lit(REFERENCE), F.lit(0))
-        gaps = F.split(raw, REFERENCE, -1)
-        joined = bind(
-            found,
-            lambda refs: F.array_join(
-                F.transform(
-                    gaps,
-                    lambda gap, at: F.concat(
-                        gap, F.coalesce(bind(F.get(refs, at), _resolve), F.lit(""))
-                    ),
-                ),
-                "",
+        # One gap more than references: the last gap meets null. No lambda looks at a variable of an outer one two
+        # levels up, because Spark leaves a Python function over such an expression where it cannot run.
+        joined = F.array_join(
+            F.zip_with(
+                F.split(raw, REFERENCE, -1),
+                F.regexp_extract_all(raw, F.lit(REFERENCE), F.lit(0)),
+                lambda gap, reference: F.concat(gap, F.coalesce(bind(reference, _resolve), F.lit(""))),
             ),
+            "",
         )
         candidate = F.contains(raw, F.lit("&")) & raw.rlike("&[#A-Za-z]")
         return F.when(candidate, joined).otherwise(raw)

@@ -1,8 +1,8 @@
-"""Lexicon sentiment as one narrow projection.
+"""Lexicon sentiment, narrow: a row never leaves its partition.
 
 The published rules look at a scored word and at most three words before and two
-after it, so the whole score of a text is a function of its token array. Word
-valences come from a hashed literal; a row never leaves its partition.
+after it, so the score of a text is a function of these words, which ``lookup`` finds,
+and of a few numbers. The rules are one projection over them.
 """
 
 from __future__ import annotations
@@ -27,58 +27,21 @@ from lexigrain.fixed_values import (
     QUESTION_LIMIT,
     QUESTION_WEIGHT,
 )
-from lexigrain.functions.expressions import array_sum, bind, split_words
+from lexigrain.functions.expressions import array_sum, bind
+from lexigrain.functions.lookup import found_words
 from lexigrain.sources.lexicon import Lexicon
 
 SCORES = ("compound", "negative", "neutral", "positive")
 COUNTS = ("pos_word_count", "neg_word_count", "neu_word_count", "token_count")
 
 
-def strip_edges(words: Column) -> Column:
-    """Drop edge punctuation of each word unless at most two characters would stay."""
-    cores = F.transform(words, lambda word: F.btrim(word, F.lit(PUNCTUATION)))
-    return F.zip_with(
-        words, cores, lambda word, core: F.when(F.length(core) <= 2, word).otherwise(core)
-    )
-
-
-def sentiment_tokens(text: Column) -> Column:
-    return bind(split_words(text), strip_edges)
-
-
-def _has_emoji(text: Column, lexicon: Lexicon) -> Column:
-    pattern = lexicon.emoji_pattern()
-    return text.rlike(pattern) if pattern else F.lit(False)
-
-
-def describe_emojis(text: Column, lexicon: Lexicon) -> Column:
-    """Text with each emoji written as its description, set off from what stands before.
-
-    Descriptions consist of plain words, so they never change the punctuation of a text.
-    """
-    pattern, describe = lexicon.emoji_pattern(), lexicon.emoji_descriptions()
-    if not pattern:
-        return text
-
-    def spelled(found: Column) -> Column:
-        def one(gap: Column, at: Column) -> Column:
-            sign = F.get(found, at)  # null after the last gap
-            return F.concat(gap, F.coalesce(F.concat(F.lit(" "), describe(sign)), sign, F.lit("")))
-
-        return F.array_join(F.transform(F.split(text, pattern, -1), one), "")
-
-    written = bind(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spelled)
-    return F.when(_has_emoji(text, lexicon), written).otherwise(text)
-
-
 def _is_upper(token: Column, lower: Column) -> Column:
     # Most tokens equal their lower-case form, which settles the test at once.
     return (token != lower) & (F.upper(token) == token)
 
 
-def _punctuation_emphasis(text: Column) -> Column:
-    exclamations = F.least(F.regexp_count(text, F.lit("!")), F.lit(EXCLAMATION_LIMIT))
-    questions = F.regexp_count(text, F.lit(r"\?"))
+def _punctuation_emphasis(marks: Column, questions: Column) -> Column:
+    exclamations = F.least(marks, F.lit(EXCLAMATION_LIMIT))
     return exclamations * EXCLAMATION_WEIGHT + F.when(questions <= 1, F.lit(0.0)).when(
         questions <= QUESTION_LIMIT, questions * QUESTION_WEIGHT
     ).otherwise(F.lit(QUESTION_CEILING))
@@ -87,13 +50,13 @@ def _punctuation_emphasis(text: Column) -> Column:
 class _Context:
     """Token arrays of one row and the rules that look around a scored word."""
 
-    def __init__(self, arrays: Column, mixed_caps: Column, lexicon: Lexicon):
-        self.tokens, self.lower, self.valence = arrays["tokens"], arrays["lower"], arrays["valence"]
-        self.mixed_caps, self.lexicon = mixed_caps, lexicon
+    def __init__(self, found: Column, lexicon: Lexicon):
+        self.tokens, self.lower, self.valence = found["tokens"], found["lower"], found["valence"]
+        self.touched, self.phrased, self.mixed_caps = found["touched"], found["phrased"], found["mixed_caps"]
+        self.lexicon = lexicon
         self.last = F.size(self.tokens) - 1
         self._booster = lexicon.booster_table()
         self._idiom = lexicon.idiom_table()
-        self._signal = lexicon.signal_table()
 
     def word(self, at: Column) -> Column:
         # ``get`` gives null outside the array, and a comparison with null is never true.
@@ -124,13 +87,6 @@ class _Context:
             value, lambda v: F.when(shouted, self._shifted(v, F.lit(CAPS_BOOST))).otherwise(v)
         )
 
-    def _touched(self, at: Column) -> Column:
-        """Whether any word that the rules look at could change the value of the word at ``at``."""
-        def signals(word: Column) -> Column:
-            return F.coalesce(self._signal(word), F.contains(word, F.lit("n't")), F.lit(False))
-
-        return reduce(lambda a, b: a | b, [bind(self.word(at + k), signals) for k in range(-3, 3)])
-
     def boosted(self, at: Column, distance: int, value: Column) -> Column:
         token = F.get(self.tokens, at - distance)
 
@@ -188,7 +144,7 @@ class _Context:
         Most words have no neighbour that any rule names; those are done with at once.
         """
         alone = self._loud(at, F.get(self.valence, at))
-        return F.when(self._touched(at), self._ruled(at)).otherwise(alone)
+        return F.when(F.get(self.touched, at), self._ruled(at)).otherwise(alone)
 
     def _ruled(self, at: Column) -> Column:
         value = self.starting_value(at)
@@ -206,33 +162,17 @@ class _Context:
             self.boosted(at, distance, value), lambda v: self.negated(at, distance, v)
         )
         if distance == 3:
-            changed = bind(changed, lambda v: self.idiomatic(at, v))
+            phrased = F.get(self.phrased, at)
+            changed = bind(changed, lambda v: F.when(phrased, self.idiomatic(at, v)).otherwise(v))
         return F.when(plain_word, changed).otherwise(value)
 
 
-def _arrays(words: Column, lexicon: Lexicon) -> Column:
-    """Struct of the tokens of a text, their lower case and their valences."""
-    valence_of = lexicon.valence_table()
-    return bind(
-        strip_edges(words),
-        lambda tokens: bind(
-            F.transform(tokens, lambda token: F.lower(token)),
-            lambda lower: F.struct(
-                tokens.alias("tokens"),
-                lower.alias("lower"),
-                F.transform(lower, lambda word: valence_of(word)).alias("valence"),
-            ),
-        ),
-    )
-
-
-def _hit_scores(arrays: Column, lexicon: Lexicon) -> Column:
+def _hit_scores(found: Column, lexicon: Lexicon) -> Column:
     """Scores of the lexicon words of a text, in order; other words score zero."""
-    tokens, lower, valence = arrays["tokens"], arrays["lower"], arrays["valence"]
-    capitals = F.size(F.filter(F.zip_with(tokens, lower, _is_upper), lambda upper: upper))
+    lower, valence = found["lower"], found["valence"]
 
-    def scored(mixed_caps: Column, but: Column) -> Column:
-        context = _Context(arrays, mixed_caps, lexicon)
+    def scored(but: Column) -> Column:
+        context = _Context(found, lexicon)
         hits = F.filter(
             F.transform(valence, lambda value, at: F.when(value.isNotNull(), at)),
             lambda at: at.isNotNull(),
@@ -248,13 +188,7 @@ def _hit_scores(arrays: Column, lexicon: Lexicon) -> Column:
 
         return F.transform(hits, weighed)
 
-    return bind(
-        capitals,
-        lambda count: bind(
-            (count > 0) & (count < F.size(tokens)),
-            lambda mixed: bind(F.array_position(lower, "but"), lambda but: scored(mixed, but)),
-        ),
-    )
+    return bind(F.array_position(lower, "but"), scored)
 
 
 def _combined(scores: Column, token_total: Column, emphasis: Column) -> Column:
@@ -294,16 +228,15 @@ def _combined(scores: Column, token_total: Column, emphasis: Column) -> Column:
     )
 
 
-def _polarity(text: Column, arrays: Column, lexicon: Lexicon) -> Column:
-    return bind(
-        _hit_scores(arrays, lexicon),
-        lambda scores: _combined(scores, F.size(arrays["tokens"]), _punctuation_emphasis(text)),
-    )
+def _polarity(found: Column, lexicon: Lexicon) -> Column:
+    """Scores of a text from the words its rules can reach and its numbers."""
+    emphasis = _punctuation_emphasis(found["exclamations"], found["questions"])
+    return bind(_hit_scores(found, lexicon), lambda scores: _combined(scores, found["token_total"], emphasis))
 
 
 def polarity_scores(text: Column, lexicon: Lexicon) -> Column:
     """Struct of ``compound``, ``negative``, ``neutral`` and ``positive``."""
-    return bind(text, lambda plain: sentiment_of(plain, lexicon, counted=False)["scores"])
+    return bind(found_words(text, lexicon), lambda found: _polarity(found, lexicon))
 
 
 def _lexical_valence(token: Column, lower: Column, valence: Column, lexicon: Lexicon) -> Column:
@@ -311,7 +244,7 @@ def _lexical_valence(token: Column, lower: Column, valence: Column, lexicon: Lex
     core = F.btrim(lower, F.lit(PUNCTUATION))
     spare = F.when(core != lower, lexicon.valence_table()(core))
     return F.coalesce(
-        F.when(token >= lexicon.first_emoji(), lexicon.emoji_valences()(token)),
+        F.when(token >= lexicon.first_emoji(), lexicon.emoji_table()(token)),
         valence,
         spare,
         F.lit(0.0),
@@ -324,46 +257,25 @@ def token_valence(token: Column, lexicon: Lexicon) -> Column:
     return _lexical_valence(token, lower, lexicon.valence_table()(lower), lexicon)
 
 
-def _word_counts(arrays: Column, lexicon: Lexicon) -> Column:
-    tokens, lower, valence = arrays["tokens"], arrays["lower"], arrays["valence"]
-
-    def counted(valences: Column) -> Column:
-        up = F.size(F.filter(valences, lambda v: v > 0))
-        down = F.size(F.filter(valences, lambda v: v < 0))
-        return F.struct(
-            up.alias("pos_word_count"),
-            down.alias("neg_word_count"),
-            (F.size(valences) - up - down).alias("neu_word_count"),
-            F.size(valences).alias("token_count"),
-        )
-
-    return bind(
-        F.transform(
-            tokens,
-            lambda token, at: _lexical_valence(token, F.get(lower, at), F.get(valence, at), lexicon),
-        ),
-        counted,
+def _word_counts(found: Column) -> Column:
+    # Counted are the tokens of the text as it is, emojis not spelled out.
+    up, down, total = found["up"], found["down"], found["own_total"]
+    return F.struct(
+        up.alias("pos_word_count"),
+        down.alias("neg_word_count"),
+        (total - up - down).alias("neu_word_count"),
+        total.alias("token_count"),
     )
 
 
 def sentiment_word_counts(text: Column, lexicon: Lexicon) -> Column:
     """Struct of positive, negative, neutral and all tokens; the first three add up."""
-    return bind(_arrays(split_words(text), lexicon), lambda arrays: _word_counts(arrays, lexicon))
-
-
-def sentiment_of(text: Column, lexicon: Lexicon, counted: bool = True) -> Column:
-    """Scores and word counts together; texts without emojis are tokenised only once."""
+    return bind(found_words(text, lexicon), _word_counts)
 
-    def arrays_of(plain: Column) -> Column:
-        return _arrays(split_words(plain), lexicon)
 
-    def scored(plain: Column, arrays: Column) -> Column:
-        return bind(arrays, lambda found: _polarity(plain, found, lexicon)).alias("scores")
-
-    def both(plain: Column, own: Column) -> Column:
-        described = F.when(_has_emoji(plain, lexicon), arrays_of(describe_emojis(plain, lexicon))).otherwise(own)
-        return F.struct(scored(plain, described), _word_counts(own, lexicon).alias("counts"))
-
-    if not counted:
-        return bind(text, lambda plain: F.struct(scored(plain, arrays_of(describe_emojis(plain, lexicon)))))
-    return bind(text, lambda plain: bind(arrays_of(plain), lambda own: both(plain, own)))
+def sentiment_of(text: Column, lexicon: Lexicon) -> Column:
+    """Scores and word counts together; a text is tokenised only once."""
+    return bind(
+        found_words(text, lexicon),
+        lambda found: F.struct(_polarity(found, lexicon).alias("scores"), _word_counts(found).alias("counts")),
+    )

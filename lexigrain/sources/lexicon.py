@@ -6,6 +6,7 @@ The full public lexicon is an input (tab-separated ``token, valence, …``; emoj
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import cache
@@ -104,28 +105,25 @@ class Lexicon:
     def idiom_table(self) -> LookupTable:
         return LookupTable(dict(self.idioms), "double")
 
-    @cache
-    def signal_table(self) -> LookupTable:
-        """Words next to which a scored word can change its value; all others leave it as it is.
-
-        Of a phrase the longest word stands for the whole.
-        """
+    def phrase_words(self) -> frozenset[str]:
+        """The longest word of each phrase, which stands for the whole."""
         phrases = [phrase for phrase in (*self.boosters, *self.idioms) if " " in phrase]
-        keys = {max(phrase.split(), key=len) for phrase in phrases}
-        return LookupTable(dict.fromkeys({*self.boosters, *self.idioms, *self.negators, *SIGNAL_WORDS, *keys}, True), "boolean")
+        return frozenset(max(phrase.split(), key=len) for phrase in phrases)
 
-    @cache
-    def emoji_descriptions(self) -> LookupTable:
-        return LookupTable(dict(self.emojis), "string")
+    def signal_words(self) -> frozenset[str]:
+        """Words next to which a scored word can change its value; all others leave it as it is."""
+        return frozenset({*self.boosters, *self.idioms, *self.negators, *SIGNAL_WORDS, *self.phrase_words()})
 
-    @cache
-    def emoji_valences(self) -> LookupTable:
+    def emoji_valences(self) -> dict[str, float]:
         """Strongest valence among the words of each description."""
-        strongest = {
+        return {
             emoji: max((self.valences.get(w, 0.0) for w in words.split()), key=abs, default=0.0)
             for emoji, words in self.emojis.items()
         }
-        return LookupTable(strongest, "double")
+
+    @cache
+    def emoji_table(self) -> LookupTable:
+        return LookupTable(self.emoji_valences(), "double")
 
     def first_emoji(self) -> str:
         """Smallest emoji; a token that sorts before it cannot be one."""
@@ -136,11 +134,8 @@ class Lexicon:
         points = sorted({ord(emoji) for emoji in self.emojis if len(emoji) == 1})
         if not points:
             return None
-        low = [p for p in points if p < 0x2000]
-        high = [p for p in points if p >= 0x2000]
-        parts = [f"\\x{{{p:x}}}" for p in low]
-        if high:
-            parts.append(f"\\x{{{high[0]:x}}}-\\x{{{high[-1]:x}}}")
+        low, high = [p for p in points if p < 0x2000], [p for p in points if p >= 0x2000]
+        parts = [re.escape(chr(p)) for p in low] + ([f"{chr(high[0])}-{chr(high[-1])}"] if high else [])
         return f"[{''.join(parts)}]"
 
 

@@ -10,6 +10,7 @@ from lexigrain.functions import labelling, markers
 from lexigrain.functions.cleaning import clean_for_classification, clean_for_sentiment, expand_contractions
 from lexigrain.functions.entities import unescape_html
 from lexigrain.functions.expressions import count_words
+from lexigrain.functions.lookup import found_words
 from lexigrain.functions.polarity import polarity_scores, sentiment_word_counts
 from lexigrain.sources.lexicon import Lexicon, read_lexicon
 
@@ -117,6 +118,21 @@ def test_words_are_looked_up_once_and_emojis_spelled_in_the_whole_text(spark):
     assert scores[::2] == scores[1::2] and scores[0][0] > 0
 
 
+def test_only_words_in_reach_of_a_scored_one_are_scored_in_spark(spark):
+    """A long text costs the rules as little as its scored words; scores are those of the text cut to them."""
+    far = "xx yy zz " * 50
+    texts = [f"{far}so not very good ok{far}", "", None, "but a 😂😂 but", f"GOOD {far} kiss of death"]
+    found = column(spark, texts, found_words(raw(), Lexicon()))
+    assert [f and f.lower for f in found] == [
+        ["so", "not", "very", "good", "okxx", "yy"], [], None,
+        ["but", "tears", "joy", "tears", "joy"], ["good", "xx", "yy", "zz", "kiss", "of", "death"],
+    ]
+    assert found[0].token_total == 304 and found[4].mixed_caps and found[3].own_total == 4
+    long, short = column(spark, [texts[0], "so not very good okxx yy"], polarity_scores(raw(), Lexicon()))
+    assert long.compound == short.compound != 0
+    assert column(spark, [None], sentiment_word_counts(raw(), Lexicon()))[0].token_count is None
+
+
 def test_contractions_by_word(spark):
     texts = ["I won't\tcan’t  DON'T 'we'd' it'll've x'dy n't", " 'm ", "a  b'"]
     expected = ["I will not\tcan not  DO not 'we would' it will have x'dy  not", "  am ", "a  b'"]
