@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import gc
 import json
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexigrain.llm.common import Batches, flat_list, list_array, small_batches, split_words, texts_of
+from lexigrain.llm.common import Batches, flat_list, list_array, small_batches, split_words, texts_of, trimmed
 from lexigrain.llm.pieces import (
     TOKENIZER_FILE,
     cut_chunk,
@@ -47,7 +47,7 @@ LONG_WORD = 64
 #: Bytes of text whose new words share a trie.
 TRIE_TEXT = 5_000_000
 #: What a worker remembers at most (words: in each of two generations); results do not depend on it.
-CHUNKS_KEPT, PIECES_KEPT, PAIRS_KEPT = 200_000, 250_000, 400_000
+CHUNKS_KEPT, PIECES_KEPT, PAIRS_KEPT = 100_000, 125_000, 400_000
 
 
 class PrefixTrie:
@@ -184,6 +184,9 @@ class Recent:
     def add(self, values: dict[str, bytes]) -> None:
         self.young.update(values)
 
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
+
 
 class TrieEncoder:
     """Ids of whole texts; new distinct pieces of a batch go through the trie together."""
@@ -221,6 +224,11 @@ class TrieEncoder:
             found[chunk] = b"".join(part for pair in zip(plain, [*marks, b""]) for part in pair)
         self.chunks.add(found)
 
+    def forget(self) -> None:
+        """Drop all words: workers outlive their tasks, and those of other stages need the memory."""
+        self.pieces.clear()
+        self.chunks.clear()
+
     def encode_texts(self, texts: list[str]) -> list[bytes]:
         wanted = {chunk for text in texts for chunk in split_words(text)}
         new = self.chunks.missing(wanted)
@@ -252,6 +260,19 @@ def with_column(frame: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*frame.schema.fields, T.StructField(name, kind)])
 
 
+def _encoding(run: Callable[[TrieEncoder, Batches], Batches], path: str) -> Callable[[Batches], Batches]:
+    """``run`` with the encoder of this worker, which keeps its tables but no words once the task is done."""
+
+    def wrapped(batches: Batches) -> Batches:
+        encoder = trie_encoder(path)
+        try:
+            yield from run(encoder, batches)
+        finally:
+            encoder.forget()
+
+    return trimmed(wrapped)
+
+
 def _ids(encoder: TrieEncoder, texts: list[str]) -> pa.Array:
     encoded = encoder.encode_texts(texts)
     flat = np.frombuffer(b"".join(encoded), dtype="<i4")
@@ -276,13 +297,12 @@ def encode(documents: DataFrame, text: str = "text", ids: str = "ids", tokenizer
     """``documents`` with the token ids of each whole text in a column ``ids``."""
     path = tokenizer_path(tokenizer)
 
-    def run(batches: Batches) -> Batches:
-        encoder = trie_encoder(path)
+    def run(encoder: TrieEncoder, batches: Batches) -> Batches:
         for batch in small_batches(batches, TRIE_TEXT, text):
             lists = _ids(encoder, texts_of(batch, text))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, ids])
 
-    return documents.mapInArrow(run, with_column(documents, ids, T.ArrayType(T.IntegerType())))
+    return documents.mapInArrow(_encoding(run, path), with_column(documents, ids, T.ArrayType(T.IntegerType())))
 
 
 def decode(encoded: DataFrame, ids: str = "ids", text: str = "decoded", tokenizer: str = TOKENIZER_FILE) -> DataFrame:
@@ -309,8 +329,8 @@ def round_trip(documents: DataFrame, text: str = "text", tokenizer: str = TOKENI
     new = [with_column(others, "ids", T.ArrayType(T.IntegerType())), with_column(others, "decoded", T.StringType())]
     schema = T.StructType([*others.schema.fields, *(each.fields[-1] for each in new)])
 
-    def run(batches: Batches) -> Batches:
-        encoder, table = trie_encoder(path), token_table(path)
+    def run(encoder: TrieEncoder, batches: Batches) -> Batches:
+        table = token_table(path)
         for batch in small_batches(batches, TRIE_TEXT, text):
             lists = _ids(encoder, texts_of(batch, text))
             kept = [name for name in batch.schema.names if name != text]
@@ -319,7 +339,7 @@ def round_trip(documents: DataFrame, text: str = "text", tokenizer: str = TOKENI
                 [*kept, "ids", "decoded"],
             )
 
-    return documents.mapInArrow(run, schema)
+    return documents.mapInArrow(_encoding(run, path), schema)
 
 
 def encode_decode_digests(documents: DataFrame, tokenizer: str = TOKENIZER_FILE) -> DataFrame:

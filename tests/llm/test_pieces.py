@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,3 +129,20 @@ def test_edits_of_documents(spark):
             assert row.tokens_before == row.tokens_after and row.encoded_chars == 0
     assert next(row.text for row in found if row.doc_id == 0) == "from null"
     assert token_counts.revised_counts(rows.limit(0)).count() == 0
+
+
+def test_a_worker_keeps_no_words_after_a_task():
+    """Words remembered by tasks of one stage took the memory of the stages after it."""
+    path = tokenizer_path(prefix_bpe.TOKENIZER_FILE)
+    batch = pa.RecordBatch.from_pydict({"text": ["words of a task", "and more of them"]})
+    held = []
+
+    def run(encoder, batches):
+        for each in batches:
+            yield prefix_bpe._ids(encoder, each.column(0).to_pylist())
+            held.append(len(encoder.chunks.young))
+
+    first, again = (list(prefix_bpe._encoding(run, path)(iter([batch]))) for _ in range(2))
+    encoder = prefix_bpe.trie_encoder(path)
+    assert held[0] > 0 and not (encoder.chunks.young or encoder.chunks.old or encoder.pieces.young or encoder.pieces.old)
+    assert first[0].equals(again[0])
