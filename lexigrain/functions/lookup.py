@@ -179,7 +179,7 @@ def _per_text(marked: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate([[0], np.cumsum(marked, dtype=np.int64)])[bounds])
 
 
-def _name_package() -> None:
+def name_package() -> None:
     """Python workers import this package; where it is not installed they find it beside the driver's."""
     context = SparkContext._active_spark_context
     if context is not None:
@@ -194,7 +194,7 @@ def found_words(text: Column, lexicon: Lexicon) -> Column:
     left out is out of reach of all rules, so they give for these words what they give for the whole text.
     Null stays null.
     """
-    _name_package()
+    name_package()
     readers: list[TextReader] = []
 
     def found(column: pa.Array) -> pa.Array:

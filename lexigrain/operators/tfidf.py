@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import cached_property
 
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
@@ -12,25 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexigrain.fixed_values import MAX_DOCUMENT_SHARE, MAX_TERMS, MIN_DOCUMENTS
-from lexigrain.functions.expressions import (
-    LookupTable,
-    array_sum,
-    bind,
-    literal_array,
-    ngram_range,
-    reuse,
-    run_lengths,
-    text_or_empty,
-    word_tokens,
-)
+from lexigrain.functions.expressions import literal_array, reuse
+from lexigrain.functions.terms import WEIGHTS_TYPE, term_counts, term_weights
 from lexigrain.session import stored
 
 NGRAM_SIZES = (1, 2)
-WEIGHTS_TYPE = "array<struct<i:int,w:double>>"
-
-
-def _term_runs(text: Column, sizes: Sequence[int]) -> Column:
-    return run_lengths(ngram_range(word_tokens(F.lower(text_or_empty(text))), sizes))
 
 
 def vocabulary(
@@ -42,12 +27,11 @@ def vocabulary(
     text: str = "clean_text",
 ) -> DataFrame:
     """``term, corpus_count, documents, idf`` of the commonest terms; at most ``max_terms`` rows."""
-    # Every document also sends one entry under a null term, so n comes out of the same pass.
-    itself = F.array(F.struct(F.lit(None).cast("string").alias("term"), F.lit(1).alias("tf")))
+    # Documents are also counted, under a null term, so n comes out of the same pass.
     counts = (
-        train.select(F.inline(F.concat(_term_runs(F.col(text), sizes), itself)))
+        term_counts(train, text, sizes)
         .groupBy("term")
-        .agg(F.sum("tf").alias("corpus_count"), F.count(F.lit(1)).alias("documents"))
+        .agg(F.sum("tf").alias("corpus_count"), F.sum("documents").alias("documents"))
     )
     held = stored(counts.where((F.col("documents") >= min_df) | F.col("term").isNull()), "vocabulary")
     n = (held.where(F.col("term").isNull()).first() or {"documents": 0})["documents"]
@@ -76,39 +60,9 @@ class TfidfModel:
     def size(self) -> int:
         return len(self.terms)
 
-    @cached_property
-    def _table(self) -> LookupTable:
-        entries = {t: {"i": i, "w": w} for i, (t, w) in enumerate(zip(self.terms, self.idf))}
-        return LookupTable(entries, "struct<i:int,w:double>")
-
     def weights(self, text: Column) -> Column:
-        """Normalised weights of a text as an array of (term index, weight), in index order.
-
-        Terms of a row come sorted, and indices follow the same order.
-        """
-        known = F.filter(
-            F.transform(
-                _term_runs(text, self.sizes),
-                lambda run: F.struct(self._table(run["term"]).alias("t"), run["tf"].alias("tf")),
-            ),
-            lambda entry: entry["t"].isNotNull(),
-        )
-        raw = F.transform(
-            known,
-            lambda entry: F.struct(
-                entry["t"]["i"].alias("i"), ((1 + F.ln(entry["tf"])) * entry["t"]["w"]).alias("w")
-            ),
-        )
-        return bind(
-            raw,
-            lambda entries: bind(
-                F.sqrt(array_sum(F.transform(entries, lambda entry: entry["w"] * entry["w"]))),
-                lambda norm: F.transform(
-                    entries,
-                    lambda entry: F.struct(entry["i"].alias("i"), (entry["w"] / norm).alias("w")),
-                ),
-            ),
-        )
+        """Normalised weights of a text as an array of (term index, weight), in index order."""
+        return term_weights(text, self.terms, self.idf, self.sizes)
 
     def transform(self, frame: DataFrame, text: str = "clean_text", output: str = "weights") -> DataFrame:
         column = reuse(("tfidf", text, self), lambda: self.weights(F.col(text)))
