@@ -219,7 +219,6 @@ def fit_svm(
     tolerance: float = SVM_TOLERANCE,
 ) -> FittedModel:
     """Squared-hinge SVM per stratified fold, calibrated on the rows left out; probabilities are averaged."""
-    # The fold is a comparison of hashes, so it is found again in every pass instead of storing the rows once more.
     rows = stratified_folds(train, folds, seed).select("weights", F.col("target").cast("int").alias("target"), "fold")
     counts = {(r.fold, r.target): r["count"] for r in rows.groupBy("fold", "target").count().collect()}
     balance = {}
@@ -228,14 +227,10 @@ def fit_svm(
         if min(seen.values()) == 0 or any(not counts.get((k, v)) for v in LABELS):
             raise ValueError("training needs rows of both classes in every fold")
         balance[k] = tuple(sum(seen.values()) / (len(seen) * seen[v]) for v in LABELS)
-    fitted = svm.fit_leaving_out(rows, size, range(folds), balance, c, tolerance, max_iterations)
-
-    margin = F.lit(None).cast("double")
-    for k, solved in fitted.items():
-        table = literal_array(solved[:-1].tolist())
-        value = F.aggregate("weights", F.lit(0.0), lambda total, entry: total + entry["w"] * F.get(table, entry["i"]))
-        margin = F.when(F.col("fold") == k, value + F.lit(float(solved[-1]))).otherwise(margin)
-    sigmoids = svm.fit_sigmoids(materialise(rows.select("fold", "target", margin.alias("margin"))))
+    # A pass over blocks neither decodes entries one by one nor finds the folds again.
+    blocks = svm.packed(rows)
+    fitted = svm.fit_leaving_out(blocks, size, range(folds), balance, c, tolerance, max_iterations)
+    sigmoids = svm.fit_sigmoids(materialise(svm.margins_left_out(blocks, fitted)))
     scores = [
         LinearScore(fitted[k][:-1].tolist(), float(fitted[k][-1]), slope=sigmoids[k][0], offset=sigmoids[k][1])
         for k in range(folds)

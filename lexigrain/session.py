@@ -78,12 +78,12 @@ def remove_stored(spark: SparkSession) -> int:
     return removed
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
-    """``frame`` as Parquet in the shared folder.
+def stored(frame: DataFrame, name: str, **options: str) -> DataFrame:
+    """``frame`` as Parquet in the shared folder, written with the writer's ``options``.
 
     For wide frames that many branches read: each then reads only its columns, with statistics,
     where a checkpoint would give back whole rows.
     """
     path = shared_path(frame.sparkSession, name)
-    frame.write.parquet(path)
+    frame.write.options(**options).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -114,6 +114,61 @@ def test_what_a_pass_collects_does_not_grow_with_the_tasks(spark, monkeypatch):
     assert len(collected) == 1 and collected[0] < 1.1 * (2 * size + 3) * 8
 
 
+def test_packing_keeps_rows_entries_and_labels(spark, monkeypatch):
+    monkeypatch.setattr(svm, "BLOCK_ENTRIES", 16)
+    long = [(i, 0.5 + i) for i in range(40)]
+    rows = [(1, [(3, 0.25), (7, 1.0)], 0), (0, [], 0), (None, [(0, 2.0)], 0), (1, None, 2), (0, long, 2), (1, [(5, 3.0)], 2), (1, [], 1)]
+    frame = spark.createDataFrame([(w, t, k) for t, w, k in rows], f"weights {ENTRY}, target int, fold int").coalesce(1)
+    blocks = svm.packed(frame)
+    assert svm.packed(blocks) is blocks
+    found = []
+    for block in blocks.collect():
+        sizes, index, values = (np.frombuffer(part, kind) for part, kind in ((block["sizes"], np.int32), (block["index"], np.int32), (block["values"], float)))
+        ends = np.cumsum(sizes)
+        assert len(sizes) == len(block.target) and ends[-1] == len(index) == len(values)
+        for target, start, end in zip(block.target, ends - sizes, ends):
+            found.append((target, list(zip(index[start:end].tolist(), values[start:end].tolist())), block.fold))
+    assert sorted(map(repr, found)) == sorted(repr((t, w or [], k)) for t, w, k in rows)
+    fitted = {k: np.arange(41.0) + k for k in range(3)}
+    margins = svm.margins_left_out(blocks, fitted).collect()
+    wanted = [(k, t, float(sum(v * (i + k) for i, v in w or []) + 40 + k)) for t, w, k in rows]
+    assert sorted(map(repr, map(tuple, margins))) == sorted(map(repr, wanted))
+
+
+def test_a_fit_takes_few_passes():
+    # Common and rare features that often stand together, as words do.
+    draw = np.random.default_rng(3)
+    topics = draw.random((6, 300)) ** 8 / np.arange(1, 301) ** 0.7
+    x = (draw.random((3000, 300)) < 12 * topics[draw.integers(0, 6, 3000)]) * (1 + draw.random((3000, 300)))
+    x = np.hstack([x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1), np.ones((3000, 1))])
+    y = np.where(x @ draw.normal(size=301) + draw.normal(size=3000) > 0, 1.0, -1.0)
+    solver, passes = svm.newton_steps(300, 1.0, 1e-3, 100), 0
+    asked = next(solver)
+    while True:
+        passes += 1
+        slack = 1 - y * (x @ asked.weights)
+        on = 2.0 * (slack > 0)
+        if asked.direction is None:
+            sums = svm.Sums(x.T @ (-on * y * slack), (x * x).T @ on, float((np.maximum(slack, 0) ** 2).sum()))
+        else:
+            sums = svm.Sums(x.T @ (on * (x @ asked.direction)), np.zeros(0), 0.0)
+        try:
+            asked = solver.send(sums)
+        except StopIteration as done:
+            weights = done.value
+            break
+    assert np.abs(weights - plain_svm(x, y, np.ones(3000), 1.0)).max() < 1e-3
+    # 87 where a direction was conjugate to the last one only and every Newton step began anew.
+    assert passes < 60
+
+
+def test_a_pass_leaves_settings_as_they_were(spark):
+    frame = spark.createDataFrame(sparse_rows(2, 64), f"id long, target int, weights {ENTRY}, fold int")
+    before = {key: spark.conf.get(key, None) for key in svm._SETTINGS}
+    svm._pass(frame, 8, 40, {-1: svm.Query(np.zeros(41))}, {-1: (1.0, 1.0)})
+    assert {key: spark.conf.get(key, None) for key in svm._SETTINGS} == before
+
+
 def test_sigmoids_equal_numpy(spark):
     draw = np.random.default_rng(5)
     rows = [(k, int(t), float(draw.normal() + (2 * t - 1) * k)) for k in (0, 1, 2) for t in draw.integers(0, 2, 150)]
