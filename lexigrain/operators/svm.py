@@ -35,7 +35,7 @@ _STORE = {
     "compression": "none", "parquet.enable.dictionary": "false", "parquet.block.size": str(16 << 20),
     "parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1",
 }
-#: Directions of earlier Newton steps that a problem keeps.
+#: Directions of earlier Newton steps that are kept for each problem.
 DIRECTIONS_KEPT = 64
 #: Sums that travel as one value, and how much of them may come back unadded in a pass.
 BLOCK_SUMS = 1024
@@ -243,29 +243,31 @@ def _pass(
     return out
 
 
-#: Directions of a Newton step (rows), what the Hessian makes of them, and their lengths in it.
+#: Directions of a Newton step (rows), what the Hessian makes of them, both in single precision, and their lengths in it.
 _Seen = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def _preconditioned(rest: np.ndarray, diagonal: np.ndarray, seen: Sequence[_Seen]) -> np.ndarray:
-    """About the inverse Hessian times ``rest``: exact along directions seen before, else by the diagonal."""
+    """About the inverse Hessian times ``rest``: by the directions seen before, else by the diagonal."""
     if not seen:
         return rest / diagonal
     *earlier, (directions, products, lengths) = seen
-    along = (directions @ rest) / lengths
-    other = _preconditioned(rest - along @ products, diagonal, earlier)
-    return other + (along - (products @ other) / lengths) @ directions
+    along = (directions @ rest.astype(np.float32)) / lengths
+    other = _preconditioned(rest - along.astype(np.float32) @ products, diagonal, earlier)
+    return other + (along - (products @ other.astype(np.float32)) / lengths).astype(np.float32) @ directions
 
 
 def newton_steps(
-    size: int, c: float, tolerance: float, max_iterations: int, max_inner: int = 100
-) -> Generator[Query, Sums, np.ndarray]:
+    size: int, c: float, tolerance: float, max_iterations: int, max_inner: int = 100,
+    seen: list[_Seen] | None = None, kept: int = DIRECTIONS_KEPT,
+) -> Generator[Query, Sums, np.ndarray]:
     """One problem's solver: yields what it asks of the data and returns weights with the intercept last.
 
     Newton directions come from conjugate gradients, stopped early while the gradient is large; steps are
     halved until the objective falls enough. Every product costs a pass, so none is wasted: a direction is made
     conjugate to all before it, and the Hessian changes little from step to step, so the directions of earlier
-    steps precondition the next, over the Hessian's diagonal (block BFGS update).
+    steps precondition the next, over the Hessian's diagonal (block BFGS update). Problems over much the same
+    rows may share the list ``seen`` of such directions, ``kept`` at most in all but one step.
     """
 
     def at(weights: np.ndarray) -> Generator[Query, Sums, tuple[float, np.ndarray, np.ndarray]]:
@@ -274,7 +276,7 @@ def newton_steps(
 
     weights = np.zeros(size + 1)
     value, gradient, diagonal = yield from at(weights)
-    seen: list[_Seen] = []
+    seen = [] if seen is None else seen
     for _ in range(max_iterations):
         length = np.linalg.norm(gradient)
         if length <= tolerance:
@@ -282,9 +284,9 @@ def newton_steps(
         wanted = max(tolerance / 2, length / 10)
         step, rest = np.zeros(size + 1), -gradient
         directions, products, lengths = np.empty((max_inner, size + 1)), np.empty((max_inner, size + 1)), np.empty(max_inner)
-        n = 0
+        n, before = 0, list(seen)
         while n < max_inner and np.linalg.norm(rest) > wanted:
-            direction = _preconditioned(rest, diagonal, seen)
+            direction = _preconditioned(rest, diagonal, before)
             direction = direction - ((products[:n] @ direction) / lengths[:n]) @ directions[:n]
             sums = yield Query(weights, direction)
             curved = direction + c * sums.vector
@@ -294,8 +296,8 @@ def newton_steps(
             rest = rest - length_of_step * curved
             n += 1
         if n:
-            seen.append((directions[:n].copy(), products[:n].copy(), lengths[:n].copy()))
-        while len(seen) > 1 and sum(len(lengths) for _, _, lengths in seen) > DIRECTIONS_KEPT:
+            seen.append((directions[:n].astype(np.float32), products[:n].astype(np.float32), lengths[:n].copy()))
+        while len(seen) > 1 and sum(len(lengths) for _, _, lengths in seen) > kept:
             del seen[0]
         slope, size_of_step = gradient @ step, 1.0
         for _ in range(40):
@@ -323,7 +325,10 @@ def fit_leaving_out(
 
     ``balance`` holds the weights of class 0 and 1 for each problem. A problem that no fold has (-1) learns from all rows.
     """
-    solvers = {k: newton_steps(size, c, tolerance, max_iterations) for k in problems}
+    # Problems share most rows, so the directions of one serve all as preconditioners.
+    seen: list[_Seen] = []
+    kept = DIRECTIONS_KEPT * len(problems)
+    solvers = {k: newton_steps(size, c, tolerance, max_iterations, seen=seen, kept=kept) for k in problems}
     asked = {k: next(solver) for k, solver in solvers.items()}
     rows = packed(rows)
     # A task for each core: sums are as many as the cores, not as the files, and starting a task takes as long as millions of entries.
