@@ -137,7 +137,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Array,
     for batch in batches:
         for at in range(batch.num_rows):
             fold, target, *data = (column[at] for column in batch.columns)
-            arrays = [np.frombuffer(part.as_py(), kind) for part, kind in zip(data, (np.int32, np.int32, np.float64))]
+            arrays = [np.frombuffer(part.as_buffer(), kind) for part, kind in zip(data, (np.int32, np.int32, np.float64))]
             yield fold.as_py(), target.values, _Block(*arrays, space)
 
 
