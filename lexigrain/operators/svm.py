@@ -297,6 +297,7 @@ def newton_steps(
             n += 1
         if n:
             seen.append((directions[:n].astype(np.float32), products[:n].astype(np.float32), lengths[:n].copy()))
+        del directions, products  # before those of the next step are made
         while len(seen) > 1 and sum(len(lengths) for _, _, lengths in seen) > kept:
             del seen[0]
         slope, size_of_step = gradient @ step, 1.0
